@@ -1,0 +1 @@
+"""Empty on purpose: every report covers a bounded range of days, so there is no streaming operator."""

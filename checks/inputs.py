@@ -8,6 +8,7 @@ files grow in number with the tables. FIXTURES.md lists the rules.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cache, cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -129,13 +130,14 @@ FROM conversations
 """
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class Tables:
     """The given tables of one folder, and the report inputs derived from them."""
 
     spark: SparkSession
     folder: str
 
+    @cache
     def given(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
@@ -143,19 +145,19 @@ class Tables:
         return self.spark.sql(sql.replace("{", "{{").replace("}", "}}").replace(f"FROM {table}", f"FROM {{{table}}}"),
                               **{table: self.given(table)})
 
-    @property
+    @cached_property
     def log(self) -> DataFrame:
         return self._derive(AUDIT_LOG_SQL, "events")
 
-    @property
+    @cached_property
     def milestones(self) -> DataFrame:
         return self._derive(MILESTONES_SQL, "events")
 
-    @property
+    @cached_property
     def carrier_payload(self) -> DataFrame:
         return self._derive(CARRIER_PAYLOAD_SQL, "supplier")
 
-    @property
+    @cached_property
     def cells(self) -> DataFrame:
         sheets, lines = self._derive(SHEET_SQL, "orders"), self._derive(ORDER_LINE_SQL, "orders")
 
@@ -189,7 +191,7 @@ class Tables:
             .select("file_name", "row_idx", "col_idx", "cell_value")
         )
 
-    @property
+    @cached_property
     def mail(self) -> DataFrame:
         part = lambda name, attachment, data: F.struct(
             name.alias("filename"), attachment.alias("attachment_id"), data.alias("data")

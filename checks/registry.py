@@ -19,10 +19,9 @@ from loadtrail.operators.correlation import response_groups, trigger_rows
 from loadtrail.operators.followups import follow_up_candidates, join_first_followup, milestone_flags
 from loadtrail.operators.requests import is_trigger, load_rows, rows_of_active_requests
 from loadtrail.operators.sheets import attachments, sheet_anchors, sheet_facilities, sheet_rows
-from loadtrail.plans.classify import classify
 from loadtrail.plans.correlate import correlate
 from loadtrail.plans.holdover import holdover_list
-from loadtrail.plans.notifier import FOLLOW_UP_KEYS, notifier_report, notifier_rows
+from loadtrail.plans.notifier import FOLLOW_UP_KEYS, notifier_classified, notifier_report, notifier_rows
 from loadtrail.plans.rtp import (
     first_rows_of_loads,
     load_summary,
@@ -60,24 +59,23 @@ def correlate_rtp(t: Tables) -> DataFrame:
 
 def milestone_join_nullsafe(t: Tables) -> DataFrame:
     flags = milestone_flags(t.milestones, NOTIFIER)
-    return join_first_followup(trigger_rows(t.log, NOTIFIER).distinct(), flags, FOLLOW_UP_KEYS).select(
-        "*", "first_followup.*"
-    ).drop("first_followup")
+    joined = join_first_followup(trigger_rows(t.log, NOTIFIER).distinct(), flags, FOLLOW_UP_KEYS)
+    return joined.select("*", "first_followup.*").drop("first_followup")
 
 
 def followup_window(t: Tables) -> DataFrame:
     flags = milestone_flags(t.milestones, NOTIFIER)
     rows = follow_up_candidates(trigger_rows(t.log, NOTIFIER).distinct(), flags, FOLLOW_UP_KEYS)
-    return rows.withColumns(
-        {
-            "status": F.when(F.col("skipped"), c.TRIGGER_SKIPPED_STATUS),
-            "actions": F.when(F.col("skipped"), c.DETAILS_EXTRACTED_ACTION),
-        }
+    skipped = "out_of_window OR skipped"
+    return rows.selectExpr(
+        "*",
+        f"CASE WHEN {skipped} THEN '{c.TRIGGER_SKIPPED_STATUS}' END AS status",
+        f"CASE WHEN {skipped} THEN '{c.DETAILS_EXTRACTED_ACTION}' END AS actions",
     ).drop("skipped")
 
 
 def keep_first(t: Tables) -> DataFrame:
-    return classify(trigger_rows(t.log, NOTIFIER), milestone_flags(t.milestones, NOTIFIER), FOLLOW_UP_KEYS)
+    return notifier_classified(t.log, t.milestones, NOTIFIER)
 
 
 def carriers(t: Tables) -> DataFrame:
@@ -93,27 +91,25 @@ def batches(t: Tables) -> DataFrame:
 
 
 def alerts(t: Tables) -> DataFrame:
-    alert = alert_text(F.col("comment"))
-    return t.log.select(
-        "request_id", "created_at", "comment", alert.alias("alert"), without_load_prefix(alert).alias("cleaned")
-    )
+    alert = alert_text("comment")
+    cleaned = without_load_prefix(alert)
+    return t.log.selectExpr("request_id", "created_at", "comment", f"{alert} AS alert", f"{cleaned} AS cleaned")
 
 
 def response_delay(t: Tables) -> DataFrame:
-    midnight = F.date_format(F.col("ts").cast("date"), "yyyy-MM-dd HH:mm:ss")
-    sent = F.when(F.col("value") < 5, "n/a").when(F.col("value") >= 10, midnight)
+    midnight = "date_format(CAST(ts AS DATE), 'yyyy-MM-dd HH:mm:ss')"
+    sent = f"CASE WHEN value < 5 THEN 'n/a' WHEN value >= 10 THEN {midnight} END"
     return (
         t.given("events")
-        .select("event_id", parse_timestamp(sent).alias("followup_sent_at"), F.col("ts").alias("response_timestamp"))
-        .withColumn("response_delay", minutes_between(F.col("followup_sent_at"), F.col("response_timestamp")))
+        .selectExpr("event_id", f"{parse_timestamp(sent)} AS followup_sent_at", "ts AS response_timestamp")
+        .selectExpr("*", f"{minutes_between('followup_sent_at', 'response_timestamp')} AS response_delay")
     )
 
 
 def notes(t: Tables) -> DataFrame:
     columns = ("followup_sent_at", "response_timestamp", "actions")
-    note = response_note(*[F.col(name) for name in columns])
     rows = rtp_rows(t.log, t.milestones, READY_TO_PICKUP)
-    return rows.select("workflow_exec_id", *columns, note.alias("note")).distinct()
+    return rows.selectExpr("workflow_exec_id", *columns, f"{response_note(*columns)} AS note").distinct()
 
 
 def mail_attachments(t: Tables) -> DataFrame:
@@ -140,8 +136,7 @@ def summary(t: Tables) -> DataFrame:
 
 def holdover_left_join(t: Tables) -> DataFrame:
     loads = summary(t).select("load_number", "workflow_exec_id", "trigger_timestamp", "status")
-    rows = holdover(t)
-    return rows.join(loads, rows["Load Number"] == loads["load_number"], "left").drop("load_number")
+    return holdover(t).join(loads, F.expr("`Load Number` = load_number"), "left").drop("load_number")
 
 
 def notifier(t: Tables) -> DataFrame:
@@ -153,10 +148,8 @@ def ready_to_pickup(t: Tables) -> DataFrame:
 
 
 def labels(t: Tables) -> DataFrame:
-    day = F.col("o_orderdate").cast("date")
-    return t.given("orders").groupBy(day.alias("order_day"), date_label(day).alias("label")).agg(
-        F.count(F.lit(1)).alias("orders")
-    )
+    days = t.given("orders").selectExpr("CAST(o_orderdate AS DATE) AS order_day")
+    return days.groupBy("order_day", F.expr(f"{date_label('order_day')} AS label")).agg(F.expr("count(*) AS orders"))
 
 
 def csv_roundtrip(t: Tables) -> DataFrame:
@@ -167,12 +160,12 @@ def csv_roundtrip(t: Tables) -> DataFrame:
 
 def publish_replace(t: Tables) -> DataFrame:
     report_set = shared_folder(t.spark)
-    rows = carriers(t).select(F.col("load_number").cast("string").alias("entry"), F.col("carrier_name").alias("detail"))
+    rows = carriers(t).selectExpr("CAST(load_number AS STRING) AS entry", "carrier_name AS detail")
     publish_table(rows, report_set)
     publish_table(rows, report_set, "carriers")
-    groups = response_groups(t.log, NOTIFIER)
-    entry = F.concat("request_id", F.lit("/"), F.coalesce("entity_id", F.lit("")))
-    publish_table(groups.select(entry.alias("entry"), F.col("actions").alias("detail")), report_set)
+    entry = "concat(request_id, '/', coalesce(entity_id, ''))"
+    groups = response_groups(t.log, NOTIFIER).selectExpr(f"{entry} AS entry", "actions AS detail")
+    publish_table(groups, report_set)
     whole = None
     for table in table_names(t.spark, report_set):
         part = read_table(t.spark, report_set, table).select(F.lit(table).alias("table_name"), "*")

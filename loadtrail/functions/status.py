@@ -2,46 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from loadtrail import constants as c
+from loadtrail.functions.sql import text
 
 
-def response_status(message: Column, updated_at: Column) -> Column:
+def response_status(message: str, updated_at: str) -> str:
     return (
-        F.when(message.isNull(), c.AWAITING_STATUS)
-        .when(updated_at.isNull(), c.FAILED_STATUS)
-        .otherwise(c.SUCCESS_STATUS)
+        f"CASE WHEN {message} IS NULL THEN '{c.AWAITING_STATUS}' "
+        f"WHEN {updated_at} IS NULL THEN '{c.FAILED_STATUS}' ELSE '{c.SUCCESS_STATUS}' END"
     )
 
 
-def trigger_text(comment: Column) -> Column:
+def trigger_text(comment: str) -> str:
     """The comment of an alert row, null for any other row."""
-    return F.when(comment.like(f"%{c.ALERT_LABEL} %"), comment)
+    return f"CASE WHEN {comment} LIKE {text(f'%{c.ALERT_LABEL} %')} THEN {comment} END"
 
 
-def escalated_flag(status: Column) -> Column:
-    return F.when(status == c.ESCALATION_SENT_STATUS, c.FLAG_YES)
+def escalated_flag(status: str) -> str:
+    return f"CASE WHEN {status} = '{c.ESCALATION_SENT_STATUS}' THEN '{c.FLAG_YES}' END"
 
 
-def reminder_flag(status: Column, comments: Column) -> Column:
-    escalation_seen = (status == c.RESPONSE_RECEIVED_STATUS) & comments.contains(c.ESCALATION_TEXT)
-    return F.when(escalation_seen | (status == c.ESCALATION_SENT_STATUS), c.FLAG_YES)
+def reminder_flag(status: str, comments: str) -> str:
+    return (
+        f"CASE WHEN {status} = '{c.ESCALATION_SENT_STATUS}' OR ({status} = '{c.RESPONSE_RECEIVED_STATUS}' "
+        f"AND contains({comments}, '{c.ESCALATION_TEXT}')) THEN '{c.FLAG_YES}' END"
+    )
 
 
-def out_of_window(followup: Column, trigger: Column) -> Column:
+def out_of_window(followup: str, trigger: str) -> str:
     """Follow-up before the trigger or more than the window after it; a null on either side is not."""
-    limit = trigger + F.make_dt_interval(
-        F.lit(0), F.lit(0), F.lit(0), F.lit(c.FOLLOW_UP_WINDOW_SECONDS).cast("decimal(18,6)")
-    )
-    return F.coalesce((followup < trigger) | (followup > limit), F.lit(False))
+    limit = f"{trigger} + INTERVAL '{c.FOLLOW_UP_WINDOW_SECONDS}' SECOND"
+    return f"coalesce({followup} < {trigger} OR {followup} > {limit}, false)"
 
 
-def response_note(followup: Column, response_at: Column, actions: Column) -> Column:
+def response_note(followup: str, response_at: str, actions: str) -> str:
     return (
-        F.when(followup.isNull(), c.NOTE_NOT_SENT)
-        .when(response_at.isNull(), c.NOTE_AWAITING)
-        .when(F.upper(actions).contains(c.UPDATED_ACTION_TEXT), c.NOTE_PROCESSED)
-        .otherwise(c.NOTE_NOT_PROCESSED)
+        f"CASE WHEN {followup} IS NULL THEN '{c.NOTE_NOT_SENT}' "
+        f"WHEN {response_at} IS NULL THEN '{c.NOTE_AWAITING}' "
+        f"WHEN contains(upper({actions}), '{c.UPDATED_ACTION_TEXT}') THEN '{c.NOTE_PROCESSED}' "
+        f"ELSE '{c.NOTE_NOT_PROCESSED}' END"
     )

@@ -1,55 +1,47 @@
-"""Time expressions on zone-less timestamps; none of them depends on the session time zone."""
+"""Time expressions on zone-less timestamps; none of them depends on the session time zone.
 
-from __future__ import annotations
+Like all functions of this package they take SQL expressions and return one.
+"""
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from __future__ import annotations
 
 from loadtrail import constants as c
 
-_EPOCH_DAY = "1970-01-01"
-
 
-def cut_to_second(ts: Column) -> Column:
-    fraction = F.extract(F.lit("SECOND"), ts) % 1
-    return ts - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), fraction)
+def cut_to_second(ts: str) -> str:
+    return f"{ts} - make_dt_interval(0, 0, 0, extract(SECOND FROM {ts}) % 1)"
 
 
-def epoch_seconds(ts: Column) -> Column:
-    days = F.date_diff(ts.cast("date"), F.lit(_EPOCH_DAY).cast("date")).cast("bigint")
-    return days * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
+def epoch_seconds(ts: str) -> str:
+    days = f"CAST(date_diff(CAST({ts} AS DATE), DATE'1970-01-01') AS BIGINT)"
+    return f"({days} * 86400 + hour({ts}) * 3600 + minute({ts}) * 60 + second({ts}))"
 
 
-def minutes_between(earlier: Column, later: Column) -> Column:
+def minutes_between(earlier: str, later: str) -> str:
     """Minutes as a double, keeping microseconds; null if either side is null, negative if reversed."""
-    seconds = (later - earlier).cast("interval second").cast("decimal(38,6)").cast("double")
-    return seconds / F.lit(60.0)
+    seconds = f"CAST(CAST({later} - {earlier} AS INTERVAL SECOND) AS DECIMAL(38, 6))"
+    return f"CAST({seconds} AS DOUBLE) / 60D"
 
 
-def parse_timestamp(text: Column) -> Column:
+def parse_timestamp(value: str) -> str:
     """Text to timestamp; anything unreadable becomes null."""
-    return text.try_cast("timestamp_ntz")
+    return f"try_cast({value} AS TIMESTAMP_NTZ)"
 
 
-def millis_to_timestamp(millis: Column) -> Column:
-    seconds = millis.cast("decimal(20,0)") / F.lit(1000)
-    epoch = F.lit(_EPOCH_DAY).cast("timestamp_ntz")
-    return epoch + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)"))
+def millis_to_timestamp(millis: str) -> str:
+    seconds = f"CAST({millis} / 1000BD AS DECIMAL(18, 6))"
+    return f"(TIMESTAMP_NTZ'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, {seconds}))"
 
 
-def received_date(millis: Column) -> Column:
-    return F.date_format(millis_to_timestamp(millis).cast("date"), c.RECEIVED_DATE_FORMAT)
+def received_date(millis: str) -> str:
+    return f"date_format(CAST({millis_to_timestamp(millis)} AS DATE), '{c.RECEIVED_DATE_FORMAT}')"
 
 
-def date_label(day: Column) -> Column:
+def date_label(day: str) -> str:
     """`5thDEC` style label of a date."""
-    number = F.dayofmonth(day)
-    last_digit = number % 10
+    number = f"dayofmonth({day})"
     suffix = (
-        F.when(number.between(11, 13), "th")
-        .when(last_digit == 1, "st")
-        .when(last_digit == 2, "nd")
-        .when(last_digit == 3, "rd")
-        .otherwise("th")
+        f"CASE WHEN {number} BETWEEN 11 AND 13 THEN 'th' WHEN {number} % 10 = 1 THEN 'st' "
+        f"WHEN {number} % 10 = 2 THEN 'nd' WHEN {number} % 10 = 3 THEN 'rd' ELSE 'th' END"
     )
-    return F.concat(number.cast("string"), suffix, F.upper(F.date_format(day, "MMM")))
+    return f"concat({number}, {suffix}, upper(date_format({day}, 'MMM')))"

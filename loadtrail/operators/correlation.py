@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadtrail import constants as c
+from loadtrail.functions.sql import names, text
 from loadtrail.functions.status import response_status, trigger_text
 from loadtrail.functions.text import execution_id
 from loadtrail.operators.hotkeys import copy_per_split, deal, hot_keys
@@ -15,46 +16,46 @@ from loadtrail.params import ReportParams
 
 PAIRS_PER_SPLIT = 4_000_000
 
-RESPONSE_COLUMNS = ("status", "response_message", "response_timestamp", "actions")
+RESPONSE_COLUMNS = ("response_message", "response_timestamp", "actions")
 
 
 def trigger_rows(log: DataFrame, params: ReportParams) -> DataFrame:
     rows = load_rows(log, params).where(is_trigger(params))
-    return rows_of_active_requests(log, rows, params).select(
-        F.col("entity_id").alias("load_id"),
-        execution_id(F.col("request_id"), F.col("entity_id")).alias("workflow_exec_id"),
+    return rows_of_active_requests(log, rows, params).selectExpr(
+        "entity_id AS load_id",
+        f"{execution_id('request_id', 'entity_id')} AS workflow_exec_id",
         "shipper_id",
-        F.col("workflow_identifier").alias("workflow"),
-        trigger_text(F.col("comment")).alias("trigger_message"),
-        F.col("created_at").alias("trigger_timestamp"),
+        "workflow_identifier AS workflow",
+        f"{trigger_text('comment')} AS trigger_message",
+        "created_at AS trigger_timestamp",
     )
 
 
 def response_groups(log: DataFrame, params: ReportParams) -> DataFrame:
     """One row per request and load of the response workflow."""
     rows = load_rows(log, params).where(is_response())
-    comment, action, created_at = F.col("comment"), F.col("action"), F.col("created_at")
-    actions = F.collect_set(action)
+    found = "collect_set(action)"
+    listed = f"array_join(array_sort({found}), '{c.ACTION_SEPARATOR}')"
     return (
         rows_of_active_requests(log, rows, params)
         .groupBy("request_id", "entity_id")
         .agg(
-            F.max(F.when(comment.like(c.RAW_MESSAGE_LIKE), comment)).alias("response_message"),
-            F.min(F.when(action == c.DETAILS_EXTRACTED_ACTION, created_at)).alias("response_timestamp"),
-            F.min(F.when(action.like(c.UPDATED_ACTION_LIKE), created_at)).alias("response_updated_timestamp"),
-            F.when(F.size(actions) > 0, F.array_join(F.array_sort(actions), c.ACTION_SEPARATOR)).alias("actions"),
+            F.expr(f"max(comment) FILTER (WHERE comment LIKE {text(c.RAW_MESSAGE_LIKE)}) AS response_message"),
+            F.expr(f"min(created_at) FILTER (WHERE action = '{c.DETAILS_EXTRACTED_ACTION}') AS response_timestamp"),
+            F.expr(
+                f"min(created_at) FILTER (WHERE action LIKE {text(c.UPDATED_ACTION_LIKE)}) AS response_updated_timestamp"
+            ),
+            F.expr(f"CASE WHEN size({found}) > 0 THEN {listed} END AS actions"),
         )
     )
 
 
 def responses_of_loads(groups: DataFrame) -> DataFrame:
     """Response groups that can match a trigger: with a load and with extracted details."""
-    return groups.where(F.col("entity_id").isNotNull() & F.col("response_timestamp").isNotNull()).select(
-        F.col("entity_id").alias("load_id"),
-        response_status(F.col("response_message"), F.col("response_updated_timestamp")).alias("status"),
-        "response_message",
-        "response_timestamp",
-        "actions",
+    return groups.where("entity_id IS NOT NULL AND response_timestamp IS NOT NULL").selectExpr(
+        "entity_id AS load_id",
+        f"{response_status('response_message', 'response_updated_timestamp')} AS status",
+        *RESPONSE_COLUMNS,
     )
 
 
@@ -64,42 +65,32 @@ def hot_loads(log: DataFrame, params: ReportParams, pairs_per_split: int = PAIRS
     Counted over the report range only, which needs few columns of few days. The counts steer the
     splitting and nothing else.
     """
-    in_range = load_rows(log, params).where(params.in_range(F.col("created_at")))
+    in_range = load_rows(log, params).where(params.in_range("created_at"))
     weights = (
-        in_range.where(is_trigger(params) | is_response())
-        .groupBy(F.col("entity_id").alias("load_id"))
-        .agg(F.count_if(is_trigger(params)).alias("triggers"), F.count_if(is_response()).alias("responses"))
+        in_range.where(f"{is_trigger(params)} OR {is_response()}")
+        .groupBy(F.expr("entity_id AS load_id"))
+        .agg(F.expr(f"count_if({is_trigger(params)}) AS triggers"), F.expr(f"count_if({is_response()}) AS responses"))
     )
-    work = F.greatest(F.col("triggers") * F.col("responses").cast("double"), F.col("responses").cast("double"))
-    return hot_keys(weights, "load_id", work, pairs_per_split)
+    return hot_keys(weights, "load_id", "greatest(triggers, 1) * CAST(responses AS DOUBLE)", pairs_per_split)
 
 
-def attach_responses(rows: DataFrame, responses: DataFrame, hot: DataFrame, wanted: Column | None = None) -> DataFrame:
+def attach_responses(rows: DataFrame, responses: DataFrame, hot: DataFrame, wanted: str = "true") -> DataFrame:
     """Left join every row to all later responses of its load; rows not `wanted` stay without one.
 
     The pairs are the result the reports ask for. Hot loads are dealt over several tasks.
     """
-    left = deal(rows, "load_id", hot)
-    right = copy_per_split(responses, "load_id", hot).select(
-        F.col("load_id").alias("response_load"),
-        F.col("split").alias("response_split"),
-        *RESPONSE_COLUMNS,
+    right = copy_per_split(responses, "load_id", hot).selectExpr(
+        "load_id AS response_load", "split AS response_split", "status AS response_status", *RESPONSE_COLUMNS
     )
     match = (
-        (F.col("load_id") == F.col("response_load"))
-        & (F.col("split") == F.col("response_split"))
-        & (F.col("trigger_timestamp") < F.col("response_timestamp"))
-    )
-    if wanted is not None:
-        match = match & wanted
-    return (
-        left.join(right, match, "left")
-        .withColumn("status", F.coalesce("status", F.lit(c.AWAITING_STATUS)))
-        .select(*rows.columns, *RESPONSE_COLUMNS)
+        "load_id = response_load AND split = response_split "
+        f"AND trigger_timestamp < response_timestamp AND ({wanted})"
     )
+    joined = deal(rows, "load_id", hot).join(right, F.expr(match), "left")
+    return joined.selectExpr(*names(rows.columns), _status(), *RESPONSE_COLUMNS)
 
 
-def attach_earliest_response(rows: DataFrame, responses: DataFrame, hot: DataFrame, wanted: Column) -> DataFrame:
+def attach_earliest_response(rows: DataFrame, responses: DataFrame, hot: DataFrame, wanted: str) -> DataFrame:
     """Join at most one `wanted` row per load to the earliest later response, without building pairs.
 
     The many responses are the dealt side here, and the choice is a mergeable minimum.
@@ -109,13 +100,14 @@ def attach_earliest_response(rows: DataFrame, responses: DataFrame, hot: DataFra
     best = (
         deal(responses, "load_id", hot)
         .join(one_per_load, ["load_id", "split"])
-        .where(F.col("trigger_timestamp") < F.col("response_timestamp"))
-        .groupBy("load_id")
-        .agg(F.min(row_struct(responses, order, skip=["load_id"])).alias("best"))
-        .select(F.col("load_id").alias("response_load"), "best.*")
-    )
-    return (
-        rows.join(best, wanted & (F.col("load_id") == F.col("response_load")), "left")
-        .withColumn("status", F.coalesce("status", F.lit(c.AWAITING_STATUS)))
-        .select(*rows.columns, *RESPONSE_COLUMNS)
+        .where("trigger_timestamp < response_timestamp")
+        .groupBy(F.expr("load_id AS response_load"))
+        .agg(F.expr(f"min({row_struct(order, order)}) AS best"))
+        .selectExpr("response_load", "best.status AS response_status", *[f"best.{name}" for name in RESPONSE_COLUMNS])
     )
+    joined = rows.join(best, F.expr(f"load_id = response_load AND ({wanted})"), "left")
+    return joined.selectExpr(*names(rows.columns), _status(), *RESPONSE_COLUMNS)
+
+
+def _status() -> str:
+    return f"coalesce(response_status, '{c.AWAITING_STATUS}') AS status"

@@ -8,9 +8,11 @@ depend on which keys count as hot.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loadtrail.functions.sql import names
+
 # the broadcast table of hot keys never has more rows than this; a key that does not make the list
 # holds less than one part in MAX_HOT_KEYS of the work and is joined whole
 MAX_HOT_KEYS = 1000
@@ -18,15 +20,15 @@ MAX_SPLITS = 4096
 NULL_KEY_SPLITS = 64
 
 
-def hot_keys(weights: DataFrame, key: str, work: Column, work_per_split: int) -> DataFrame:
+def hot_keys(weights: DataFrame, key: str, work: str, work_per_split: int) -> DataFrame:
     """`(key, splits)` of the heaviest keys, from one row per key and an expression for its work."""
-    splits = F.least(F.ceil(work / F.lit(float(work_per_split))), F.lit(MAX_SPLITS))
+    splits = f"CAST(least(ceil(work / {work_per_split}D), {MAX_SPLITS}) AS BIGINT) AS splits"
     return (
-        weights.where(F.col(key).isNotNull() & (work > work_per_split))
-        .select(key, splits.cast("int").alias("splits"), work.alias("work"))
+        weights.selectExpr(key, f"CAST({work} AS DOUBLE) AS work")
+        .where(f"{key} IS NOT NULL AND work > {work_per_split}")
         .orderBy(F.desc("work"), key)
         .limit(MAX_HOT_KEYS)
-        .select(key, "splits")
+        .selectExpr(key, splits)
     )
 
 
@@ -35,16 +37,13 @@ def deal(rows: DataFrame, key: str, hot: DataFrame) -> DataFrame:
 
     Rows without a key match nothing; they are dealt too, so that they do not pile up in one task.
     """
-    whole = F.when(F.col(key).isNull(), NULL_KEY_SPLITS).otherwise(1)
-    split = F.pmod(F.xxhash64(*[F.col(f"`{name}`") for name in rows.columns]), F.coalesce("splits", whole))
-    return rows.join(F.broadcast(hot), key, "left").withColumn("split", split).drop("splits")
+    splits = f"coalesce(splits, if({key} IS NULL, {NULL_KEY_SPLITS}, 1))"
+    columns = names(rows.columns)
+    split = f"pmod(xxhash64({', '.join(columns)}), {splits}) AS split"
+    return rows.join(F.broadcast(hot), key, "left").selectExpr(*columns, split)
 
 
 def copy_per_split(rows: DataFrame, key: str, hot: DataFrame) -> DataFrame:
     """One copy of each row per split of its key."""
-    splits = F.coalesce("splits", F.lit(1)).cast("bigint")
-    return (
-        rows.join(F.broadcast(hot), key, "left")
-        .withColumn("split", F.explode(F.sequence(F.lit(0).cast("bigint"), splits - 1)))
-        .drop("splits")
-    )
+    split = "explode(sequence(0L, coalesce(splits, 1L) - 1)) AS split"
+    return rows.join(F.broadcast(hot), key, "left").selectExpr(*names(rows.columns), split)

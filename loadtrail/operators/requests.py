@@ -2,31 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from loadtrail import constants as c
+from loadtrail.functions.sql import text, texts
 from loadtrail.params import ReportParams
 
 
 def load_rows(log: DataFrame, params: ReportParams) -> DataFrame:
-    return log.where(F.col("entity_type").isin(*c.LOAD_ENTITY_TYPES) & (F.col("shipper_id") == params.shipper_id))
+    return log.where(f"entity_type IN ({texts(c.LOAD_ENTITY_TYPES)}) AND shipper_id = {text(params.shipper_id)}")
 
 
-def is_trigger(params: ReportParams) -> Column:
-    condition = F.col("workflow_identifier") == params.workflow
+def is_trigger(params: ReportParams) -> str:
+    condition = f"workflow_identifier = {text(params.workflow)}"
     if params.trigger_action is not None:
-        condition = condition & (F.col("action") == params.trigger_action)
-    return condition
+        condition += f" AND action = {text(params.trigger_action)}"
+    return f"({condition})"
 
 
-def is_response() -> Column:
-    return F.col("workflow_identifier") == c.RESPONSE_WORKFLOW
+def is_response() -> str:
+    return f"(workflow_identifier = '{c.RESPONSE_WORKFLOW}')"
 
 
 def active_requests(log: DataFrame, params: ReportParams) -> DataFrame:
     """Distinct ids seen in the range, of any shipper, workflow or entity type."""
-    seen = params.in_range(F.col("created_at")) & F.col("request_id").isNotNull()
+    seen = f"{params.in_range('created_at')} AND request_id IS NOT NULL"
     return log.where(seen).select("request_id").distinct()
 
 
@@ -36,9 +36,8 @@ def rows_of_active_requests(log: DataFrame, rows: DataFrame, params: ReportParam
     A row inside the range is its own proof and passes without a shuffle; only rows outside it need
     the semi join.
     """
-    rows = rows.where(F.col("request_id").isNotNull())
-    inside = params.in_range(F.col("created_at"))
-    outside = rows.where(~F.coalesce(inside, F.lit(False)))
-    return rows.where(inside).unionByName(
-        outside.join(active_requests(log, params), "request_id", "left_semi").select(*rows.columns)
+    inside = params.in_range("created_at")
+    outside = rows.where(f"NOT coalesce({inside}, false) AND request_id IS NOT NULL")
+    return rows.where(f"{inside} AND request_id IS NOT NULL").unionByName(
+        outside.join(active_requests(log, params), "request_id", "left_semi")
     )

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadtrail import constants as c
+from loadtrail.functions.sql import name, names, text
 from loadtrail.functions.text import decode_base64url, load_number, shipper_key
 from loadtrail.functions.timestamps import millis_to_timestamp, received_date
 from loadtrail.params import ReportParams
@@ -13,24 +14,24 @@ from loadtrail.params import ReportParams
 
 def sheet_anchors(cells: DataFrame) -> DataFrame:
     """Per file: position of the first plant label (row, then column) and the first header row."""
-    value = F.col("cell_value")
+    plant, header = f"cell_value = '{c.PLANT_LABEL}'", f"cell_value = '{c.HEADER_LABEL}'"
     return (
-        cells.where(value.isin(c.PLANT_LABEL, c.HEADER_LABEL))
+        cells.where(f"{plant} OR {header}")
         .groupBy("file_name")
         .agg(
-            F.min(F.when(value == c.PLANT_LABEL, F.struct("row_idx", "col_idx"))).alias("plant"),
-            F.min(F.when(value == c.HEADER_LABEL, F.col("row_idx"))).alias("header_row"),
+            F.expr(f"min(CASE WHEN {plant} THEN struct(row_idx, col_idx) END) AS plant"),
+            F.expr(f"min(CASE WHEN {header} THEN row_idx END) AS header_row"),
         )
     )
 
 
 def sheet_facilities(cells: DataFrame, anchors: DataFrame) -> DataFrame:
     """Per file: the cell to the right of the plant label."""
-    right_cell = anchors.where(F.col("plant").isNotNull()).select(
-        "file_name", F.col("plant.row_idx").alias("row_idx"), (F.col("plant.col_idx") + 1).alias("col_idx")
+    right_cell = anchors.where("plant IS NOT NULL").selectExpr(
+        "file_name", "plant.row_idx AS row_idx", "plant.col_idx + 1 AS col_idx"
     )
-    return cells.join(right_cell, ["file_name", "row_idx", "col_idx"]).select(
-        "file_name", F.col("cell_value").alias(c.FACILITY_COLUMN)
+    return cells.join(right_cell, ["file_name", "row_idx", "col_idx"]).selectExpr(
+        "file_name", f"cell_value AS {c.FACILITY_COLUMN}"
     )
 
 
@@ -39,47 +40,41 @@ def sheet_rows(cells: DataFrame) -> DataFrame:
 
     Totals, blank lines and repeated headers drop out here, before anything is joined to the rows.
     """
-    width = len(c.SHEET_COLUMNS)
     by_position = [
-        F.max(F.when(F.col("col_idx") == position, F.col("cell_value"))).alias(name)
-        for position, name in enumerate(c.SHEET_COLUMNS)
+        F.expr(f"max(cell_value) FILTER (WHERE col_idx = {position}) AS {name(column)}")
+        for position, column in enumerate(c.SHEET_COLUMNS)
     ]
-    first = F.col(f"`{c.SHEET_COLUMNS[0]}`")
+    first, *others = names(c.SHEET_COLUMNS)
     return (
-        cells.where(F.col("col_idx").between(0, width - 1))
+        cells.where(f"col_idx BETWEEN 0 AND {len(c.SHEET_COLUMNS) - 1}")
         .groupBy("file_name", "row_idx")
         .agg(*by_position)
-        .withColumn(c.SHEET_COLUMNS[0], load_number(first))
-        .where(first.isNotNull())
+        .selectExpr("file_name", "row_idx", f"{load_number(first)} AS {first}", *others)
+        .where(f"{first} IS NOT NULL")
     )
 
 
 def attachments(mail: DataFrame, params: ReportParams) -> DataFrame:
     """One row per attachment of the holdover mails received in the range (UTC)."""
-    body = F.lower("text")
-    found = F.lit(False)
-    for term in c.MAIL_SEARCH_TERMS:
-        found = found | body.contains(term)
-    subject = F.get(F.filter("headers", lambda header: header["name"] == "Subject"), F.lit(0))["value"]
-    part = F.col("part")
+    found = " OR ".join(f"contains(lower(text), '{term}')" for term in c.MAIL_SEARCH_TERMS)
+    subject = "get(filter(headers, header -> header.name = 'Subject'), 0).value"
     return (
-        mail.where(found & params.in_range(millis_to_timestamp(F.col("internal_date"))))
-        .withColumn("part", F.explode("parts"))
-        .where((part["filename"] != "") & (part["attachment_id"] != ""))
-        .select(
+        mail.where(f"({found}) AND {params.in_range(millis_to_timestamp('internal_date'))}")
+        .selectExpr("*", "explode(parts) AS part")
+        .where("part.filename <> '' AND part.attachment_id <> ''")
+        .selectExpr(
             "message_id",
             "internal_date",
-            part["filename"].alias("file_name"),
-            F.coalesce(subject, F.lit(c.NO_SUBJECT)).alias("subject"),
-            received_date(F.col("internal_date")).alias("received_date"),
-            shipper_key(F.lit(params.shipper_id)).alias("shipper_key"),
-            decode_base64url(part["data"]).alias("content"),
+            "part.filename AS file_name",
+            f"coalesce({subject}, '{c.NO_SUBJECT}') AS subject",
+            f"{received_date('internal_date')} AS received_date",
+            f"{shipper_key(text(params.shipper_id))} AS shipper_key",
+            f"{decode_base64url('part.data')} AS content",
         )
     )
 
 
 def received_dates(mail_attachments: DataFrame) -> DataFrame:
     """One received date per file; the latest message wins where a file name came twice."""
-    return mail_attachments.groupBy("file_name").agg(
-        F.max_by("received_date", F.struct("internal_date", "message_id")).alias(c.RECEIVED_COLUMN)
-    )
+    latest = f"max_by(received_date, struct(internal_date, message_id)) AS {name(c.RECEIVED_COLUMN)}"
+    return mail_attachments.groupBy("file_name").agg(F.expr(latest))

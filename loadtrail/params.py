@@ -5,9 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date, timedelta
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from loadtrail import constants as c
 
 
@@ -39,8 +36,9 @@ class ReportParams:
     def day_after_end(self) -> date:
         return self.end + timedelta(days=1)
 
-    def in_range(self, ts: Column) -> Column:
-        """Half-open `[start, end + 1 day)`; the bounds fold to literals and reach the scan."""
-        lower = F.lit(self.start).cast("timestamp_ntz")
-        upper = F.lit(self.day_after_end).cast("timestamp_ntz")
-        return (ts >= lower) & (ts < upper)
+    def in_range(self, ts: str) -> str:
+        """SQL condition for the half-open `[start, end + 1 day)`."""
+        return (
+            f"({ts} >= TIMESTAMP_NTZ'{self.start} 00:00:00' "
+            f"AND {ts} < TIMESTAMP_NTZ'{self.day_after_end} 00:00:00')"
+        )

@@ -6,13 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadtrail import constants as c
-from loadtrail.operators.sheets import (
-    attachments,
-    received_dates,
-    sheet_anchors,
-    sheet_facilities,
-    sheet_rows,
-)
+from loadtrail.functions.sql import names
+from loadtrail.operators.sheets import attachments, received_dates, sheet_anchors, sheet_facilities, sheet_rows
 from loadtrail.params import ReportParams
 
 
@@ -20,7 +15,7 @@ def sheet_facts(cells: DataFrame, mail: DataFrame, params: ReportParams) -> Data
     """One row per file: header row, facility (null without a label) and received date (null without mail)."""
     anchors = sheet_anchors(cells)
     return (
-        anchors.where(F.col("header_row").isNotNull())
+        anchors.where("header_row IS NOT NULL")
         .select("file_name", "header_row")
         .join(sheet_facilities(cells, anchors), "file_name", "left")
         .join(received_dates(attachments(mail, params)), "file_name", "left")
@@ -30,7 +25,6 @@ def sheet_facts(cells: DataFrame, mail: DataFrame, params: ReportParams) -> Data
 def holdover_list(cells: DataFrame, mail: DataFrame, params: ReportParams) -> DataFrame:
     """A sheet without a header row contributes nothing."""
     facts = sheet_facts(cells, mail, params).withColumnRenamed("file_name", "fact_file")
-    rows = sheet_rows(cells)
-    below_header = (rows["file_name"] == facts["fact_file"]) & (rows["row_idx"] > facts["header_row"])
-    columns = [*c.SHEET_COLUMNS, c.FACILITY_COLUMN, c.RECEIVED_COLUMN]
-    return rows.join(facts, below_header).select(*[F.col(f"`{name}`") for name in columns])
+    below_header = F.expr("file_name = fact_file AND row_idx > header_row")
+    columns = names([*c.SHEET_COLUMNS, c.FACILITY_COLUMN, c.RECEIVED_COLUMN])
+    return sheet_rows(cells).join(facts, below_header).selectExpr(*columns)

@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from loadtrail.functions.timestamps import date_label
 from loadtrail.params import ReportParams
 
 
-def report_label(params: ReportParams) -> Column:
-    """`<first day>_<last day><year of the first day>`, as report names carry it."""
-    start, end = F.lit(params.start), F.lit(params.end)
-    return F.concat(date_label(start), F.lit("_"), date_label(end), F.year(start).cast("string"))
+def report_label(params: ReportParams) -> str:
+    """SQL text of `<first day>_<last day><year of the first day>`, as report names carry it."""
+    start, end = f"DATE'{params.start}'", f"DATE'{params.end}'"
+    return f"concat({date_label(start)}, '_', {date_label(end)}, '{params.start.year}')"

@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadtrail import constants as c
+from loadtrail.functions.sql import name
 from loadtrail.functions.status import response_note
 from loadtrail.functions.text import alert_text, load_number
 from loadtrail.functions.timestamps import minutes_between
+from loadtrail.operators.carriers import CARRIER_COLUMNS
 from loadtrail.operators.correlation import (
     attach_earliest_response,
     hot_loads,
@@ -20,13 +22,14 @@ from loadtrail.operators.followups import blank_skipped, milestone_flags
 from loadtrail.operators.keepfirst import first_per_key, keep_first_fallback
 from loadtrail.params import ReportParams
 from loadtrail.plans.classify import ROW_ORDER, TRIGGER_ORDER, classify, complete
+from loadtrail.plans.formatting import report_columns
 
 FOLLOW_UP_KEYS = ("load_id",)
 SORT_KEY = ("Triggered At", "Load Number")
 
 
 def rtp_triggers(log: DataFrame, params: ReportParams) -> DataFrame:
-    return trigger_rows(log, params).withColumn("trigger_message", alert_text(F.col("trigger_message")))
+    return trigger_rows(log, params).withColumn("trigger_message", F.expr(alert_text("trigger_message")))
 
 
 def rtp_classified(log: DataFrame, milestones: DataFrame, params: ReportParams) -> DataFrame:
@@ -40,13 +43,13 @@ def rtp_rows(log: DataFrame, milestones: DataFrame, params: ReportParams) -> Dat
 
 def without_skipped(rows: DataFrame) -> DataFrame:
     """Drop skipped rows, but keep the first row of an execution that has no other."""
-    flagged = rows.withColumn("is_skipped", F.col("status") == c.TRIGGER_SKIPPED_STATUS)
+    flagged = rows.selectExpr("*", f"status = '{c.TRIGGER_SKIPPED_STATUS}' AS is_skipped")
     return keep_first_fallback(flagged, "workflow_exec_id", "is_skipped", ROW_ORDER).drop("is_skipped")
 
 
 def first_rows_of_loads(rows: DataFrame) -> DataFrame:
     """The first row of each load number; rows without a whole number as load id can match nothing."""
-    numbered = rows.withColumn("load_number", load_number(F.col("load_id"))).where(F.col("load_number").isNotNull())
+    numbered = rows.selectExpr("*", f"{load_number('load_id')} AS load_number").where("load_number IS NOT NULL")
     return first_per_key(numbered, ["load_number"], ROW_ORDER)
 
 
@@ -61,10 +64,10 @@ def load_summary(log: DataFrame, milestones: DataFrame, params: ReportParams) ->
     per_execution = first_per_key(classified, ["workflow_exec_id", "load_id", "skipped"], TRIGGER_ORDER)
     kept = keep_first_fallback(per_execution, "workflow_exec_id", "skipped", TRIGGER_ORDER)
     order = [*TRIGGER_ORDER, "workflow_exec_id"]
-    per_load = first_per_key(kept.where(F.col("load_id").isNotNull()), ["load_id", "skipped"], order)
+    per_load = first_per_key(kept.where("load_id IS NOT NULL"), ["load_id", "skipped"], order)
     responses = responses_of_loads(response_groups(log, params))
-    attached = attach_earliest_response(per_load, responses, hot_loads(log, params), wanted=~F.col("skipped"))
-    return first_rows_of_loads(blank_skipped(attached).drop("skipped"))
+    attached = attach_earliest_response(per_load, responses, hot_loads(log, params), wanted="NOT skipped")
+    return first_rows_of_loads(blank_skipped(attached))
 
 
 def rtp_report(
@@ -73,15 +76,14 @@ def rtp_report(
     # both lookups have one row per load; merged, the long holdover list is joined once
     summary = load_summary(log, milestones, params).drop("load_id")
     lookup = summary.join(carriers, "load_number", "full")
-    key = holdover["Load Number"] == lookup["load_number"]
-    rows = holdover.join(lookup, key, "left").drop("load_number")
-    report = (
-        rows.withColumns({name: F.coalesce(name, F.lit("")) for name in (c.CARRIER_COLUMN, "scac")})
-        .withColumn(c.DELAY_HEADING, minutes_between(F.col("followup_sent_at"), F.col("response_timestamp")))
-        .withColumn(
-            "NOTES/COMMENTS", response_note(F.col("followup_sent_at"), F.col("response_timestamp"), F.col("actions"))
-        )
-        .withColumnsRenamed(c.REPORT_HEADINGS)
-        .select(*[F.col(f"`{name}`") for name in c.READY_TO_PICKUP_COLUMNS])
-    )
-    return report.orderBy(*[F.col(f"`{name}`").asc_nulls_last() for name in SORT_KEY])
+    rows = holdover.join(lookup, F.expr("`Load Number` = load_number"), "left")
+    carrier, scac = [f"coalesce({column}, '')" for column in CARRIER_COLUMNS]
+    changed = {
+        "Load Number": "`Load Number`",
+        c.CARRIER_COLUMN: carrier,
+        "Carrier SCAC": scac,
+        c.DELAY_HEADING: minutes_between("followup_sent_at", "response_timestamp"),
+        "NOTES/COMMENTS": response_note("followup_sent_at", "response_timestamp", "actions"),
+    }
+    report = report_columns(rows, c.READY_TO_PICKUP_COLUMNS, changed)
+    return report.orderBy(*[F.expr(name(column)).asc_nulls_last() for column in SORT_KEY])

@@ -8,7 +8,7 @@ files grow in number with the tables. FIXTURES.md lists the rules.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import cache, cached_property
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -137,7 +137,6 @@ class Tables:
     spark: SparkSession
     folder: str
 
-    @cache
     def given(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 

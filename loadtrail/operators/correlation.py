@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -90,23 +92,34 @@ def attach_responses(rows: DataFrame, responses: DataFrame, hot: DataFrame, want
     return joined.selectExpr(*names(rows.columns), _status(), *RESPONSE_COLUMNS)
 
 
-def attach_earliest_response(rows: DataFrame, responses: DataFrame, hot: DataFrame, wanted: str) -> DataFrame:
-    """Join at most one `wanted` row per load to the earliest later response, without building pairs.
+def attach_earliest_response(
+    rows: DataFrame, keys: Sequence[str], responses: DataFrame, hot: DataFrame, wanted: str
+) -> DataFrame:
+    """Left join each row to the earliest later response of its load; `keys` tell the rows apart.
 
-    The many responses are the dealt side here, and the choice is a mergeable minimum.
+    For few rows per load: here the many responses are the dealt side, the rows are copied to every
+    split of their load, and a mergeable minimum brings the copies together again. No pairs are kept.
     """
-    one_per_load = copy_per_split(rows.where(wanted).select("load_id", "trigger_timestamp"), "load_id", hot)
-    order = ("response_timestamp", "response_message", "status", "actions")
-    best = (
-        deal(responses, "load_id", hot)
-        .join(one_per_load, ["load_id", "split"])
-        .where("trigger_timestamp < response_timestamp")
-        .groupBy(F.expr("load_id AS response_load"))
-        .agg(F.expr(f"min({row_struct(order, order)}) AS best"))
-        .selectExpr("response_load", "best.status AS response_status", *[f"best.{name}" for name in RESPONSE_COLUMNS])
+    columns = rows.columns
+    right = deal(responses, "load_id", hot).selectExpr(
+        "load_id AS response_load", "split AS response_split", "status AS response_status", *RESPONSE_COLUMNS
+    )
+    match = (
+        "load_id = response_load AND split = response_split "
+        f"AND trigger_timestamp < response_timestamp AND ({wanted})"
+    )
+    response = "struct(response_timestamp, response_message, response_status, actions)"
+    return (
+        copy_per_split(rows, "load_id", hot)
+        .join(right, F.expr(match), "left")
+        .groupBy(*keys)
+        .agg(
+            F.expr(f"min({row_struct(columns, columns, skip=keys)}) AS row"),
+            F.expr(f"min(CASE WHEN response_load IS NOT NULL THEN {response} END) AS best"),
+        )
+        .selectExpr(*keys, "row.*", "best.*")
+        .selectExpr(*names(columns), _status(), *RESPONSE_COLUMNS)
     )
-    joined = rows.join(best, F.expr(f"load_id = response_load AND ({wanted})"), "left")
-    return joined.selectExpr(*names(rows.columns), _status(), *RESPONSE_COLUMNS)
 
 
 def _status() -> str:

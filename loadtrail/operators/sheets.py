@@ -26,11 +26,17 @@ def sheet_anchors(cells: DataFrame) -> DataFrame:
 
 
 def sheet_facilities(cells: DataFrame, anchors: DataFrame) -> DataFrame:
-    """Per file: the cell to the right of the plant label."""
+    """Per file: the cell to the right of the plant label.
+
+    Labels sit near the top of their sheets, so only the band of rows that holds any label is joined.
+    """
     right_cell = anchors.where("plant IS NOT NULL").selectExpr(
         "file_name", "plant.row_idx AS row_idx", "plant.col_idx + 1 AS col_idx"
     )
-    return cells.join(right_cell, ["file_name", "row_idx", "col_idx"]).selectExpr(
+    top = right_cell.agg(F.expr("min(row_idx)")).scalar()
+    bottom = right_cell.agg(F.expr("max(row_idx)")).scalar()
+    band = cells.where(F.col("row_idx").between(top, bottom))
+    return band.join(right_cell, ["file_name", "row_idx", "col_idx"]).selectExpr(
         "file_name", f"cell_value AS {c.FACILITY_COLUMN}"
     )
 

@@ -18,7 +18,7 @@ from loadtrail.operators.correlation import (
     responses_of_loads,
     trigger_rows,
 )
-from loadtrail.operators.followups import blank_skipped, milestone_flags
+from loadtrail.operators.followups import blank_skipped, follow_up_candidates, milestone_flags
 from loadtrail.operators.keepfirst import first_per_key, keep_first_fallback
 from loadtrail.params import ReportParams
 from loadtrail.plans.classify import ROW_ORDER, TRIGGER_ORDER, classify, complete
@@ -54,19 +54,25 @@ def first_rows_of_loads(rows: DataFrame) -> DataFrame:
 
 
 def load_summary(log: DataFrame, milestones: DataFrame, params: ReportParams) -> DataFrame:
-    """`first_rows_of_loads(without_skipped(rtp_rows(...)))`, without building trigger-response pairs.
+    """`first_rows_of_loads(without_skipped(rtp_rows(...)))` without building trigger-response pairs.
 
-    Only one row per load survives, and within a load the order of rows up to their trigger decides
-    which triggers come first. So the rows shrink to the first skipped and the first other row of each
-    load, and only then is the earliest later response attached.
+    Both skip rules together say: an execution shows its triggers with a follow-up in time; lacking
+    those, its first trigger without any follow-up; lacking those, its first late one. Within a load,
+    the columns known before responses decide which trigger comes first. So the rows shrink to the
+    first skipped and the first other row of each load, and only then meet the responses.
     """
-    classified = rtp_classified(log, milestones, params)
-    per_execution = first_per_key(classified, ["workflow_exec_id", "load_id", "skipped"], TRIGGER_ORDER)
-    kept = keep_first_fallback(per_execution, "workflow_exec_id", "skipped", TRIGGER_ORDER)
-    order = [*TRIGGER_ORDER, "workflow_exec_id"]
-    per_load = first_per_key(kept.where("load_id IS NOT NULL"), ["load_id", "skipped"], order)
+    candidates = follow_up_candidates(rtp_triggers(log, params), milestone_flags(milestones, params), FOLLOW_UP_KEYS)
+    ranked = candidates.selectExpr("*", "CASE WHEN out_of_window THEN 2 WHEN skipped THEN 1 ELSE 0 END AS rank")
+    order = ["rank", *TRIGGER_ORDER]
+    per_execution = first_per_key(ranked.drop("skipped", "out_of_window"), ["workflow_exec_id", "load_id"], order)
+    # few rows share an execution id here: as many as there are ways to cut the text into request and load
+    place = f"row_number() OVER (PARTITION BY workflow_exec_id ORDER BY {', '.join(order)}, load_id) AS place"
+    kept = per_execution.selectExpr("*", place).where("(rank = 0 OR place = 1) AND load_id IS NOT NULL")
+    flagged = kept.selectExpr("*", "rank > 0 AS skipped").drop("rank", "place")
+    keys = ["load_id", "skipped"]
+    per_load = first_per_key(flagged, keys, [*TRIGGER_ORDER, "workflow_exec_id"])
     responses = responses_of_loads(response_groups(log, params))
-    attached = attach_earliest_response(per_load, responses, hot_loads(log, params), wanted="NOT skipped")
+    attached = attach_earliest_response(per_load, keys, responses, hot_loads(log, params), wanted="NOT skipped")
     return first_rows_of_loads(blank_skipped(attached))
 
 

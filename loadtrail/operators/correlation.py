@@ -16,8 +16,6 @@ from loadtrail.operators.keepfirst import row_struct
 from loadtrail.operators.requests import is_response, is_trigger, load_rows, rows_of_active_requests
 from loadtrail.params import ReportParams
 
-PAIRS_PER_SPLIT = 4_000_000
-
 RESPONSE_COLUMNS = ("response_message", "response_timestamp", "actions")
 
 
@@ -61,7 +59,7 @@ def responses_of_loads(groups: DataFrame) -> DataFrame:
     )
 
 
-def hot_loads(log: DataFrame, params: ReportParams, pairs_per_split: int = PAIRS_PER_SPLIT) -> DataFrame:
+def hot_loads(log: DataFrame, params: ReportParams) -> DataFrame:
     """Loads whose trigger-response pairs are too many for one task.
 
     Counted over the report range only, which needs few columns of few days. The counts steer the
@@ -73,7 +71,7 @@ def hot_loads(log: DataFrame, params: ReportParams, pairs_per_split: int = PAIRS
         .groupBy(F.expr("entity_id AS load_id"))
         .agg(F.expr(f"count_if({is_trigger(params)}) AS triggers"), F.expr(f"count_if({is_response()}) AS responses"))
     )
-    return hot_keys(weights, "load_id", "greatest(triggers, 1) * CAST(responses AS DOUBLE)", pairs_per_split)
+    return hot_keys(weights, "load_id", "greatest(triggers, 1) * CAST(responses AS DOUBLE)", params.pairs_per_split)
 
 
 def attach_responses(rows: DataFrame, responses: DataFrame, hot: DataFrame, wanted: str = "true") -> DataFrame:

@@ -53,7 +53,7 @@ def sheet_rows(cells: DataFrame) -> DataFrame:
     first, *others = names(c.SHEET_COLUMNS)
     return (
         cells.where(f"col_idx BETWEEN 0 AND {len(c.SHEET_COLUMNS) - 1}")
-        .groupBy("file_name", "row_idx")
+        .groupBy("row_idx", "file_name")  # the cheap key first: the aggregate sorts by its keys
         .agg(*by_position)
         .selectExpr("file_name", "row_idx", f"{load_number(first)} AS {first}", *others)
         .where(f"{first} IS NOT NULL")

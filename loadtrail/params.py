@@ -17,6 +17,8 @@ class ReportParams:
     start: date
     end: date
     trigger_action: str | None = None
+    # trigger-response pairs of one load that a single task may build; more are split over tasks
+    pairs_per_split: int = 4_000_000
 
     @classmethod
     def notifier(cls, shipper_id: str, start: str, end: str) -> ReportParams:

@@ -1,0 +1,92 @@
+"""Hand-computed cases of the log side."""
+
+from datetime import timedelta
+
+from loadtrail.operators.correlation import response_groups, trigger_rows
+from loadtrail.operators.requests import rows_of_active_requests
+from loadtrail.plans.correlate import correlate
+from tests.helpers import NOTIFIER, READY, at, log_frame, log_row
+
+T = at("10:00:00")
+
+
+def minutes(n):
+    return T + timedelta(minutes=n)
+
+
+def test_request_across_midnight_brings_all_its_rows(spark):
+    day_before, day_after = T - timedelta(days=1), T + timedelta(days=1)
+    rows = [
+        log_row("1", "in", "notifier", "TRIGGERED", day_before),
+        log_row("1", "in", "other", "X", T, shipper="b", kind="Order"),
+        log_row("1", "out", "notifier", "TRIGGERED", day_after),
+        log_row("1", None, "notifier", "TRIGGERED", T),
+        log_row("2", "edge", "notifier", "TRIGGERED", at("00:00:00")),
+        log_row("2", "end", "notifier", "TRIGGERED", at("23:59:59.999999")),
+        log_row("2", "next", "notifier", "TRIGGERED", at("00:00:00") + timedelta(days=1)),
+    ]
+    log = log_frame(spark, rows)
+    kept = rows_of_active_requests(log, log, NOTIFIER).select("request_id", "created_at").collect()
+    assert sorted((r.request_id, r.created_at) for r in kept) == sorted(
+        (r["request_id"], r["created_at"]) for r in (rows[0], rows[1], rows[4], rows[5])
+    )
+
+
+def test_response_group_aggregates(spark):
+    rows = [
+        log_row("1", "r", "shipment_update", "DETAILS_EXTRACTED", minutes(3), "Raw message b"),
+        log_row("1", "r", "shipment_update", "DETAILS_EXTRACTED", minutes(2), "Raw message a"),
+        log_row("1", "r", "shipment_update", "xUPDATED", minutes(1), "zzz"),
+        log_row("1", "r", "shipment_update", None, minutes(9)),
+        log_row("2", "r", "shipment_update", "UPDATED", minutes(1)),
+        log_row("3", "r", "shipment_update", None, minutes(1)),
+        log_row("4", "r", "shipment_update", "ETA_UPDATED", minutes(1), kind="Order"),
+    ]
+    result = {r["entity_id"]: r for r in response_groups(log_frame(spark, rows), NOTIFIER).collect()}
+    assert set(result) == {"1", "2", "3"}
+    assert result["1"]["response_message"] == "Raw message b"
+    assert result["1"]["response_timestamp"] == minutes(2)
+    # the underscore of the pattern needs one character, whichever it is
+    assert result["1"]["response_updated_timestamp"] == minutes(1)
+    assert result["1"]["actions"] == "DETAILS_EXTRACTED; xUPDATED"
+    assert result["2"]["response_updated_timestamp"] is None and result["2"]["actions"] == "UPDATED"
+    assert result["3"]["actions"] is None
+
+
+def test_trigger_takes_every_later_response_of_its_load(spark):
+    rows = [
+        log_row("1", "t", "notifier", "ANY", T, "Load #1: FourKites Alert: late"),
+        log_row("1", "t", "notifier", "ANY", minutes(7), "FourKites Alert:no blank"),
+        log_row("1", "a", "shipment_update", "DETAILS_EXTRACTED", T, "Raw message same time"),
+        log_row("1", "b", "shipment_update", "DETAILS_EXTRACTED", minutes(5), "Raw message"),
+        log_row("1", "c", "shipment_update", "DETAILS_EXTRACTED", minutes(6)),
+        log_row("1", "d", "shipment_update", "ETA_UPDATED", minutes(8), "Raw message without details"),
+        log_row("1", "b", "shipment_update", "ETA_UPDATED", minutes(9)),
+        log_row("2", "e", "shipment_update", "DETAILS_EXTRACTED", minutes(6)),
+        log_row(None, "t", "notifier", "ANY", T),
+        log_row(None, "e", "shipment_update", "DETAILS_EXTRACTED", minutes(6)),
+    ]
+    result = correlate(log_frame(spark, rows), NOTIFIER).collect()
+    got = sorted((r.load_id or "", r.trigger_timestamp, str(r.response_timestamp), r.status) for r in result)
+    assert got == [
+        ("", T, "None", "AWAITING_RESPONSE"),
+        ("1", T, str(minutes(5)), "SUCCESS"),
+        ("1", T, str(minutes(6)), "AWAITING_RESPONSE"),
+        ("1", minutes(7), "None", "AWAITING_RESPONSE"),
+    ]
+    by_time = {r.trigger_timestamp: r for r in result if r.load_id}
+    assert by_time[T].workflow_exec_id == "t-1"
+    assert by_time[T].trigger_message == "Load #1: FourKites Alert: late"
+    assert by_time[minutes(7)].trigger_message is None
+    assert [r.workflow_exec_id for r in result if r.load_id is None] == [None]
+
+
+def test_only_ready_to_pickup_narrows_trigger_rows_by_action(spark):
+    rows = [
+        log_row("1", "t", workflow, action, T)
+        for workflow in ("notifier", "ready_to_pickup")
+        for action in ("FETCHED_CARRIER_SCAC", "OTHER")
+    ]
+    log = log_frame(spark, rows)
+    assert trigger_rows(log, NOTIFIER).count() == 2
+    assert trigger_rows(log, READY).count() == 1

@@ -90,7 +90,7 @@ def _steps(p: ReportParams) -> list[tuple[str, str]]:
         (
             "triggers",
             f"""SELECT entity_id AS load_id, request_id || '-' || entity_id AS workflow_exec_id, shipper_id,
-              workflow_identifier AS workflow, {_alert(message) if rtp else message} AS trigger_message,
+              workflow_identifier AS workflow, {message} AS trigger_message,
               created_at AS trigger_timestamp FROM trigger_log""",
         ),
         (
@@ -121,8 +121,10 @@ def _steps(p: ReportParams) -> list[tuple[str, str]]:
         ),
         (
             "merged",
-            f"""SELECT *, {missed} AS missed FROM (SELECT t.*, f.followup_sent_at, f.reminder, f.escalated
-              FROM correlated t LEFT JOIN followup f ON {keys})""",
+            f"""SELECT *, {missed} AS missed
+            FROM (SELECT t.* REPLACE ({_alert('t.trigger_message') if rtp else 't.trigger_message'} AS trigger_message),
+                    f.followup_sent_at, f.reminder, f.escalated
+                  FROM correlated t LEFT JOIN followup f ON {keys})""",
         ),
         (
             "fallback",
@@ -245,9 +247,7 @@ def oracle_sql() -> dict[str, str]:
         "request_window_semi": _query("SELECT request_id, entity_id, action, created_at FROM trigger_log", "trigger_log", n),
         "response_rollup": _query("SELECT * FROM response_group", "response_group", n),
         "trigger_response_correlate_notifier": _query("SELECT * FROM correlated", "correlated", n),
-        "trigger_response_correlate_rtp": _query(
-            "SELECT * FROM correlated", "correlated", r
-        ),
+        "trigger_response_correlate_rtp": _query("SELECT * FROM correlated", "correlated", r),
         "milestone_flags": _query("SELECT * FROM followup", "followup", n),
         "milestone_join_nullsafe": _query(
             f"""SELECT t.*, f.followup_sent_at, f.reminder, f.escalated

@@ -27,10 +27,8 @@ from loadtrail.plans.rtp import (
     load_summary,
     rtp_report,
     rtp_rows,
-    rtp_triggers,
     without_skipped,
 )
-from loadtrail.operators.correlation import attach_responses, hot_loads, responses_of_loads
 from loadtrail.sinks.csv import write_report
 from loadtrail.sinks.report_set import publish_table, read_table, table_names
 from loadtrail.sources.tables import read_report_csv
@@ -52,11 +50,6 @@ def request_window_semi(t: Tables) -> DataFrame:
     return kept.select("request_id", "entity_id", "action", "created_at")
 
 
-def correlate_rtp(t: Tables) -> DataFrame:
-    responses = responses_of_loads(response_groups(t.log, READY_TO_PICKUP))
-    return attach_responses(rtp_triggers(t.log, READY_TO_PICKUP), responses, hot_loads(t.log, READY_TO_PICKUP))
-
-
 def milestone_join_nullsafe(t: Tables) -> DataFrame:
     flags = milestone_flags(t.milestones, NOTIFIER)
     joined = join_first_followup(trigger_rows(t.log, NOTIFIER).distinct(), flags, FOLLOW_UP_KEYS)
@@ -177,7 +170,7 @@ _OPERATORS: dict[str, Callable[[Tables], DataFrame]] = {
     "request_window_semi": request_window_semi,
     "response_rollup": lambda t: response_groups(t.log, NOTIFIER),
     "trigger_response_correlate_notifier": lambda t: correlate(t.log, NOTIFIER),
-    "trigger_response_correlate_rtp": correlate_rtp,
+    "trigger_response_correlate_rtp": lambda t: correlate(t.log, READY_TO_PICKUP),
     "milestone_flags": lambda t: milestone_flags(t.milestones, NOTIFIER),
     "milestone_join_nullsafe": milestone_join_nullsafe,
     "followup_window": followup_window,

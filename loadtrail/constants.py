@@ -10,6 +10,9 @@ DETAILS_EXTRACTED_ACTION = "DETAILS_EXTRACTED"
 UPDATED_ACTION_LIKE = "%_UPDATED%"  # LIKE: the underscore stands for any one character
 RAW_MESSAGE_LIKE = "%Raw message%"
 
+# optional partition column of both logs: the date of created_at
+DAY_COLUMN = "created_date"
+
 # alert text inside trigger comments
 ALERT_LABEL = "FourKites Alert:"
 LOAD_PREFIX_PATTERN = r"(?U)Load #\d+:?[\s\x1c-\x1f]*"

@@ -60,25 +60,32 @@ def responses_of_loads(groups: DataFrame) -> DataFrame:
 
 
 def hot_loads(log: DataFrame, params: ReportParams) -> DataFrame:
-    """Loads whose trigger-response pairs are too many for one task.
+    """Loads with too many trigger-response pairs, or simply too many rows, for one task.
 
     Counted over the report range only, which needs few columns of few days. The counts steer the
     splitting and nothing else.
     """
-    in_range = load_rows(log, params).where(params.in_range("created_at"))
+    in_range = load_rows(log, params).where(params.logged_in_range(log.columns))
     weights = (
         in_range.where(f"{is_trigger(params)} OR {is_response()}")
         .groupBy(F.expr("entity_id AS load_id"))
         .agg(F.expr(f"count_if({is_trigger(params)}) AS triggers"), F.expr(f"count_if({is_response()}) AS responses"))
     )
-    return hot_keys(weights, "load_id", "greatest(triggers, 1) * CAST(responses AS DOUBLE)", params.pairs_per_split)
+    tasks = (
+        f"CAST(triggers AS DOUBLE) * responses / {params.pairs_per_split} "
+        f"+ CAST(triggers + responses AS DOUBLE) / {params.rows_per_split}"
+    )
+    return hot_keys(weights, "load_id", tasks)
 
 
 def attach_responses(rows: DataFrame, responses: DataFrame, hot: DataFrame, wanted: str = "true") -> DataFrame:
     """Left join every row to all later responses of its load; rows not `wanted` stay without one.
 
-    The pairs are the result the reports ask for. Hot loads are dealt over several tasks.
+    The pairs are the result the reports ask for. Hot loads are dealt over several tasks; the number
+    of tasks is fixed, because adaptive merging would judge them by their few input bytes.
     """
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left = deal(rows, "load_id", hot).repartition(partitions, "load_id", "split")
     right = copy_per_split(responses, "load_id", hot).selectExpr(
         "load_id AS response_load", "split AS response_split", "status AS response_status", *RESPONSE_COLUMNS
     )
@@ -86,8 +93,7 @@ def attach_responses(rows: DataFrame, responses: DataFrame, hot: DataFrame, want
         "load_id = response_load AND split = response_split "
         f"AND trigger_timestamp < response_timestamp AND ({wanted})"
     )
-    joined = deal(rows, "load_id", hot).join(right, F.expr(match), "left")
-    return joined.selectExpr(*names(rows.columns), _status(), *RESPONSE_COLUMNS)
+    return left.join(right, F.expr(match), "left").selectExpr(*names(rows.columns), _status(), *RESPONSE_COLUMNS)
 
 
 def attach_earliest_response(

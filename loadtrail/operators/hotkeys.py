@@ -18,17 +18,17 @@ from loadtrail.functions.sql import names
 MAX_HOT_KEYS = 1000
 MAX_SPLITS = 4096
 NULL_KEY_SPLITS = 64
+MAX_SHARES = 1024
 
 
-def hot_keys(weights: DataFrame, key: str, work: str, work_per_split: int) -> DataFrame:
-    """`(key, splits)` of the heaviest keys, from one row per key and an expression for its work."""
-    splits = f"CAST(least(ceil(work / {work_per_split}D), {MAX_SPLITS}) AS BIGINT) AS splits"
+def hot_keys(weights: DataFrame, key: str, tasks: str) -> DataFrame:
+    """`(key, splits)` of the heaviest keys, from one row per key and the number of tasks its work fills."""
     return (
-        weights.selectExpr(key, f"CAST({work} AS DOUBLE) AS work")
-        .where(f"{key} IS NOT NULL AND work > {work_per_split}")
-        .orderBy(F.desc("work"), key)
+        weights.selectExpr(key, f"{tasks} AS tasks")
+        .where(f"{key} IS NOT NULL AND tasks > 1")
+        .orderBy(F.desc("tasks"), key)
         .limit(MAX_HOT_KEYS)
-        .selectExpr(key, splits)
+        .selectExpr(key, f"CAST(least(ceil(tasks), {MAX_SPLITS}) AS BIGINT) AS splits")
     )
 
 
@@ -47,3 +47,24 @@ def copy_per_split(rows: DataFrame, key: str, hot: DataFrame) -> DataFrame:
     """One copy of each row per split of its key."""
     split = "explode(sequence(0L, coalesce(splits, 1L) - 1)) AS split"
     return rows.join(F.broadcast(hot), key, "left").selectExpr(*names(rows.columns), split)
+
+
+def fold_copies(rows: DataFrame) -> DataFrame:
+    """Identical rows as few rows with a count, for a join that must keep every copy.
+
+    Copies meet before the shuffle, and no split could tell them apart later. A large group becomes
+    up to MAX_SHARES rows, told apart by `share`, each standing for its part of the `copies`.
+    """
+    columns = names(rows.columns)
+    shares = f"least(count, {MAX_SHARES}L)"
+    return (
+        rows.groupBy(*columns)
+        .count()
+        .selectExpr(*columns, "count", f"explode(sequence(1L, {shares})) AS share")
+        .selectExpr(*columns, "share", f"count div {shares} + if(share <= count % {shares}, 1L, 0L) AS copies")
+    )
+
+
+def unfold_copies(rows: DataFrame) -> DataFrame:
+    columns = [column for column in rows.columns if column not in ("share", "copies")]
+    return rows.selectExpr(*names(columns), "explode(sequence(1L, copies)) AS copy").drop("copy")

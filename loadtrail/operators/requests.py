@@ -26,7 +26,7 @@ def is_response() -> str:
 
 def active_requests(log: DataFrame, params: ReportParams) -> DataFrame:
     """Distinct ids seen in the range, of any shipper, workflow or entity type."""
-    seen = f"{params.in_range('created_at')} AND request_id IS NOT NULL"
+    seen = f"{params.logged_in_range(log.columns)} AND request_id IS NOT NULL"
     return log.where(seen).select("request_id").distinct()
 
 
@@ -36,8 +36,6 @@ def rows_of_active_requests(log: DataFrame, rows: DataFrame, params: ReportParam
     A row inside the range is its own proof and passes without a shuffle; only rows outside it need
     the semi join.
     """
-    inside = params.in_range("created_at")
-    outside = rows.where(f"NOT coalesce({inside}, false) AND request_id IS NOT NULL")
-    return rows.where(f"{inside} AND request_id IS NOT NULL").unionByName(
-        outside.join(active_requests(log, params), "request_id", "left_semi")
-    )
+    inside = rows.where(f"{params.logged_in_range(rows.columns)} AND request_id IS NOT NULL")
+    outside = rows.where(f"{params.logged_out_of_range(rows.columns)} AND request_id IS NOT NULL")
+    return inside.unionByName(outside.join(active_requests(log, params), "request_id", "left_semi"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, timedelta
 
@@ -17,8 +18,9 @@ class ReportParams:
     start: date
     end: date
     trigger_action: str | None = None
-    # trigger-response pairs of one load that a single task may build; more are split over tasks
+    # how many trigger-response pairs and how many rows of one load a single task may get
     pairs_per_split: int = 4_000_000
+    rows_per_split: int = 1_000_000
 
     @classmethod
     def notifier(cls, shipper_id: str, start: str, end: str) -> ReportParams:
@@ -44,3 +46,16 @@ class ReportParams:
             f"({ts} >= TIMESTAMP_NTZ'{self.start} 00:00:00' "
             f"AND {ts} < TIMESTAMP_NTZ'{self.day_after_end} 00:00:00')"
         )
+
+    def logged_in_range(self, columns: Sequence[str]) -> str:
+        """The same for `created_at`. A table laid out by `created_date` needs to open those days only."""
+        if c.DAY_COLUMN in columns:
+            days = f"{c.DAY_COLUMN} BETWEEN DATE'{self.start}' AND DATE'{self.end}'"
+            return f"({days} AND {self.in_range('created_at')})"
+        return self.in_range("created_at")
+
+    def logged_out_of_range(self, columns: Sequence[str]) -> str:
+        if c.DAY_COLUMN in columns:
+            # the range is made of whole days, so the day decides alone
+            return f"({c.DAY_COLUMN} < DATE'{self.start}' OR {c.DAY_COLUMN} > DATE'{self.end}')"
+        return f"NOT {self.in_range('created_at')}"

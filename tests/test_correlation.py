@@ -2,6 +2,7 @@
 
 from datetime import timedelta
 
+from loadtrail.operators import hotkeys
 from loadtrail.operators.correlation import response_groups, trigger_rows
 from loadtrail.operators.requests import rows_of_active_requests
 from loadtrail.plans.correlate import correlate
@@ -90,3 +91,11 @@ def test_only_ready_to_pickup_narrows_trigger_rows_by_action(spark):
     log = log_frame(spark, rows)
     assert trigger_rows(log, NOTIFIER).count() == 2
     assert trigger_rows(log, READY).count() == 1
+
+
+def test_equal_trigger_rows_stay_apart(spark, monkeypatch):
+    monkeypatch.setattr(hotkeys, "MAX_SHARES", 3)
+    rows = [log_row("1", "t", "notifier", "ANY", T)] * 8 + [log_row("1", "u", "notifier", "ANY", T)] * 2
+    rows += [log_row("1", request, "shipment_update", "DETAILS_EXTRACTED", minutes(5)) for request in "ab"]
+    result = correlate(log_frame(spark, rows), NOTIFIER).groupBy("workflow_exec_id").count().collect()
+    assert {r.workflow_exec_id: r["count"] for r in result} == {"t-1": 16, "u-1": 4}

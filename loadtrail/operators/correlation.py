@@ -11,7 +11,7 @@ from loadtrail import constants as c
 from loadtrail.functions.sql import names, text
 from loadtrail.functions.status import response_status, trigger_text
 from loadtrail.functions.text import execution_id
-from loadtrail.operators.hotkeys import copy_per_split, deal, hot_keys
+from loadtrail.operators.hotkeys import copy_per_split, deal, hot_keys, shuffle_partitions
 from loadtrail.operators.keepfirst import row_struct
 from loadtrail.operators.requests import is_response, is_trigger, load_rows, rows_of_active_requests
 from loadtrail.params import ReportParams
@@ -84,8 +84,7 @@ def attach_responses(rows: DataFrame, responses: DataFrame, hot: DataFrame, want
     The pairs are the result the reports ask for. Hot loads are dealt over several tasks; the number
     of tasks is fixed, because adaptive merging would judge them by their few input bytes.
     """
-    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    left = deal(rows, "load_id", hot).repartition(partitions, "load_id", "split")
+    left = deal(rows, "load_id", hot).repartition(shuffle_partitions(rows.sparkSession), "load_id", "split")
     right = copy_per_split(responses, "load_id", hot).selectExpr(
         "load_id AS response_load", "split AS response_split", "status AS response_status", *RESPONSE_COLUMNS
     )

@@ -8,7 +8,7 @@ depend on which keys count as hot.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadtrail.functions.sql import names
@@ -32,6 +32,12 @@ def hot_keys(weights: DataFrame, key: str, tasks: str) -> DataFrame:
     )
 
 
+def shuffle_partitions(spark: SparkSession) -> int:
+    """How many partitions the session starts a shuffle with."""
+    default = spark.conf.get("spark.sql.shuffle.partitions")
+    return int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", default))
+
+
 def deal(rows: DataFrame, key: str, hot: DataFrame) -> DataFrame:
     """Add `split`: a hash of the row within the splits of its key, 0 for ordinary keys.
 

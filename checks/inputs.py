@@ -181,13 +181,10 @@ class Tables:
             cell(header_row, F.lit(1), F.lit("CARRIER")),
             cell(F.lit(2_000_000_000), F.lit(0), F.lit(c.HEADER_LABEL)),
         ]
-        values = [F.col("first_cell"), F.col("customer"), F.col("order_status"), F.col("order_priority")]
-        values += [F.concat(F.lit(f"v{position} "), F.col("order_status")) for position in range(4, 14)]
-        body = [cell(F.col("row_idx"), F.lit(position), value) for position, value in enumerate(values)]
-        return (
-            sheets.select("file_name", F.inline(F.array(*anchors)))
-            .unionByName(lines.select("file_name", F.inline(F.array(*body))))
-            .select("file_name", "row_idx", "col_idx", "cell_value")
+        filler = ", ".join(f"concat('v{position} ', order_status)" for position in range(4, 14))
+        values = f"posexplode(array(first_cell, customer, order_status, order_priority, {filler}))"
+        return sheets.select("file_name", F.inline(F.array(*anchors))).union(
+            lines.selectExpr("file_name", "row_idx", f"{values} AS (col_idx, cell_value)")
         )
 
     @cached_property

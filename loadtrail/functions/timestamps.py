@@ -9,7 +9,8 @@ from loadtrail import constants as c
 
 
 def cut_to_second(ts: str) -> str:
-    return f"{ts} - make_dt_interval(0, 0, 0, extract(SECOND FROM {ts}) % 1)"
+    """Start of the one-second window around `ts`; stands in a select list and drops rows without a time."""
+    return f"window({ts}, '1 second').start"
 
 
 def epoch_seconds(ts: str) -> str:

@@ -113,3 +113,10 @@ def test_classify_accepts_no_rows(tables, spark):
     nobody = replace(NOTIFIER, shipper_id="nobody")
     empty = classify(trigger_rows(log, nobody), milestone_flags(milestones, nobody), ["load_id"])
     assert empty.count() == 0
+
+
+def test_shared_folder_is_the_one_the_session_names(spark):
+    from checks.registry import shared_folder
+
+    assert shared_folder(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
+    assert shared_folder(spark) != shared_folder(spark)

@@ -13,7 +13,7 @@ from loadtrail.plans.notifier import notifier_report
 from loadtrail.plans.rtp import rtp_report
 from loadtrail.sinks.csv import write_report
 from loadtrail.sinks.report_set import publish_table, read_table, table_names
-from loadtrail.sources.tables import jdbc_options, read_audit_log, read_holdover_csv, read_report_csv
+from loadtrail.sources.tables import read_audit_log, read_holdover_csv, read_report_csv, time_slices
 from tests.helpers import NOTIFIER, READY, at, log_frame, log_row, milestone, milestone_frame
 
 T = at("10:00:00")
@@ -144,6 +144,13 @@ def test_readers_declare_their_schema(spark, tmp_path):
     log, _ = _inputs(spark)
     log.write.parquet(str(tmp_path / "log"))
     assert read_audit_log(spark, str(tmp_path / "log")).schema == schemas.AUDIT_LOG
-    options = jdbc_options("jdbc:x", "agentic_logger", NOTIFIER.start, NOTIFIER.day_after_end, 12)
-    assert options["partitionColumn"] == "created_at" and options["numPartitions"] == "12"
-    assert (options["lowerBound"], options["upperBound"]) == ("2024-01-10 00:00:00", "2024-01-11 00:00:00")
+
+
+def test_every_row_is_in_one_time_slice(spark):
+    start = at("00:00:00")
+    times = [start + timedelta(hours=n, seconds=n % 2) for n in range(-30, 60)]
+    frame = spark.createDataFrame([(moment,) for moment in times], "created_at timestamp_ntz")
+    slices = time_slices(start, start + timedelta(days=1), 5)
+    counts = [frame.where(condition).count() for condition in slices]
+    assert sum(counts) == len(times) and min(counts) >= 4 and len(counts) == 5
+    assert time_slices(start, start, 1) == ["1 = 1"]

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 from datetime import datetime, timedelta
 
+from loadtrail.constants import ALERT_LABEL
 from loadtrail.params import ReportParams
 
 SKIP = "TRIGGER_SKIPPED"
@@ -56,7 +57,7 @@ def correlate(log: list[dict], params: ReportParams) -> list[dict]:
             "workflow_exec_id": None if r["entity_id"] is None else f"{r['request_id']}-{r['entity_id']}",
             "shipper_id": r["shipper_id"],
             "workflow": r["workflow_identifier"],
-            "trigger_message": comment if comment and "FourKites Alert: " in comment else None,
+            "trigger_message": comment if comment and f"{ALERT_LABEL} " in comment else None,
             "trigger_timestamp": r["created_at"],
         }
         later = [
@@ -165,7 +166,7 @@ def random_inputs(seed: int, rows: int, loads: list, hot_share: float = 0.0) ->
                 "shipper_id": rng.choice(["a", "a", "a", "b"]),
                 "workflow_identifier": workflow,
                 "action": rng.choice(actions) if workflow == "shipment_update" else "FETCHED_CARRIER_SCAC",
-                "comment": rng.choice([None, f"Raw message {n}", "FourKites Alert: late", f"FourKites Alert: {n % 4}"]),
+                "comment": rng.choice([None, f"Raw message {n}", f"{ALERT_LABEL} late", f"{ALERT_LABEL} {n % 4}"]),
                 "created_at": moment(),
             }
         )

@@ -2,6 +2,7 @@
 
 from datetime import timedelta
 
+from loadtrail.constants import ALERT_LABEL
 from loadtrail.operators import hotkeys
 from loadtrail.operators.correlation import response_groups, trigger_rows
 from loadtrail.operators.requests import rows_of_active_requests
@@ -56,8 +57,8 @@ def test_response_group_aggregates(spark):
 
 def test_trigger_takes_every_later_response_of_its_load(spark):
     rows = [
-        log_row("1", "t", "notifier", "ANY", T, "Load #1: FourKites Alert: late"),
-        log_row("1", "t", "notifier", "ANY", minutes(7), "FourKites Alert:no blank"),
+        log_row("1", "t", "notifier", "ANY", T, f"Load #1: {ALERT_LABEL} late"),
+        log_row("1", "t", "notifier", "ANY", minutes(7), f"{ALERT_LABEL}no blank"),
         log_row("1", "a", "shipment_update", "DETAILS_EXTRACTED", T, "Raw message same time"),
         log_row("1", "b", "shipment_update", "DETAILS_EXTRACTED", minutes(5), "Raw message"),
         log_row("1", "c", "shipment_update", "DETAILS_EXTRACTED", minutes(6)),
@@ -77,7 +78,7 @@ def test_trigger_takes_every_later_response_of_its_load(spark):
     ]
     by_time = {r.trigger_timestamp: r for r in result if r.load_id}
     assert by_time[T].workflow_exec_id == "t-1"
-    assert by_time[T].trigger_message == "Load #1: FourKites Alert: late"
+    assert by_time[T].trigger_message == f"Load #1: {ALERT_LABEL} late"
     assert by_time[minutes(7)].trigger_message is None
     assert [r.workflow_exec_id for r in result if r.load_id is None] == [None]
 

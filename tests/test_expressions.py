@@ -4,6 +4,7 @@ from datetime import date, datetime
 
 import pytest
 
+from loadtrail.constants import ALERT_LABEL
 from loadtrail import constants as c
 from loadtrail.functions import status, text, timestamps
 from loadtrail.params import ReportParams
@@ -23,12 +24,12 @@ def _type(value):
 @pytest.mark.parametrize(
     ("comment", "expected"),
     [
-        ("Load #1: FourKites Alert:  late \t", "late"),
-        ("a\nFourKites Alert: first line\nsecond", "first line"),
-        ("FourKites Alert: keeps \r inside\r\n", "keeps \r inside"),
-        ("FourKites Alert:", ""),
+        (f"Load #1: {ALERT_LABEL}  late \t", "late"),
+        (f"a\n{ALERT_LABEL} first line\nsecond", "first line"),
+        (f"{ALERT_LABEL} keeps \r inside\r\n", "keeps \r inside"),
+        (ALERT_LABEL, ""),
         ("no label ", "no label "),
-        ("\x1f FourKites Alert:\x1c  odd space  ", "odd space"),
+        (f"\x1f {ALERT_LABEL}\x1c  odd space  ", "odd space"),
         (None, None),
     ],
 )

@@ -6,6 +6,7 @@ from datetime import timedelta
 
 import pytest
 
+from loadtrail.constants import ALERT_LABEL
 from loadtrail import constants as c
 from loadtrail import schemas
 from loadtrail.operators.carriers import carrier_table
@@ -32,7 +33,7 @@ def _holdover(spark, *numbers):
 def _inputs(spark):
     log = []
     for workflow in ("notifier", "ready_to_pickup"):
-        message = "Load #1: FourKites Alert: Load #1 is late\nmore"
+        message = f"Load #1: {ALERT_LABEL} Load #1 is late\nmore"
         log.append(log_row("1", "r", workflow, "FETCHED_CARRIER_SCAC", T, message))
         log.append(log_row("2", "r", workflow, "FETCHED_CARRIER_SCAC", T))
         log.append(log_row("3", "r", workflow, "FETCHED_CARRIER_SCAC", T))

@@ -2,16 +2,41 @@
 
 from __future__ import annotations
 
-EXACT_DEDUP = """
-WITH n AS (
-    SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
-    FROM documents
-)
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+EXACT_DEDUP = f"""
+WITH n AS (SELECT doc_id, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS t FROM documents)
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id IS NOT DISTINCT FROM max(doc_id) OVER same AS kept, sha256(t) AS text_sha256
 FROM n WINDOW same AS (PARTITION BY t)
 """
 
+#: All pairs that share a shingle, and the components by following links: fit for small tables only.
+NGRAM_JOIN = f"""
+WITH RECURSIVE worded AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x20\\x09-\\x0D]+') AS w
+    FROM documents
+), sets AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN []
+        WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)]) END AS s
+    FROM worded
+), keyed AS (SELECT doc_id, len(s) AS n, list_sort(s) AS s, min(doc_id) OVER (PARTITION BY list_sort(s)) AS class_id FROM sets),
+shingles AS (SELECT doc_id, n, unnest(s) AS x FROM keyed WHERE doc_id = class_id),
+linked AS (
+    SELECT a.doc_id AS a, b.doc_id AS b
+    FROM shingles a JOIN shingles b ON a.x = b.x AND a.doc_id < b.doc_id AND a.n * 10 >= b.n * 9 AND b.n * 10 >= a.n * 9
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+), links AS (SELECT a, b FROM linked UNION ALL SELECT b, a FROM linked),
+reached AS (
+    SELECT DISTINCT class_id AS d, class_id AS r FROM keyed
+    UNION
+    SELECT reached.d, links.b FROM reached JOIN links ON reached.r = links.a
+), roots AS (SELECT d, min(r) AS root FROM reached GROUP BY d)
+SELECT keyed.doc_id, CAST(n AS BIGINT) AS n_shingles, CASE WHEN n = 0 THEN keyed.doc_id ELSE root END AS component_id
+FROM keyed JOIN roots ON roots.d = keyed.class_id
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": EXACT_DEDUP}
+    return {"op1_ngram_join": NGRAM_JOIN, "op2_exact_dedup": EXACT_DEDUP}

@@ -5,31 +5,75 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from loadtrail.llm.exact_dedup import exact_duplicates
+from loadtrail.llm.html_text import extracted
+from loadtrail.llm.lm_scoring import text_scores
+from loadtrail.llm.ngram_join import similar_components
+from loadtrail.llm.packing import packed
+from loadtrail.llm.pii import personal_data
 from loadtrail.llm.quality import quality_verdicts
+from loadtrail.llm.sentencepiece_viterbi import encoded
 from loadtrail.llm.sharding import sharded
+from loadtrail.llm.substring_dedup import without_repeated_spans
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return similar_components(table(spark, folder, "documents"), words=3, percent=90)
+
+
 def exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_duplicates(table(spark, folder, "documents"), keep="largest")
 
 
+def lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return text_scores(table(spark, folder, "documents"))
+
+
+def sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    found = encoded(table(spark, folder, "documents"))
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids")
+
+
 def sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharded(table(spark, folder, "documents"))
 
 
+def html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return extracted(table(spark, folder, "pages"))
+
+
 def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_verdicts(table(spark, folder, "documents"))
 
 
+def packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packed(table(spark, folder, "documents"))
+
+
+def personal(spark: SparkSession, folder: str) -> DataFrame:
+    return personal_data(table(spark, folder, "documents"))
+
+
+def substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return without_repeated_spans(table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_ngram_join": ngram_join,
         "op2_exact_dedup": exact_dedup,
+        "op3_lm_scoring": lm_scoring,
+        "op4_sentencepiece": sentencepiece,
         "op5_sharding": sharding,
+        "op6_html_extraction": html_extraction,
         "op7_quality_rules": quality_rules,
+        "op8_packing": packing,
+        "op9_pii": personal,
+        "op10_substring_dedup": substring_dedup,
     }

@@ -96,12 +96,20 @@ def placed(text: Column, pattern: Column, kind: int) -> Column:
     )
 
 
+def passing(spans: Column, check) -> Column:
+    return F.filter(spans, lambda s: check(s["value"]))
+
+
+def of_kind(spans: Column, kind: int) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
 def base_spans(text: Column) -> Column:
     """All base spans, by start, then kind."""
     none = F.array().cast("array<struct<start:int,kind:int,end:int,value:string>>")
     found = []
     for kind, (pattern, mark, check, _) in BASE.items():
-        spans = F.filter(placed(text, F.lit(pattern), KINDS.index(kind)), lambda s, check=check: check(s["value"]))
+        spans = passing(placed(text, F.lit(pattern), KINDS.index(kind)), check)
         needed = F.contains(text, F.lit(mark)) if mark else text.rlike("[0-9]{4}|[0-9][ -][0-9]")
         found.append(F.when(needed, spans).otherwise(none))
     return F.array_sort(F.concat(*found))
@@ -190,7 +198,7 @@ def personal_data(
 ) -> DataFrame:
     """Per row: identifier, matches per kind, digest of the base spans, and all spans."""
     found = document_spans(docs, id_column, text_column, threshold, least_contexts)
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{kind}") for k, kind in enumerate(KINDS[:4])]
+    counts = [of_kind(F.col("base"), k).alias(f"n_{kind}") for k, kind in enumerate(KINDS[:4])]
     return found.select(
         F.col("doc_id").alias(id_column),
         *counts,

@@ -39,21 +39,22 @@ def with_slots(rows: DataFrame, shard: str, order: Sequence[str]) -> DataFrame:
     of starts has one row per shard and range.
     """
     width = shuffle_width(rows.sparkSession)
-    dealt = rows.withColumn("tie", F.rand(11))
-    keys = [shard, *order, "tie"]
-    dealt = landed(dealt.repartitionByRange(width, *keys).withColumn("range_id", F.spark_partition_id()), "shard-ranges")
-    before = Window.partitionBy(shard).orderBy("range_id").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        dealt.groupBy(shard, "range_id")
+    dealt = rows.withColumn("slot_tie", F.rand(11))
+    keys = [shard, *order, "slot_tie"]
+    dealt = dealt.repartitionByRange(width, *keys).withColumn("slot_range", F.spark_partition_id())
+    dealt = landed(dealt, "shard-ranges")
+    before = Window.partitionBy(shard).orderBy("slot_range").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = (
+        dealt.groupBy(shard, "slot_range")
         .agg(F.count(F.lit(1)).alias("n"))
-        .select(shard, "range_id", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+        .select(shard, "slot_range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("slot_first"))
     )
-    within = Window.partitionBy(shard, "range_id").orderBy(*order, "tie")
-    numbered = dealt.withColumn("place", F.row_number().over(within) - 1)
+    within = Window.partitionBy(shard, "slot_range").orderBy(*order, "slot_tie")
+    numbered = dealt.withColumn("slot", F.row_number().over(within) - 1)
     return (
-        numbered.join(starts, [shard, "range_id"])
-        .withColumn("slot", (F.col("start") + F.col("place")).cast("long"))
-        .drop("tie", "range_id", "place", "start")
+        numbered.join(firsts, [shard, "slot_range"])
+        .withColumn("slot", (F.col("slot_first") + F.col("slot")).cast("long"))
+        .drop("slot_tie", "slot_range", "slot_first")
     )
 
 

@@ -5,7 +5,8 @@ class or id says advert, cookie notice, comments, ...) give bad blocks. The firs
 themselves: blocks that are mostly links are bad, blocks with enough stop words for their length are good, and the
 rest, short or without stop words, is open. In the second pass an open block takes the label of the nearest decided
 block of the same region (the article it lies in, or else the page): the same label on both sides, or the nearer one,
-good if they are equally near. With no decided block in the region, an article is good and anything else is bad.
+good if they are equally near. A box inside an article says nothing about its neighbours. With no decided block in
+the region, an article is good and anything else is bad.
 
 Character references are decoded, white space inside a block becomes one space, blocks are joined by one.
 
@@ -161,7 +162,7 @@ def settled(page_blocks: list[Block]) -> list[str]:
         by_region.setdefault(block.region, []).append(k)
     out = list(labels)
     for members in by_region.values():
-        decided = [labels[k] != "open" for k in members]
+        decided = [labels[k] != "open" and not (page_blocks[k].in_article and page_blocks[k].label == "bad") for k in members]
         before, last = [], None
         for place, k in enumerate(members):
             before.append(last)
@@ -171,7 +172,7 @@ def settled(page_blocks: list[Block]) -> list[str]:
             after[place] = last
             last = place if decided[place] else last
         for place, k in enumerate(members):
-            if decided[place]:
+            if labels[k] != "open":
                 continue
             near = [(abs(place - p), labels[members[p]] != "good", p) for p in (before[place], after[place]) if p is not None]
             if near:

@@ -1,0 +1,177 @@
+"""Sharding, quality rules, packing and personal data against loops."""
+
+import hashlib
+import zlib
+
+import edge
+import loops
+import numpy as np
+import pyarrow.parquet as pq
+from pyspark.sql import functions as F
+
+from loadtrail.llm import packing, pii, quality, sharding
+from loadtrail.llm.queries import queries
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def plan_text(frame) -> str:
+    return frame._jdf.queryExecution().toString()
+
+
+def test_sharding(spark):
+    found = sharding.sharded(edge.frame(spark)).collect()
+    assert len(found) == len(edge.texts())
+    sizes = sorted((str(d), len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for d, t in edge.texts())
+    assert sorted((str(r["doc_id"]), r["size"], r["text_crc32"]) for r in found) == sizes
+    for shard in range(8):
+        slots = sorted(r["slot"] for r in found if r["shard"] == shard)
+        assert slots == list(range(len(slots)))
+    assert all(r["grown_shard"] in (r["shard"], 8) for r in found)
+    assert len({(r["doc_id"], r["shard"]) for r in found}) == len({r["doc_id"] for r in found})
+    assert sharding.sharded(edge.nothing(spark)).count() == 0
+
+
+def test_shares_follow_weights(spark):
+    rows = spark.range(20_000).select(sharding.rendezvous(F.col("id"), [1.0, 2.0, 1.0]).alias("shard"))
+    counts = {r["shard"]: r["count"] for r in rows.groupBy("shard").count().collect()}
+    assert abs(counts[1] - 10_000) < 400 and abs(counts[0] - 5_000) < 400
+
+
+def test_slots_of_equal_rows(spark):
+    found = sharding.sharded(edge.frame(spark, [(5, "same")] * 50))
+    assert sorted(r["slot"] for r in found.collect()) == list(range(50))
+
+
+def test_quality_counts_and_verdicts(spark):
+    found = {}
+    for r in quality.quality_verdicts(edge.frame(spark)).collect():
+        found.setdefault(r["doc_id"], []).append(r)
+    for d, t in edge.texts():
+        if d is None:
+            continue
+        r, wanted = found[d][0], loops.quality_counts(t)
+        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == wanted, d
+        assert r["base_failed"] == (wanted[0] < 20 or 100 * wanted[4] > 30 * wanted[0])
+        assert not (r["base_failed"] and r["kept"])
+    assert quality.quality_verdicts(edge.nothing(spark)).count() == 0
+
+
+def test_quality_agrees_with_labels(spark):
+    folder = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    found = queries()["op7_quality_rules"](spark, folder).where("NOT base_failed").join(labels, "doc_id")
+    shares = {r["quality"]: r["share"] for r in found.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("share")).collect()}
+    assert shares[1] >= 0.99
+    assert shares[0] <= 0.3
+
+
+def test_native_plans_have_no_python(spark):
+    docs = edge.frame(spark)
+    for frame in (sharding.sharded(docs), quality.quality_verdicts(docs), pii.personal_data(docs)):
+        assert not any(x in plan_text(frame) for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_drop_low_quality_keeps_columns(spark):
+    docs = edge.frame(spark, [(k, edge.near(edge.PROSE * (2 + k % 2) + edge.OTHER, k)) for k in range(3)] + [(50, "x y z")])
+    kept = quality.drop_low_quality(docs)
+    assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} <= {0, 1, 2}
+
+
+def check_packing(rows, found, window):
+    model = packing.subwords(*packing.vocabulary())
+    ids = sorted((str(d), len(model.ids(t or "")) + 1) for d, t in rows)
+    assert sorted((str(r["doc_id"]), r["doc_tokens"]) for r in found if r["start"] == 0) == ids
+    texts = edge.by_id(rows)
+    for r in found:
+        if r["doc_id"] is not None:
+            own = np.append(model.ids(texts[r["doc_id"]] or ""), 0)[r["start"] : r["start"] + r["length"]]
+            assert r["ids_crc32"] == zlib.crc32(own.astype("<u4").tobytes())
+    total, sequences = 0, {}
+    for r in found:
+        sequences.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for pieces in sequences.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at
+            at += length
+        assert at <= window
+        total += at
+    assert total == sum(n for _, n in ids)
+    return len(sequences), total
+
+
+def test_packing(spark):
+    found = packing.packed(edge.frame(spark)).collect()
+    sequences, total = check_packing(edge.texts(), found, 1024)
+    assert sequences == -(-total // 1024)
+    closed = packing.packed(edge.frame(spark), window=64, cut_rest=False).collect()
+    check_packing(edge.texts(), closed, 64)
+    assert all(r["length"] == 64 or r["start"] + r["length"] == r["doc_tokens"] for r in closed)
+    assert packing.packed(edge.nothing(spark)).count() == 0
+
+
+def test_fullest_finds_the_best_sum():
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        counts = {int(n): int(k) for n, k in zip(rng.integers(1, 40, 6), rng.integers(1, 4, 6))}
+        anchor = max(counts)
+        used = packing.fullest(counts, anchor, 60)
+        assert all(k <= counts[n] for n, k in used.items()) and used[anchor] >= 1
+        sums = {anchor}
+        for n, k in counts.items():
+            sums |= {s + n * j for s in sums for j in range(1, k + 1 - (n == anchor)) if s + n * j <= 60}
+        assert sum(n * k for n, k in used.items()) == max(sums)
+
+
+def test_subwords_equal_the_tokenizer():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    tokenizer.encode_special_tokens = True
+    model = packing.subwords(*packing.vocabulary())
+    texts = [t for _, t in edge.texts() if t] + pq.read_table(f"{SMALL}/documents.parquet")["text"].to_pylist()
+    texts += ["it's we'll I'D x  y \n\n z\t", "naïve ½ ² Ⅷ _a_b __ ÿ ſ  x y", "<|endoftext|> <|", "日本語 текст 🙂"]
+    for text in texts:
+        assert model.ids(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_personal_data(spark):
+    found = {r["doc_id"]: r for r in pii.personal_data(edge.frame(spark)).collect() if r["doc_id"] is not None}
+    for d, t in edge.by_id(edge.texts()).items():
+        wanted = loops.personal_spans(t)
+        assert found[d]["base_sha256"] == hashlib.sha256(",".join(wanted).encode()).hexdigest(), (d, wanted, found[d])
+        assert [x for x in found[d]["spans"].split(",") if x and not x.startswith("term:")] == wanted
+        assert found[d]["n_card"] == sum(x.startswith("card") for x in wanted)
+    assert found[16]["n_email"] == found[16]["n_ip"] == found[16]["n_phone"] == 1
+    assert pii.personal_data(edge.nothing(spark)).count() == 0
+
+
+def disclosing_rows():
+    """An address that is always beside one name, and never beside the same other words."""
+    beside = [f"alpha{k}beta gamma{k}" for k in "abcdefgh"]
+    rows = [(k, f"{w} wrote Zebulon anna@x.example.org again {w[::-1]} and so on") for k, w in enumerate(beside)]
+    rows += [(20 + k, f"plain text number {k} wrote nothing again") for k in range(40)]
+    return rows + [(99, "Zebulon alone")]
+
+
+def test_disclosing_terms(spark):
+    found = {r["doc_id"]: r["spans"] for r in pii.personal_data(edge.frame(spark, disclosing_rows())).collect()}
+    text = disclosing_rows()[0][1]
+    start = text.index("Zebulon")
+    assert f"term:{start}:{start + 7}" in found[0]
+    assert "wrote" not in {text[int(a) : int(b)] for _, a, b in (x.split(":") for x in found[0].split(","))}
+    assert found[99] == "" and found[25] == ""
+
+
+def test_sanitised(spark):
+    rows = disclosing_rows() + [(200, None), (201, "card 4111 1111 1111 1111, ok"), (None, "b@c.de")]
+    docs = edge.frame(spark, rows)
+    clean = pii.sanitised(docs)
+    assert clean.columns == docs.columns
+    found = {r["doc_id"]: r["text"] for r in clean.collect()}
+    assert len(found) == len(rows)
+    assert "[TERM] [EMAIL] again" in found[0] and "anna" not in found[0]
+    assert found[201] == "card [CARD], ok" and found[200] is None and found[None] == "[EMAIL]"
+    assert found[25] == dict(rows)[25]

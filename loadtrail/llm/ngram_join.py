@@ -1,10 +1,10 @@
 """Self join of documents on the Jaccard similarity of their word shingles, by T-occurrence search.
 
 Two sets of sizes n <= m with Jaccard similarity of p percent share at least ``p * m / 100`` shingles, so of any
-order of all shingles the first ``n - T + 1`` of each meet. The order puts frequent shingles last: a table of counts,
-of fixed size and over all documents, ranks them. These rare ends are the only lists that are built and sorted
-across the cluster; neighbours in a list are candidates if their sizes allow it. Candidates fall into groups, and a
-group is searched with DivideSkip: the lists of a document are divided into short ones, which are merged and
+order of all shingles the first ``n - T + 1`` of each meet. The order puts shingles with a rare word first: a table of
+word counts, of fixed size and over all documents, ranks them. These rare ends are the only lists that are built and
+sorted across the cluster; neighbours in a list are candidates if their sizes allow it. Candidates fall into groups, and
+a group is searched with DivideSkip: the lists of a document are divided into short ones, which are merged and
 counted, and long ones, which are only probed by binary search for the candidates that can still reach T. Documents
 known to be linked through others are not compared again. Groups too large for a task are dealt as pairs of blocks.
 
@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from loadtrail.llm.components import components
 from loadtrail.llm.staging import landed, on_workers
 
-#: Cells of the count table as a power of two: 4 million cells, one byte each when broadcast.
-CELL_BITS = 22
+#: Cells of the table of word counts as a power of two: a million cells, one byte each when broadcast.
+CELL_BITS = 20
 #: Cells in a row of the count table while it is added up.
 BLOCK = 1 << 14
 #: Shingles of all documents in a group that one task searches at once.
@@ -50,17 +50,28 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingle_set(text: bytes, words: int) -> np.ndarray:
-    """Sorted hashes of the different runs of ``words`` words; bytes.lower() changes A-Z only."""
+def word_codes(text: bytes) -> np.ndarray:
+    """Hashes of the words; bytes.lower() changes A-Z only, bytes.split() cuts at the six ASCII white spaces."""
     found = text.lower().split()
-    if not found:
-        return np.empty(0, np.uint64)
-    codes = np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
+
+
+def runs(codes: np.ndarray, words: int) -> np.ndarray:
+    """Hashes of the runs of ``words`` words, or of all words where there are fewer."""
     width = min(words, len(codes))
-    out = np.full(len(codes) - width + 1, width, np.uint64)
+    out = np.full(len(codes) - width + 1 if width else 0, width, np.uint64)
     for k in range(width):
         out = mixed(out * np.uint64(0x9E3779B97F4A7C15) + codes[k : len(codes) - width + 1 + k])
-    return np.unique(out)
+    return out
+
+
+def shingle_set(text: bytes, words: int) -> np.ndarray:
+    """Sorted hashes of the different runs."""
+    return np.unique(runs(word_codes(text), words))
+
+
+def cells_of(codes: np.ndarray) -> np.ndarray:
+    return (codes >> np.uint64(64 - CELL_BITS)).astype(np.int64)
 
 
 def set_key(shingles: np.ndarray) -> tuple[int, int]:
@@ -75,22 +86,25 @@ def least_overlap(n: int, percent: int) -> int:
 
 
 def describe(words: int):
-    """Size and key of every document's set; at the end the task's counts of shingles per cell."""
+    """Size and key of every document's set; at the end the task's counts of words per cell."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros(1 << CELL_BITS, np.uint32)
         seen: set[tuple[int, int]] = set()
         for batch in batches:
-            rows = []
+            rows, counted = [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                shingles = shingle_set(text, words)
+                codes = word_codes(text)
+                shingles = np.unique(runs(codes, words))
                 key = set_key(shingles) if len(shingles) else (None, None)
                 rows.append((doc_id, len(shingles), *key, None, None))
                 if key not in seen:
                     seen.add(key)
-                    np.add.at(cells, (shingles >> np.uint64(64 - CELL_BITS)).astype(np.int64), 1)
-                    if len(seen) > 1_000_000:
-                        seen.clear()
+                    counted.append(cells_of(codes))
+            if counted:
+                cells += np.bincount(np.concatenate(counted), minlength=len(cells)).astype(np.uint32)
+            if len(seen) > 1_000_000:
+                seen.clear()
             yield batch_of(rows, SETS)
         blocks = cells.reshape(-1, BLOCK)
         for low in range(0, len(blocks), 32):
@@ -120,17 +134,19 @@ def add_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def frequency_levels(described: DataFrame) -> np.ndarray:
-    """One byte per cell: by how many powers of two it exceeds twice the mean. Its size is fixed by CELL_BITS."""
+    """One byte per cell: its count on a logarithmic scale. The table's size is fixed by CELL_BITS."""
     sums = described.where("block IS NOT NULL").select("block", "counts").repartition("block")
     cells = np.zeros(1 << CELL_BITS, np.float64)
     for row in sums.mapInArrow(add_blocks, "block int, counts binary").toLocalIterator():
         cells[row["block"] * BLOCK : (row["block"] + 1) * BLOCK] = np.frombuffer(row["counts"], np.uint64)
-    usual = 2 * cells.mean() + 2
-    return np.clip(np.ceil(np.log2(np.maximum(cells / usual, 1))), 0, 255).astype(np.uint8)
+    return np.minimum(np.round(4 * np.log2(cells + 1)), 255).astype(np.uint8)
 
 
 def rare_ends(words: int, percent: int, levels):
-    """The list entries of every document: its rarest shingles, as many as prove a link."""
+    """The list entries of every document: its rarest shingles, as many as prove a link.
+
+    A shingle is as rare as its rarest word; the hash decides between equals, so the order is the same everywhere.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level = levels.value
@@ -138,16 +154,18 @@ def rare_ends(words: int, percent: int, levels):
         for batch in batches:
             shingle_parts, sizes, nodes = [], [], []
             for text in batch.column(0).to_pylist():
-                shingles = shingle_set(text, words)
+                codes = word_codes(text)
+                shingles, first = np.unique(runs(codes, words), return_index=True)
                 if not len(shingles):
                     continue
                 key = set_key(shingles)
                 if key in seen:
                     continue
                 seen.add(key)
-                own = level[(shingles >> np.uint64(64 - CELL_BITS)).astype(np.int64)]
+                of_words = level[cells_of(codes)]
+                rarest = np.minimum.reduce([of_words[first + k] for k in range(min(words, len(codes)))])
                 end = len(shingles) - least_overlap(len(shingles), percent) + 1
-                order = np.argsort(own, kind="stable")[:end]
+                order = np.argsort(rarest, kind="stable")[:end]
                 shingle_parts.append(shingles[order])
                 sizes.append(len(shingles))
                 nodes.append(key[1])

@@ -11,7 +11,7 @@ from loadtrail import constants as c
 from loadtrail.functions.sql import names, text
 from loadtrail.functions.status import response_status, trigger_text
 from loadtrail.functions.text import execution_id
-from loadtrail.operators.hotkeys import copy_per_split, deal, hot_keys, shuffle_partitions
+from loadtrail.operators.hotkeys import LEFT, RIGHT, copy_per_split, deal, hot_keys
 from loadtrail.operators.keepfirst import row_struct
 from loadtrail.operators.requests import is_response, is_trigger, load_rows, rows_of_active_requests
 from loadtrail.params import ReportParams
@@ -59,40 +59,57 @@ def responses_of_loads(groups: DataFrame) -> DataFrame:
     )
 
 
-def hot_loads(log: DataFrame, params: ReportParams) -> DataFrame:
-    """Loads with too many trigger-response pairs, or simply too many rows, for one task.
+def load_weights(log: DataFrame, params: ReportParams) -> DataFrame:
+    """Per load, the trigger rows and response groups that enter the join, and the latest group's time.
 
-    Counted over the report range only, which needs few columns of few days. The counts steer the
-    splitting and nothing else.
+    The rows are those of active requests, inside and outside the report range, with few of their columns.
     """
-    in_range = load_rows(log, params).where(params.logged_in_range(log.columns))
-    weights = (
-        in_range.where(f"{is_trigger(params)} OR {is_response()}")
-        .groupBy(F.expr("entity_id AS load_id"))
-        .agg(F.expr(f"count_if({is_trigger(params)}) AS triggers"), F.expr(f"count_if({is_response()}) AS responses"))
+    rows = load_rows(log, params).where(f"{is_trigger(params)} OR {is_response()}")
+    details = f"{is_response()} AND action = '{c.DETAILS_EXTRACTED_ACTION}'"
+    groups = (
+        rows_of_active_requests(log, rows, params)
+        .groupBy("request_id", "entity_id")
+        .agg(
+            F.expr(f"count_if({is_trigger(params)}) AS triggers"),
+            F.expr(f"min(created_at) FILTER (WHERE {details}) AS response_timestamp"),
+        )
     )
-    tasks = (
-        f"CAST(triggers AS DOUBLE) * responses / {params.pairs_per_split} "
-        f"+ CAST(triggers + responses AS DOUBLE) / {params.rows_per_split}"
+    return groups.groupBy(F.expr("entity_id AS load_id")).agg(
+        F.expr("sum(triggers) AS triggers"),
+        F.expr("count(response_timestamp) AS responses"),
+        F.expr("max(response_timestamp) AS latest_response"),
     )
-    return hot_keys(weights, "load_id", tasks)
+
+
+def hot_loads(log: DataFrame, params: ReportParams) -> DataFrame:
+    """Loads with too many trigger-response pairs, or simply too many rows, for one task: their grid."""
+    weights = load_weights(log, params)
+    return hot_keys(weights, "load_id", "triggers", "responses", params.pairs_per_split, params.rows_per_split)
 
 
 def attach_responses(rows: DataFrame, responses: DataFrame, hot: DataFrame, wanted: str = "true") -> DataFrame:
     """Left join every row to all later responses of its load; rows not `wanted` stay without one.
 
-    The pairs are the result the reports ask for. Hot loads are dealt over several tasks; the number
-    of tasks is fixed, because adaptive merging would judge them by their few input bytes.
+    The pairs are the result the reports ask for. The pairs of a hot load are a grid. A row of it that no
+    response follows stays in one cell only, which the load's latest response tells before the join.
     """
-    left = deal(rows, "load_id", hot).repartition(shuffle_partitions(rows.sparkSession), "load_id", "split")
-    right = copy_per_split(responses, "load_id", hot).selectExpr(
-        "load_id AS response_load", "split AS response_split", "status AS response_status", *RESPONSE_COLUMNS
+    grid = [LEFT, RIGHT]
+    left = deal(rows, "load_id", hot, LEFT, RIGHT, carry=["latest_response"])
+    right = deal(responses, "load_id", hot, RIGHT, LEFT).selectExpr(
+        "load_id AS response_load",
+        *[f"{side} AS response_{side}" for side in grid],
+        "status AS response_status",
+        *RESPONSE_COLUMNS,
     )
-    match = (
-        "load_id = response_load AND split = response_split "
-        f"AND trigger_timestamp < response_timestamp AND ({wanted})"
+    cell = " AND ".join(f"{side} = response_{side}" for side in grid)
+    match = f"load_id = response_load AND {cell} AND trigger_timestamp < response_timestamp AND ({wanted})"
+    met = "response_load IS NOT NULL"
+    followed = f"coalesce(trigger_timestamp < latest_response AND ({wanted}), false)"
+    return (
+        left.join(right, F.expr(match), "left")
+        .where(f"{met} OR ({RIGHT} = 0 AND NOT {followed}) OR latest_response IS NULL")
+        .selectExpr(*names(rows.columns), _status(), *RESPONSE_COLUMNS)
     )
-    return left.join(right, F.expr(match), "left").selectExpr(*names(rows.columns), _status(), *RESPONSE_COLUMNS)
 
 
 def attach_earliest_response(
@@ -104,16 +121,16 @@ def attach_earliest_response(
     split of their load, and a mergeable minimum brings the copies together again. No pairs are kept.
     """
     columns = rows.columns
-    right = deal(responses, "load_id", hot).selectExpr(
-        "load_id AS response_load", "split AS response_split", "status AS response_status", *RESPONSE_COLUMNS
+    right = deal(responses, "load_id", hot, RIGHT).selectExpr(
+        "load_id AS response_load", f"{RIGHT} AS response_split", "status AS response_status", *RESPONSE_COLUMNS
     )
     match = (
-        "load_id = response_load AND split = response_split "
+        f"load_id = response_load AND {RIGHT} = response_split "
         f"AND trigger_timestamp < response_timestamp AND ({wanted})"
     )
     response = "struct(response_timestamp, response_message, response_status, actions)"
     return (
-        copy_per_split(rows, "load_id", hot)
+        copy_per_split(rows, "load_id", hot, RIGHT)
         .join(right, F.expr(match), "left")
         .groupBy(*keys)
         .agg(

@@ -1,73 +1,84 @@
 """Splitting hot join keys.
 
 A load may own a large share of the log. A join whose cost grows with the pairs of a load must not
-leave that load to one task, so the rows of a hot key are dealt over several splits and the rows of
-the other side are copied once per split. Every pair still meets exactly once: the result does not
-depend on which keys count as hot.
+leave that load to one task, so its pairs are laid out as a grid: the rows of either side are dealt over
+the splits of their side and copied once per split of the other. Every pair still meets in exactly one
+cell: the result does not depend on which keys count as hot. All numbers follow from counts of the
+rows that enter the join; none is capped.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
 
 from loadtrail.functions.sql import names
 
-# the broadcast table of hot keys never has more rows than this; a key that does not make the list
-# holds less than one part in MAX_HOT_KEYS of the work and is joined whole
-MAX_HOT_KEYS = 1000
-MAX_SPLITS = 4096
-NULL_KEY_SPLITS = 64
-MAX_SHARES = 1024
+LEFT, RIGHT = "left_splits", "right_splits"
+
 
+def hot_keys(weights: DataFrame, key: str, left: str, right: str, pairs: int, rows: int) -> DataFrame:
+    """`(key, left_splits, right_splits)` and what else `weights` holds, for keys that are too much for one task.
 
-def hot_keys(weights: DataFrame, key: str, tasks: str) -> DataFrame:
-    """`(key, splits)` of the heaviest keys, from one row per key and the number of tasks its work fills."""
+    `weights` has one row per key with the number of rows on the left and on the right. A cell gets at most
+    `pairs` pairs, and a split at most `rows` rows. The table is not hinted: it has one row per key with many
+    rows, so adaptive execution broadcasts it or splits the other side, by what it measures.
+    """
+    cells = f"greatest(1D, CAST({left} AS DOUBLE) * {right} / {pairs})"
+    # near-square cells: the copies of both sides together are fewest
+    across = f"least({left}, greatest(ceil({left} / {rows}D), ceil(sqrt({cells} * {left} / greatest({right}, 1)))))"
+    down = f"least({right}, greatest(ceil({right} / {rows}D), ceil({cells} / greatest({LEFT}, 1))))"
     return (
-        weights.selectExpr(key, f"{tasks} AS tasks")
-        .where(f"{key} IS NOT NULL AND tasks > 1")
-        .orderBy(F.desc("tasks"), key)
-        .limit(MAX_HOT_KEYS)
-        .selectExpr(key, f"CAST(least(ceil(tasks), {MAX_SPLITS}) AS BIGINT) AS splits")
+        weights.where(f"{key} IS NOT NULL")
+        .selectExpr("*", f"CAST(greatest(1, {across}) AS BIGINT) AS {LEFT}")
+        .selectExpr("*", f"CAST(greatest(1, {down}) AS BIGINT) AS {RIGHT}")
+        .where(f"{LEFT} > 1 OR {RIGHT} > 1")
+        .drop(left, right)
     )
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    """How many partitions the session starts a shuffle with."""
-    default = spark.conf.get("spark.sql.shuffle.partitions")
-    return int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", default))
+def deal(
+    rows: DataFrame, key: str, hot: DataFrame, own: str, other: str | None = None, carry: Sequence[str] = ()
+) -> DataFrame:
+    """Add a place in the grid: `own` by a hash of the row, `other` once per split of the other side.
 
-
-def deal(rows: DataFrame, key: str, hot: DataFrame) -> DataFrame:
-    """Add `split`: a hash of the row within the splits of its key, 0 for ordinary keys.
-
-    Rows without a key match nothing; they are dealt too, so that they do not pile up in one task.
+    Places are 0 for ordinary keys. Rows without a key match nothing: their place is the hash itself, which
+    keeps them from piling up in one task. Without `other` nothing is copied. `carry` adds columns of `hot`.
     """
-    splits = f"coalesce(splits, if({key} IS NULL, {NULL_KEY_SPLITS}, 1))"
     columns = names(rows.columns)
-    split = f"pmod(xxhash64({', '.join(columns)}), {splits}) AS split"
-    return rows.join(F.broadcast(hot), key, "left").selectExpr(*columns, split)
+    others = [other] if other else []
+    lookup = hot.selectExpr(f"{key} AS hot_key", own, *others, *carry)
+    found = rows.join(lookup, rows[key] == lookup["hot_key"], "left")
+    place = f"xxhash64({', '.join(columns)})"
+    return found.selectExpr(
+        *columns,
+        *carry,
+        f"CASE WHEN {key} IS NULL THEN {place} ELSE pmod({place}, coalesce({own}, 1L)) END AS {own}",
+        *[f"explode(sequence(0L, coalesce({side}, 1L) - 1)) AS {side}" for side in others],
+    )
 
 
-def copy_per_split(rows: DataFrame, key: str, hot: DataFrame) -> DataFrame:
-    """One copy of each row per split of its key."""
-    split = "explode(sequence(0L, coalesce(splits, 1L) - 1)) AS split"
-    return rows.join(F.broadcast(hot), key, "left").selectExpr(*names(rows.columns), split)
+def copy_per_split(rows: DataFrame, key: str, hot: DataFrame, other: str) -> DataFrame:
+    """One copy of each row per split of the other side, for few rows per key."""
+    lookup = hot.selectExpr(f"{key} AS hot_key", other)
+    found = rows.join(lookup, rows[key] == lookup["hot_key"], "left")
+    return found.selectExpr(*names(rows.columns), f"explode(sequence(0L, coalesce({other}, 1L) - 1)) AS {other}")
 
 
 def fold_copies(rows: DataFrame) -> DataFrame:
     """Identical rows as few rows with a count, for a join that must keep every copy.
 
-    Copies meet before the shuffle, and no split could tell them apart later. A large group becomes
-    up to MAX_SHARES rows, told apart by `share`, each standing for its part of the `copies`.
+    Copies meet before the shuffle, and no split could tell them apart later. A group of n rows becomes
+    about sqrt(n) rows, told apart by `share`, each standing for its part of the `copies`.
     """
     columns = names(rows.columns)
-    shares = f"least(count, {MAX_SHARES}L)"
+    shares = "CAST(ceil(sqrt(count)) AS BIGINT)"
     return (
         rows.groupBy(*columns)
         .count()
-        .selectExpr(*columns, "count", f"explode(sequence(1L, {shares})) AS share")
-        .selectExpr(*columns, "share", f"count div {shares} + if(share <= count % {shares}, 1L, 0L) AS copies")
+        .selectExpr(*columns, "count", f"{shares} AS shares", f"explode(sequence(1L, {shares})) AS share")
+        .selectExpr(*columns, "share", "count div shares + if(share <= count % shares, 1L, 0L) AS copies")
     )
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from loadtrail import constants as c
 from loadtrail.functions.sql import text, texts
@@ -30,12 +31,24 @@ def active_requests(log: DataFrame, params: ReportParams) -> DataFrame:
     return log.where(seen).select("request_id").distinct()
 
 
+def request_days(log: DataFrame) -> DataFrame:
+    """First and last day of every request, of any shipper: a table to land once and extend by day."""
+    day = F.col(c.DAY_COLUMN) if c.DAY_COLUMN in log.columns else F.to_date("created_at")
+    days = log.where("request_id IS NOT NULL").groupBy("request_id")
+    return days.agg(F.min(day).alias("first_day"), F.max(day).alias("last_day"))
+
+
 def rows_of_active_requests(log: DataFrame, rows: DataFrame, params: ReportParams) -> DataFrame:
     """Rows whose request occurs in the range, whenever the row itself was written.
 
     A row inside the range is its own proof and passes without a shuffle; only rows outside it need
-    the semi join.
+    the semi join. With a table of request days, only the days that active requests reach are opened.
     """
     inside = rows.where(f"{params.logged_in_range(rows.columns)} AND request_id IS NOT NULL")
     outside = rows.where(f"{params.logged_out_of_range(rows.columns)} AND request_id IS NOT NULL")
+    if params.request_days is not None and c.DAY_COLUMN in rows.columns:
+        reached = params.request_days.where(f"first_day <= DATE'{params.end}' AND last_day >= DATE'{params.start}'")
+        first = reached.agg(F.min("first_day")).scalar()
+        last = reached.agg(F.max("last_day")).scalar()
+        outside = outside.where(F.col(c.DAY_COLUMN).between(first, last))
     return inside.unionByName(outside.join(active_requests(log, params), "request_id", "left_semi"))

@@ -13,32 +13,30 @@ from loadtrail.params import ReportParams
 
 
 def sheet_anchors(cells: DataFrame) -> DataFrame:
-    """Per file: position of the first plant label (row, then column) and the first header row."""
-    plant, header = f"cell_value = '{c.PLANT_LABEL}'", f"cell_value = '{c.HEADER_LABEL}'"
-    return (
-        cells.where(f"{plant} OR {header}")
-        .groupBy("file_name")
-        .agg(
-            F.expr(f"min(CASE WHEN {plant} THEN struct(row_idx, col_idx) END) AS plant"),
-            F.expr(f"min(CASE WHEN {header} THEN row_idx END) AS header_row"),
-        )
-    )
-
-
-def sheet_facilities(cells: DataFrame, anchors: DataFrame) -> DataFrame:
-    """Per file: the cell to the right of the plant label.
+    """Per file with a label: first header row, and the cell to the right of the first plant label (row, then column).
 
-    Labels sit near the top of their sheets, so only the band of rows that holds any label is joined.
+    Two reads: the few label cells, and the cells that could stand beside one. `beside` is null without a plant
+    label or without a cell to its right.
     """
-    right_cell = anchors.where("plant IS NOT NULL").selectExpr(
-        "file_name", "plant.row_idx AS row_idx", "plant.col_idx + 1 AS col_idx"
+    labels = cells.where(f"cell_value IN ('{c.PLANT_LABEL}', '{c.HEADER_LABEL}')").selectExpr(
+        "file_name AS label_file", "row_idx AS label_row", "col_idx AS label_column", "cell_value AS label"
     )
-    top = right_cell.agg(F.expr("min(row_idx)")).scalar()
-    bottom = right_cell.agg(F.expr("max(row_idx)")).scalar()
-    band = cells.where(F.col("row_idx").between(top, bottom))
-    return band.join(right_cell, ["file_name", "row_idx", "col_idx"]).selectExpr(
-        "file_name", f"cell_value AS {c.FACILITY_COLUMN}"
+    beside = F.expr(
+        f"label = '{c.PLANT_LABEL}' AND label_file = file_name AND label_row = row_idx AND label_column + 1 = col_idx"
     )
+    plant, header = f"label = '{c.PLANT_LABEL}'", f"label = '{c.HEADER_LABEL}'"
+    first = f"min(CASE WHEN {plant} THEN struct(label_row, label_column, file_name IS NOT NULL AS met, cell_value) END)"
+    return (
+        labels.join(cells, beside, "left")
+        .groupBy(F.expr("label_file AS file_name"))
+        .agg(F.expr(f"{first} AS beside"), F.expr(f"min(CASE WHEN {header} THEN label_row END) AS header_row"))
+        .selectExpr("file_name", "header_row", "CASE WHEN beside.met THEN beside END AS beside")
+    )
+
+
+def sheet_facilities(anchors: DataFrame) -> DataFrame:
+    """Per file with a cell to the right of its plant label: that cell."""
+    return anchors.where("beside IS NOT NULL").selectExpr("file_name", f"beside.cell_value AS {c.FACILITY_COLUMN}")
 
 
 def sheet_rows(cells: DataFrame) -> DataFrame:

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import date, timedelta
 
+from pyspark.sql import DataFrame
+
 from loadtrail import constants as c
 
 
@@ -21,6 +23,8 @@ class ReportParams:
     # how many trigger-response pairs and how many rows of one load a single task may get
     pairs_per_split: int = 4_000_000
     rows_per_split: int = 1_000_000
+    # `request_id, first_day, last_day`: limits the history to open, if the log is laid out by day
+    request_days: DataFrame | None = field(default=None, compare=False, repr=False)
 
     @classmethod
     def notifier(cls, shipper_id: str, start: str, end: str) -> ReportParams:

@@ -3,7 +3,6 @@
 from datetime import timedelta
 
 from loadtrail.constants import ALERT_LABEL
-from loadtrail.operators import hotkeys
 from loadtrail.operators.correlation import response_groups, trigger_rows
 from loadtrail.operators.requests import rows_of_active_requests
 from loadtrail.plans.correlate import correlate
@@ -94,8 +93,7 @@ def test_only_ready_to_pickup_narrows_trigger_rows_by_action(spark):
     assert trigger_rows(log, READY).count() == 1
 
 
-def test_equal_trigger_rows_stay_apart(spark, monkeypatch):
-    monkeypatch.setattr(hotkeys, "MAX_SHARES", 3)
+def test_equal_trigger_rows_stay_apart(spark):
     rows = [log_row("1", "t", "notifier", "ANY", T)] * 8 + [log_row("1", "u", "notifier", "ANY", T)] * 2
     rows += [log_row("1", request, "shipment_update", "DETAILS_EXTRACTED", minutes(5)) for request in "ab"]
     result = correlate(log_frame(spark, rows), NOTIFIER).groupBy("workflow_exec_id").count().collect()

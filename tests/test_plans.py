@@ -2,12 +2,13 @@
 
 import re
 from dataclasses import replace
+from datetime import timedelta
 
 import pytest
 
 from loadtrail.operators.carriers import carrier_table
 from loadtrail.operators.correlation import hot_loads
-from loadtrail.operators.hotkeys import copy_per_split, deal
+from loadtrail.operators.hotkeys import LEFT, RIGHT, copy_per_split, deal
 from loadtrail.plans.classify import classify
 from loadtrail.plans.correlate import correlate
 from loadtrail.plans.notifier import notifier_classified, notifier_report
@@ -15,7 +16,7 @@ from loadtrail.plans.rtp import load_summary
 from loadtrail.sources.tables import read_audit_log, read_milestones
 from checks.registry import queries
 from tests import brute
-from tests.helpers import NOTIFIER, READY, log_frame, milestone_frame
+from tests.helpers import NOTIFIER, READY, at, log_frame, log_row, milestone_frame
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -83,26 +84,40 @@ def test_classified_rows_are_shared_not_recomputed(tables, spark):
     assert plan_of(frame).count("ReusedExchange") >= 2
 
 
-def test_only_the_hot_key_table_is_broadcast_by_hint(tables, spark):
+def test_nothing_is_broadcast_by_hint_and_no_shuffle_is_pinned(tables, spark):
     log, milestones = tables
     carriers = carrier_table(spark.createDataFrame([], "body string, arrival_order bigint"))
     plan = plan_of(notifier_report(log, milestones, carriers, NOTIFIER))
-    broadcasts = [line for line in plan.splitlines() if "BroadcastHashJoin" in line]
-    assert len(broadcasts) == 2 and "TakeOrderedAndProject(limit=1000" in plan
+    for bad in ("BroadcastHashJoin", "TakeOrderedAndProject", "REPARTITION_BY"):
+        assert bad not in plan
 
 
-def test_hot_load_is_dealt_and_copied(spark):
+def test_hot_load_is_laid_out_as_a_grid(spark):
     log, _ = brute.random_inputs(6, rows=300, loads=["hot", "cold"], hot_share=0.8)
     logs = log_frame(spark, log)
-    hot = hot_loads(logs, replace(NOTIFIER, pairs_per_split=200))
-    splits = {r.load_id: r.splits for r in hot.collect()}
-    assert splits["hot"] > 4
+    hot = hot_loads(logs, replace(NOTIFIER, pairs_per_split=20))
+    grid = {r.load_id: (r.left_splits, r.right_splits) for r in hot.collect()}
+    across, down = grid["hot"]
+    assert across > 1 and down > 1 and across * down > 4
     rows = spark.createDataFrame([("hot", n) for n in range(1000)] + [("cold", 1), (None, 1), (None, 2)], "load_id string, n int")
-    dealt = deal(rows, "load_id", hot)
-    assert dealt.count() == rows.count()
-    assert dealt.where("load_id = 'hot'").select("split").distinct().count() == splits["hot"]
-    copies = copy_per_split(rows.where("n = 1"), "load_id", hot).groupBy("load_id").count().collect()
-    assert {r.load_id: r["count"] for r in copies} == {"hot": splits["hot"], "cold": splits.get("cold", 1), None: 1}
+    dealt = deal(rows, "load_id", hot, LEFT, RIGHT).where("load_id = 'hot'")
+    assert dealt.count() == 1000 * down
+    assert dealt.select(LEFT, RIGHT).distinct().count() == across * down
+    assert dealt.select("n", LEFT).distinct().count() == 1000
+    assert deal(rows, "load_id", hot, RIGHT).count() == rows.count()
+    copies = copy_per_split(rows.where("n = 1"), "load_id", hot, RIGHT).groupBy("load_id").count().collect()
+    assert {r.load_id: r["count"] for r in copies} == {"hot": down, "cold": grid.get("cold", (1, 1))[1], None: 1}
+
+
+def test_history_makes_a_load_hot(spark):
+    day_before = at("00:00:00") - timedelta(days=1)
+    rows = [log_row("1", f"t{n % 7}", "notifier", "ANY", day_before + timedelta(seconds=n)) for n in range(200)]
+    rows += [log_row("1", f"r{n}", "shipment_update", "DETAILS_EXTRACTED", day_before + timedelta(seconds=n)) for n in range(40)]
+    # every request has one row of another kind inside the range
+    rows += [log_row("x", r, "other", "ANY", at("10:00:00")) for r in {row["request_id"] for row in rows}]
+    found = hot_loads(log_frame(spark, rows), replace(NOTIFIER, pairs_per_split=200, rows_per_split=200)).collect()
+    assert [(r.load_id, r.left_splits > 1, r.right_splits > 1) for r in found] == [("1", True, True)]
+    assert found[0].left_splits * found[0].right_splits >= 40
 
 
 def test_classify_accepts_no_rows(tables, spark):

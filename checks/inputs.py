@@ -7,7 +7,7 @@ files grow in number with the tables. FIXTURES.md lists the rules.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,13 +18,18 @@ from loadtrail.params import ReportParams
 
 SHIPPER = "shipper-a"
 START, END = "2024-01-02", "2024-01-29"
-NOTIFIER = ReportParams.notifier(SHIPPER, START, END)
-READY_TO_PICKUP = ReportParams.ready_to_pickup(SHIPPER, START, END)
-
-# ten events make a request, forty requests share sixteen loads
+# the limits of a task are small, so that the hot load is split in the small tables as well
+LIMITS = {"pairs_per_split": 2_000, "rows_per_split": 500}
+NOTIFIER = replace(ReportParams.notifier(SHIPPER, START, END), **LIMITS)
+READY_TO_PICKUP = replace(ReportParams.ready_to_pickup(SHIPPER, START, END), **LIMITS)
+HOT_LOAD = "1"
+
+# ten events make a request, forty requests share sixteen loads; every 32nd request belongs to load 1, whose share
+# of the log stays the same as the log grows
 AUDIT_LOG_SQL = f"""
 SELECT
   CASE WHEN value < 0.3 THEN NULL
+       WHEN floor(event_id / 10) % 32 = 5 THEN '{HOT_LOAD}'
        ELSE CAST(CAST(floor(event_id / 400) AS BIGINT) * 16
                  + (CAST(floor(event_id / 10) AS BIGINT) % 8) * 2 + event_id % 2 AS STRING) END AS entity_id,
   CASE WHEN event_id % 97 = 0 THEN NULL
@@ -70,15 +75,18 @@ SELECT
             WHEN event_id % 9 = 3 THEN INTERVAL '600' SECOND
             WHEN event_id % 9 IN (4, 5) THEN INTERVAL '120' SECOND
             ELSE INTERVAL '45' SECOND END AS created_at,
-  CASE WHEN event_id % 13 = 0 THEN 'Stop' ELSE '{c.MILESTONE_ENTITY_TYPE}' END AS entity_type,
-  CASE WHEN event_type = 'purchase' THEN '{c.READY_TO_PICKUP_WORKFLOW}' ELSE '{c.NOTIFIER_WORKFLOW}' END AS workflow_id
+  CASE WHEN event_id % 13 = 0 OR (value >= 0.2 AND value < 35) THEN 'Stop'
+       ELSE '{c.MILESTONE_ENTITY_TYPE}' END AS entity_type,
+  CASE WHEN event_type = 'purchase' THEN '{c.READY_TO_PICKUP_WORKFLOW}'
+       WHEN event_type IN ('click', 'view') THEN '{c.NOTIFIER_WORKFLOW}'
+       ELSE '{c.RESPONSE_WORKFLOW}' END AS workflow_id
 FROM (SELECT e.*,
         CASE WHEN value < 0.3 THEN NULL
+             WHEN floor(event_id / 10) % 32 = 5 THEN '{HOT_LOAD}'
              ELSE CAST(CAST(floor(event_id / 400) AS BIGINT) * 16
                        + (CAST(floor(event_id / 10) AS BIGINT) % 8) * 2 + event_id % 2 AS STRING) END AS entity_id,
         CASE WHEN floor(event_id / 10) % 4 = 0 THEN 'shipper-b' ELSE '{SHIPPER}' END AS shipper_id
-      FROM events e) trigger_events
-WHERE event_type IN ('purchase', 'click', 'view') AND (value >= 35 OR value < 0.2)
+      FROM events e) all_events
 """
 
 # one payload per supplier with two loads; neighbouring suppliers repeat a load
@@ -91,18 +99,20 @@ SELECT
 FROM supplier
 """
 
-# one sheet per order date; the origin of label and header moves with the day of the month
+# one sheet per order date and 60,000 order keys; the origin of label and header moves with the day of the month
 SHEET_SQL = """
 SELECT DISTINCT
-  'sheet_' || CAST(CAST(o_orderdate AS DATE) AS STRING) || '.xlsx' AS file_name,
+  'sheet_' || CAST(CAST(o_orderdate AS DATE) AS STRING) || '_'
+    || CAST(CAST(floor(o_orderkey / 60000) AS BIGINT) AS STRING) || '.xlsx' AS file_name,
   CAST(extract(DAY FROM o_orderdate) AS INT) AS d
 FROM orders
 """
 
 ORDER_LINE_SQL = """
 SELECT
-  'sheet_' || CAST(CAST(o_orderdate AS DATE) AS STRING) || '.xlsx' AS file_name,
-  CAST(5 + CAST(extract(DAY FROM o_orderdate) AS INT) % 3 + o_orderkey AS INT) AS row_idx,
+  'sheet_' || CAST(CAST(o_orderdate AS DATE) AS STRING) || '_'
+    || CAST(CAST(floor(o_orderkey / 60000) AS BIGINT) AS STRING) || '.xlsx' AS file_name,
+  CAST(5 + CAST(extract(DAY FROM o_orderdate) AS INT) % 3 + o_orderkey % 60000 AS INT) AS row_idx,
   CASE WHEN o_totalprice < 10000 THEN 'TOTAL'
        WHEN o_totalprice < 20000 THEN '12.5'
        WHEN o_totalprice < 30000 THEN NULL
@@ -119,12 +129,13 @@ FROM orders
 MAIL_SQL = """
 SELECT
   CAST(conv_id AS STRING) || '-' || CAST(turn AS STRING) AS message_id,
-  1704067200000 + conv_id * 43200000 + turn * 60000 AS internal_date,
+  1704067200000 + (conv_id % 60) * 43200000 + turn * 60000 AS internal_date,
   CASE WHEN conv_id % 3 = 0 THEN 'Daily HoldOver list'
        WHEN conv_id % 3 = 1 THEN 'Hold over, plant' ELSE 'Invoice' END AS subject,
   role,
   text AS turn_text,
-  'sheet_' || CAST(CAST(DATE '1995-01-01' + CAST(conv_id AS INT) AS DATE) AS STRING) || '.xlsx' AS attachment_name,
+  'sheet_' || CAST(CAST(DATE '1992-01-01' + CAST((conv_id * 7) % 2400 AS INT) AS DATE) AS STRING) || '_'
+    || CAST(CAST(floor(conv_id / 2400) AS BIGINT) AS STRING) || '.xlsx' AS attachment_name,
   CASE WHEN turn % 2 = 0 THEN 'att-' || CAST(conv_id AS STRING) END AS attachment_id
 FROM conversations
 """

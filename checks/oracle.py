@@ -246,6 +246,22 @@ def oracle_sql() -> dict[str, str]:
     result = {
         "request_window_semi": _query("SELECT request_id, entity_id, action, created_at FROM trigger_log", "trigger_log", n),
         "response_rollup": _query("SELECT * FROM response_group", "response_group", n),
+        "hot_load_grid": _query(
+            f"""SELECT load_id, a AS left_splits, b AS right_splits, latest_response FROM (
+              SELECT *, greatest(1, least(responses, greatest(ceil(responses / {n.rows_per_split}.0::DOUBLE),
+                  ceil(cells / a))))::BIGINT AS b
+              FROM (SELECT *, greatest(1, least(triggers, greatest(ceil(triggers / {n.rows_per_split}.0::DOUBLE),
+                  ceil(sqrt(cells * triggers / greatest(responses, 1))))))::BIGINT AS a
+                FROM (SELECT *, greatest(1.0::DOUBLE, triggers::DOUBLE * responses / {n.pairs_per_split}) AS cells
+                  FROM (SELECT load_id, coalesce(triggers, 0) AS triggers, coalesce(responses, 0) AS responses, latest_response
+                    FROM (SELECT load_id, count(*) AS triggers FROM triggers GROUP BY 1)
+                    FULL JOIN (SELECT entity_id AS load_id, count(response_timestamp) AS responses,
+                      max(response_timestamp) AS latest_response FROM response_group GROUP BY 1) USING (load_id)
+                    WHERE load_id IS NOT NULL))))
+            WHERE a > 1 OR b > 1""",
+            "response_group",
+            n,
+        ),
         "trigger_response_correlate_notifier": _query("SELECT * FROM correlated", "correlated", n),
         "trigger_response_correlate_rtp": _query("SELECT * FROM correlated", "correlated", r),
         "milestone_flags": _query("SELECT * FROM followup", "followup", n),

@@ -15,7 +15,7 @@ from loadtrail.functions.status import response_note
 from loadtrail.functions.text import alert_text, without_load_prefix
 from loadtrail.functions.timestamps import date_label, minutes_between, parse_timestamp
 from loadtrail.operators.carriers import carrier_table, lookup_batches, lookup_keys, with_carrier
-from loadtrail.operators.correlation import response_groups, trigger_rows
+from loadtrail.operators.correlation import hot_loads, response_groups, trigger_rows
 from loadtrail.operators.followups import follow_up_candidates, join_first_followup, milestone_flags
 from loadtrail.operators.requests import is_trigger, load_rows, rows_of_active_requests
 from loadtrail.operators.sheets import attachments, sheet_anchors, sheet_facilities, sheet_rows
@@ -37,10 +37,15 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder below the cluster's shared one; a local one only where none is named."""
+    """A new folder below the one that all executors share, named by `spark.checkpoint.dir`.
+
+    Without it, a session of one machine gets a temporary folder; on a cluster that is an error.
+    """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return f"{shared.rstrip('/')}/loadtrail-{uuid.uuid4().hex}"
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     return tempfile.mkdtemp(prefix="loadtrail-")
 
 
@@ -115,11 +120,11 @@ def holdover(t: Tables) -> DataFrame:
 
 
 def facilities(t: Tables) -> DataFrame:
-    return sheet_facilities(t.cells, sheet_anchors(t.cells))
+    return sheet_facilities(sheet_anchors(t.cells))
 
 
 def normalised_sheets(t: Tables) -> DataFrame:
-    headers = sheet_anchors(t.cells).select("file_name", "header_row")
+    headers = sheet_anchors(t.cells).where("header_row IS NOT NULL").select("file_name", "header_row")
     return sheet_rows(t.cells).join(headers, "file_name").where("row_idx > header_row").drop("header_row")
 
 
@@ -148,7 +153,11 @@ def labels(t: Tables) -> DataFrame:
 def csv_roundtrip(t: Tables) -> DataFrame:
     report, path = notifier(t), f"{shared_folder(t.spark)}/notifier.csv"
     write_report(report, path)
-    return read_report_csv(t.spark, path, report.schema)
+    return read_report_csv(t.spark, path, report.schema, multi_line=True)
+
+
+def hot_load_grid(t: Tables) -> DataFrame:
+    return hot_loads(t.log, NOTIFIER)
 
 
 def publish_replace(t: Tables) -> DataFrame:
@@ -169,6 +178,7 @@ def publish_replace(t: Tables) -> DataFrame:
 _OPERATORS: dict[str, Callable[[Tables], DataFrame]] = {
     "request_window_semi": request_window_semi,
     "response_rollup": lambda t: response_groups(t.log, NOTIFIER),
+    "hot_load_grid": hot_load_grid,
     "trigger_response_correlate_notifier": lambda t: correlate(t.log, NOTIFIER),
     "trigger_response_correlate_rtp": lambda t: correlate(t.log, READY_TO_PICKUP),
     "milestone_flags": lambda t: milestone_flags(t.milestones, NOTIFIER),

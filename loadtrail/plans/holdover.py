@@ -7,17 +7,16 @@ from pyspark.sql import functions as F
 
 from loadtrail import constants as c
 from loadtrail.functions.sql import names
-from loadtrail.operators.sheets import attachments, received_dates, sheet_anchors, sheet_facilities, sheet_rows
+from loadtrail.operators.sheets import attachments, received_dates, sheet_anchors, sheet_rows
 from loadtrail.params import ReportParams
 
 
 def sheet_facts(cells: DataFrame, mail: DataFrame, params: ReportParams) -> DataFrame:
     """One row per file: header row, facility (null without a label) and received date (null without mail)."""
-    anchors = sheet_anchors(cells)
     return (
-        anchors.where("header_row IS NOT NULL")
-        .select("file_name", "header_row")
-        .join(sheet_facilities(cells, anchors), "file_name", "left")
+        sheet_anchors(cells)
+        .where("header_row IS NOT NULL")
+        .selectExpr("file_name", "header_row", f"beside.cell_value AS {c.FACILITY_COLUMN}")
         .join(received_dates(attachments(mail, params)), "file_name", "left")
     )
 

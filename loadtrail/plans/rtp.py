@@ -76,9 +76,10 @@ def load_summary(log: DataFrame, milestones: DataFrame, params: ReportParams) ->
     return first_rows_of_loads(blank_skipped(attached))
 
 
-def rtp_report(
+def rtp_rows_of_report(
     log: DataFrame, milestones: DataFrame, carriers: DataFrame, holdover: DataFrame, params: ReportParams
 ) -> DataFrame:
+    """The report's rows, in no order."""
     # both lookups have one row per load; merged, the long holdover list is joined once
     summary = load_summary(log, milestones, params).drop("load_id")
     lookup = summary.join(carriers, "load_number", "full")
@@ -91,5 +92,11 @@ def rtp_report(
         c.DELAY_HEADING: minutes_between("followup_sent_at", "response_timestamp"),
         "NOTES/COMMENTS": response_note("followup_sent_at", "response_timestamp", "actions"),
     }
-    report = report_columns(rows, c.READY_TO_PICKUP_COLUMNS, changed)
+    return report_columns(rows, c.READY_TO_PICKUP_COLUMNS, changed)
+
+
+def rtp_report(
+    log: DataFrame, milestones: DataFrame, carriers: DataFrame, holdover: DataFrame, params: ReportParams
+) -> DataFrame:
+    report = rtp_rows_of_report(log, milestones, carriers, holdover, params)
     return report.orderBy(*[F.expr(name(column)).asc_nulls_last() for column in SORT_KEY])

@@ -3,22 +3,25 @@
 from __future__ import annotations
 
 import argparse
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 
+from loadtrail.constants import MASTER_TABLE
 from loadtrail.operators.carriers import carrier_table
 from loadtrail.params import ReportParams
 from loadtrail.plans.holdover import holdover_list
 from loadtrail.plans.naming import report_label
 from loadtrail.plans.notifier import notifier_report
-from loadtrail.plans.rtp import rtp_report
-from loadtrail.schemas import CARRIER_PAYLOAD
+from loadtrail.plans.rtp import SORT_KEY, rtp_rows_of_report
+from loadtrail.schemas import AUDIT_LOG, CARRIER_PAYLOAD, MILESTONES
 from loadtrail.session import build_session
 from loadtrail.sinks.csv import write_report
-from loadtrail.sinks.report_set import publish_table
+from loadtrail.sinks.report_set import publish_table, read_table
 from loadtrail.sources import tables
 
 NOTIFIER, READY_TO_PICKUP = "notifier", "rtp"
+SORT_BY = {NOTIFIER: ("Triggered At",), READY_TO_PICKUP: SORT_KEY}
 
 
 def _arguments() -> argparse.ArgumentParser:
@@ -27,20 +30,36 @@ def _arguments() -> argparse.ArgumentParser:
     parser.add_argument("--shipper", required=True)
     parser.add_argument("--start", required=True, help="first day, YYYY-MM-DD")
     parser.add_argument("--end", required=True, help="last day, included")
-    parser.add_argument("--audit-log", required=True)
-    parser.add_argument("--milestones", required=True)
+    parser.add_argument("--audit-log", required=True, help="folder, or table name with --jdbc-url")
+    parser.add_argument("--milestones", required=True, help="folder, or table name with --jdbc-url")
+    parser.add_argument("--jdbc-url", help="read both logs from this database")
+    parser.add_argument("--jdbc-property", action="append", default=[], metavar="KEY=VALUE", help="driver, user, ...")
+    parser.add_argument("--jdbc-slices", type=int, default=64, help="parallel reads of a log")
+    parser.add_argument("--request-days", help="landed days of requests, to open less history")
     parser.add_argument("--carrier-payload", help="without it the carrier columns stay empty")
     parser.add_argument("--cells", help="sheet cells, for the rtp report")
     parser.add_argument("--mail", help="landed mail, for the rtp report")
+    parser.add_argument("--holdover-csv", help="a ready holdover list instead of cells and mail")
     parser.add_argument("--output", required=True, help="folder that receives the CSV report")
     parser.add_argument("--report-set", help="also replace the master table of this report set")
     return parser
 
 
+def read_logs(spark: SparkSession, arguments: argparse.Namespace) -> tuple[DataFrame, DataFrame]:
+    if not arguments.jdbc_url:
+        return tables.read_audit_log(spark, arguments.audit_log), tables.read_milestones(spark, arguments.milestones)
+    properties = dict(item.split("=", 1) for item in arguments.jdbc_property)
+    log, milestones = (
+        tables.read_jdbc_table(spark, arguments.jdbc_url, table, schema, arguments.jdbc_slices, properties)
+        for table, schema in ((arguments.audit_log, AUDIT_LOG), (arguments.milestones, MILESTONES))
+    )
+    return log, milestones
+
+
 def build_report(spark: SparkSession, arguments: argparse.Namespace) -> tuple[DataFrame, str]:
     """The report and the name of its output."""
-    log = tables.read_audit_log(spark, arguments.audit_log)
-    milestones = tables.read_milestones(spark, arguments.milestones)
+    log, milestones = read_logs(spark, arguments)
+    days_of_requests = spark.read.parquet(arguments.request_days) if arguments.request_days else None
     if arguments.carrier_payload:
         payload = tables.read_carrier_payload(spark, arguments.carrier_payload)
     else:
@@ -48,13 +67,17 @@ def build_report(spark: SparkSession, arguments: argparse.Namespace) -> tuple[Da
     carriers = carrier_table(payload)
     days = (arguments.shipper, arguments.start, arguments.end)
     if arguments.report == NOTIFIER:
-        params, kind = ReportParams.notifier(*days), "notifier_report"
+        params, kind = replace(ReportParams.notifier(*days), request_days=days_of_requests), "notifier_report"
         report = notifier_report(log, milestones, carriers, params)
     else:
-        params, kind = ReportParams.ready_to_pickup(*days), "rtp-report"
-        cells = tables.read_cells(spark, arguments.cells)
-        holdover = holdover_list(cells, tables.read_mail(spark, arguments.mail), params)
-        report = rtp_report(log, milestones, carriers, holdover, params)
+        params, kind = replace(ReportParams.ready_to_pickup(*days), request_days=days_of_requests), "rtp-report"
+        if arguments.holdover_csv:
+            holdover = tables.read_holdover_csv(spark, arguments.holdover_csv)
+        else:
+            cells = tables.read_cells(spark, arguments.cells)
+            holdover = holdover_list(cells, tables.read_mail(spark, arguments.mail), params)
+        report = rtp_rows_of_report(log, milestones, carriers, holdover, params)
+    # the name is a constant expression: this reads no table
     label = spark.sql(f"SELECT {report_label(params)}").first()[0]
     return report, f"{params.shipper_id}-{kind}_{label}.csv"
 
@@ -62,15 +85,16 @@ def build_report(spark: SparkSession, arguments: argparse.Namespace) -> tuple[Da
 def main(argv: list[str] | None = None) -> str:
     parser = _arguments()
     arguments = parser.parse_args(argv)
-    if arguments.report == READY_TO_PICKUP and not (arguments.cells and arguments.mail):
-        parser.error("the rtp report needs --cells and --mail")
+    if arguments.report == READY_TO_PICKUP and not (arguments.holdover_csv or (arguments.cells and arguments.mail)):
+        parser.error("the rtp report needs --cells and --mail, or --holdover-csv")
     spark = build_session()
     report, name = build_report(spark, arguments)
     path = f"{arguments.output.rstrip('/')}/{name}"
-    # the rtp report comes sorted
-    write_report(report, path, sort_by=("Triggered At",) if arguments.report == NOTIFIER else ())
     if arguments.report_set:
+        # computed once: the CSV is written from the published rows
         publish_table(report, arguments.report_set)
+        report = read_table(spark, arguments.report_set, MASTER_TABLE)
+    write_report(report, path, sort_by=SORT_BY[arguments.report])
     return path
 
 

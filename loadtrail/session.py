@@ -10,8 +10,10 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a skewed join even where the step above it then needs a shuffle of its own
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # start wide; adaptive execution merges small shuffle partitions afterwards
-    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    # start wide; adaptive execution merges small shuffle partitions afterwards, but keeps every core busy:
+    # a few input bytes of the trigger-response join can make many rows
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     # let the ids of a report range prune the history scan before it is shuffled
     "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1g",

@@ -1,4 +1,9 @@
-"""A report set: a folder with one Parquet table per report, replaced one table at a time."""
+"""A report set: a folder with one Parquet table per report, replaced one table at a time.
+
+Every version of a table is a folder of its own, `<table>/version-<number>-<id>`, and counts once the empty
+file `current-<number>-<id>` lies beside it. The marker with the highest number names the current version, so
+a table is replaced by creating one small file. Nothing is renamed, and the version before stays readable.
+"""
 
 from __future__ import annotations
 
@@ -8,34 +13,49 @@ from pyspark.sql import DataFrame, SparkSession
 
 from loadtrail import constants as c
 
+VERSION, MARKER = "version-", "current-"
+
+
+def _path(spark: SparkSession, parent: str, *children: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(parent)
+    for child in children:
+        path = spark._jvm.org.apache.hadoop.fs.Path(path, child)
+    return path
+
+
+def _files(spark: SparkSession, path):
+    return path.getFileSystem(spark._jsc.hadoopConfiguration())
 
-def _folder(spark: SparkSession, path: str):
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
 
+def _children(spark: SparkSession, path) -> list[str]:
+    files = _files(spark, path)
+    return sorted(entry.getPath().getName() for entry in files.listStatus(path)) if files.exists(path) else []
 
-def _child(spark: SparkSession, parent: str, name: str):
-    return spark._jvm.org.apache.hadoop.fs.Path(parent, name)
+
+def _versions(spark: SparkSession, report_set: str, table: str) -> list[str]:
+    """Published versions, the current one last; numbers have a fixed width."""
+    names = _children(spark, _path(spark, report_set, table))
+    return [name.removeprefix(MARKER) for name in names if name.startswith(MARKER)]
 
 
 def table_names(spark: SparkSession, report_set: str) -> list[str]:
-    files, path = _folder(spark, report_set)
-    if not files.exists(path):
-        return []
-    names = [entry.getPath().getName() for entry in files.listStatus(path) if entry.isDirectory()]
-    return sorted(name for name in names if not name.startswith("_"))
+    names = _children(spark, _path(spark, report_set))
+    return [name for name in names if not name.startswith("_") and _versions(spark, report_set, name)]
 
 
 def read_table(spark: SparkSession, report_set: str, table: str) -> DataFrame:
-    return spark.read.parquet(_child(spark, report_set, table).toString())
+    versions = _versions(spark, report_set, table)
+    if not versions:
+        raise FileNotFoundError(f"no table {table} in {report_set}")
+    return spark.read.parquet(_path(spark, report_set, table, VERSION + versions[-1]).toString())
 
 
 def publish_table(table_rows: DataFrame, report_set: str, table: str = c.MASTER_TABLE, target: str | None = None) -> None:
     """Replace one table of the set and leave the others untouched.
 
     With `target`, the set stays as it is and the result, other tables included, goes to `target`.
-    The rows are written aside first and take the table's place only when complete, so they may be
-    derived from the table they replace and a failed job leaves the old table standing.
+    The rows may be derived from the table they replace. A job that fails before its last step leaves the old
+    table standing; so does a failed switch.
     """
     spark = table_rows.sparkSession
     if target is not None and target != report_set:
@@ -47,11 +67,22 @@ def publish_table(table_rows: DataFrame, report_set: str, table: str = c.MASTER_
 
 def _replace(table_rows: DataFrame, report_set: str, table: str) -> None:
     spark = table_rows.sparkSession
-    staged = _child(spark, report_set, f"_staged_{uuid.uuid4().hex}")
-    table_rows.write.parquet(staged.toString())
-    files, _ = _folder(spark, report_set)
-    final = _child(spark, report_set, table)
-    if files.exists(final):
-        files.delete(final, True)
-    if not files.rename(staged, final):
-        raise OSError(f"could not move {staged.toString()} to {final.toString()}")
+    before = _versions(spark, report_set, table)
+    number = int(before[-1].split("-")[0]) + 1 if before else 1
+    version = f"{number:010d}-{uuid.uuid4().hex}"
+    table_rows.write.parquet(_path(spark, report_set, table, VERSION + version).toString())
+    _switch(spark, report_set, table, version)
+    for old in before[:-1]:  # the one before stays for readers that have begun
+        _clean(spark, report_set, table, old)
+
+
+def _switch(spark: SparkSession, report_set: str, table: str, version: str) -> None:
+    marker = _path(spark, report_set, table, MARKER + version)
+    _files(spark, marker).create(marker, False).close()
+
+
+def _clean(spark: SparkSession, report_set: str, table: str, version: str) -> None:
+    """Take a version out: first what names it, then its files."""
+    for name in (MARKER + version, VERSION + version):
+        path = _path(spark, report_set, table, name)
+        _files(spark, path).delete(path, True)

@@ -69,7 +69,7 @@ def test_holdover_list(spark):
 
 def test_facility_is_right_of_the_first_label(spark):
     cells = _cells(spark, SHEETS)
-    result = {r["file_name"]: r["FACILITY"] for r in sheet_facilities(cells, sheet_anchors(cells)).collect()}
+    result = {r["file_name"]: r["FACILITY"] for r in sheet_facilities(sheet_anchors(cells)).collect()}
     assert result == {"one.xlsx": "Plant 1", "bare.xlsx": "Plant 3"}
 
 

@@ -12,6 +12,8 @@ from loadtrail import schemas
 from loadtrail.operators.carriers import carrier_table
 from loadtrail.plans.notifier import notifier_report
 from loadtrail.plans.rtp import rtp_report
+from loadtrail.session import SETTINGS
+from loadtrail.sinks import report_set
 from loadtrail.sinks.csv import write_report
 from loadtrail.sinks.report_set import publish_table, read_table, table_names
 from loadtrail.sources.tables import read_audit_log, read_holdover_csv, read_report_csv, time_slices
@@ -104,7 +106,7 @@ def test_csv_keeps_odd_text(spark, tmp_path):
     texts = [' padded ', 'quote " inside', "two\nlines", "back\\slash", "comma, here", "\\", 'end"', None, ""]
     frame = spark.createDataFrame(list(enumerate(texts)), "n int, t string")
     write_report(frame.coalesce(1), str(tmp_path / "odd"))
-    back = {r.n: r.t for r in read_report_csv(spark, str(tmp_path / "odd"), frame.schema).collect()}
+    back = {r.n: r.t for r in read_report_csv(spark, str(tmp_path / "odd"), frame.schema, multi_line=True).collect()}
     assert back == {n: text or None for n, text in enumerate(texts)}
 
 
@@ -141,6 +143,30 @@ def test_failed_publish_keeps_the_old_table(spark, tmp_path):
     assert table_names(spark, home) == [c.MASTER_TABLE]
 
 
+def test_failed_switch_keeps_the_old_table(spark, tmp_path, monkeypatch):
+    home = str(tmp_path / "set")
+    publish_table(spark.range(3).toDF("a"), home)
+
+    def fail(*_):
+        raise OSError("no marker")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(report_set, "_switch", fail)
+        with pytest.raises(OSError, match="no marker"):
+            publish_table(spark.range(9).toDF("a"), home)
+    assert read_table(spark, home, c.MASTER_TABLE).count() == 3
+    for n in range(4, 8):
+        old = read_table(spark, home, c.MASTER_TABLE)
+        publish_table(spark.range(n).toDF("a"), home)
+        assert old.count() == n - 1  # a reader that has begun still finds its version
+    assert read_table(spark, home, c.MASTER_TABLE).count() == 7
+
+
+def test_settings_of_the_session():
+    assert int(SETTINGS["spark.sql.adaptive.coalescePartitions.initialPartitionNum"]) >= 4096
+    assert SETTINGS["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
 def test_readers_declare_their_schema(spark, tmp_path):
     log, _ = _inputs(spark)
     log.write.parquet(str(tmp_path / "log"))

@@ -42,6 +42,8 @@ SETS = "doc_id long, n_shingles long, high long, low long, block int, counts bin
 LISTS = "shingle long, n int, node long"
 MEMBERS = "group_key long, first_block int, last_block int, doc_id long, shingles binary"
 LINKS = "a long, b long"
+#: Documents that a worker looks at together.
+TOGETHER = 256
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -80,6 +82,12 @@ def set_key(shingles: np.ndarray) -> tuple[int, int]:
     return tuple(x - (1 << 64) if x >> 63 else x for x in (code >> 64, code & ((1 << 64) - 1)))
 
 
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for low in range(0, batch.num_rows, TOGETHER):
+            yield batch.slice(low, TOGETHER)
+
+
 def least_overlap(n: int, percent: int) -> int:
     """Shingles that a set of size n shares at least with any set no smaller that is similar enough."""
     return (percent * n + 99) // 100
@@ -91,7 +99,7 @@ def describe(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros(1 << CELL_BITS, np.uint32)
         seen: set[tuple[int, int]] = set()
-        for batch in batches:
+        for batch in slices(batches):
             rows, counted = [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 codes = word_codes(text)
@@ -151,7 +159,7 @@ def rare_ends(words: int, percent: int, levels):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level = levels.value
         seen: set[tuple[int, int]] = set()
-        for batch in batches:
+        for batch in slices(batches):
             shingle_parts, sizes, nodes = [], [], []
             for text in batch.column(0).to_pylist():
                 codes = word_codes(text)
@@ -189,15 +197,12 @@ def group_members(words: int):
     """The shingles of each candidate, if the text is the one that was described."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for group, first, last, doc_id, high, low, text in zip(*(c.to_pylist() for c in batch.columns)):
                 shingles = shingle_set(text, words)
                 if set_key(shingles) == (high, low):
                     rows.append((group, first, last, doc_id, shingles.tobytes()))
-                    if len(rows) == 500:
-                        yield batch_of(rows, MEMBERS)
-                        rows = []
             yield batch_of(rows, MEMBERS)
 
     return run

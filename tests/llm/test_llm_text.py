@@ -41,10 +41,15 @@ def test_base_scores(spark, monkeypatch):
     assert lm_scoring.text_scores(empty).count() == 0
 
 
-def test_windows_score_every_id_once():
+def laid_out(documents):
+    return [np.concatenate(parts) for parts in zip(*lm_scoring.windows(documents))]
+
+
+def test_windows_score_every_id_once(monkeypatch):
+    monkeypatch.setattr(lm_scoring, "WINDOWS_AT_ONCE", 3)
     rng = np.random.default_rng(1)
     documents = [rng.integers(0, 900, n).astype(np.uint32) for n in (0, 1, 5, 31, 32, 33, 55, 56, 57, 200)]
-    inputs, targets, fresh, owner = lm_scoring.windows(documents)
+    inputs, targets, fresh, owner = laid_out(documents)
     for k, ids in enumerate(documents):
         scored = targets[owner == k][fresh[owner == k]]
         assert scored.tolist() == [*ids.tolist(), lm_scoring.END]
@@ -96,7 +101,7 @@ def test_training_helps_on_held_out_documents():
     by_counts = sum(share[x].sum() + share[lm_scoring.END] for x in held)
     net = lm_scoring.Attention.start()
     adam = lm_scoring.Adam(net.weights())
-    inputs, targets, fresh, _ = lm_scoring.windows(learn[:300])
+    inputs, targets, fresh, _ = laid_out(learn[:300])
     for low in range(0, len(inputs), 128):
         part = slice(low, low + 128)
         adam.step(net.weights(), net.gradients(classes[inputs[part]], classes[targets[part]], fresh[part]))

@@ -368,9 +368,10 @@ def similar_components(
     )
     final = landed(final, "class-roots")
     alone = F.when(F.col("doc_id").isNotNull(), F.coalesce("class_root", "doc_id"))
-    return sets.join(final, ["high", "low"], "left").select(
-        F.col("doc_id").alias(id_column), "n_shingles", alone.alias("component_id")
-    )
+    # documents without words have no class and stay out of the join, where they would be one large key
+    worded = sets.where("high IS NOT NULL").join(final, ["high", "low"], "left").select("doc_id", "n_shingles", "class_root")
+    empty = sets.where("high IS NULL").select("doc_id", "n_shingles", F.lit(None).cast("long").alias("class_root"))
+    return worded.unionAll(empty).select(F.col("doc_id").alias(id_column), "n_shingles", alone.alias("component_id"))
 
 
 def drop_similar(

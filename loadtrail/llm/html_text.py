@@ -11,7 +11,7 @@ the region, an article is good and anything else is bad.
 Character references are decoded, white space inside a block becomes one space, blocks are joined by one.
 
 Defined cases: null and empty pages, and pages without text, give an empty text. Markup that is never closed ends
-with the page, except that an article ends a box it opens in. Equal pages give equal texts. Pages are read whole.
+with the page, except that the first article ends a box it opens in. Equal pages give equal texts. Pages are read whole.
 An empty table gives an empty result. Only the named columns are read, whatever else there is.
 """
 
@@ -120,12 +120,12 @@ def blocks(page: str) -> list[Block]:
             close()
         if name in VOID_TAGS or attributes.endswith("/"):
             continue
-        if name in REGION_TAGS and not closing:
-            bad, depth = (bad, depth) if bad == "aside" else (None, 0)
+        if name in REGION_TAGS and not closing and not (made and bad) and not names_bad(attributes):
+            bad, depth = None, 0  # the first article ends a box that was never closed
             made += 1
             regions.append(made)
             links = 0
-        elif name in REGION_TAGS and len(regions) > 1:
+        elif name in REGION_TAGS and closing and not bad and len(regions) > 1:
             regions.pop()
             links = 0
         if bad:
@@ -135,7 +135,7 @@ def blocks(page: str) -> list[Block]:
                     close()
                     bad = None
         elif not closing and name not in ("html", "body") and not (name == "header" and len(regions) > 1):
-            if name in BAD_TAGS or (name not in REGION_TAGS and attributes and names_bad(attributes)):
+            if name in BAD_TAGS or (attributes and names_bad(attributes)):
                 close()
                 bad, depth = name, 1
     add(page[at:])

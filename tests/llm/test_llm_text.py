@@ -160,6 +160,8 @@ PAGES = {
     "<article><p>One</p><div class='share-box'><p>the of and</p></div><p>Two</p><aside>x</aside></article>": "One Two",
     "<div class=\"ad\">the of<article><p>Kept a &lt;tag&gt;</p></article>": "Kept a <tag>",
     "<article><p>x<script>var a = '</p>';</script>y<!-- no --></p></article><div id=comments><p>the reader was here</p></div>": "xy",
+    "<main><p>Text of it</p><article class='comment'><p>the reader of it</p></article><p>end</p></main>": "Text of it end",
+    "<article><p>A</p></article><section id='comments'><article><p>the reader of it</p></article></section>": "A",
     "<body><div><a href=x>the one</a></div><p>It was the first of the days in the year and it is to be the last of them for us.</p><p>tail</p></body>": (
         "It was the first of the days in the year and it is to be the last of them for us. tail"
     ),

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadtrail.llm.staging import ascii_lower, landed, on_workers
+from loadtrail.llm.staging import ascii_lower, landed, on_workers, row_batch, signed
 
 #: Bytes of text that a map task gathers, or that one trie holds, before it flushes or spills.
 TRIE_BYTES = 48 << 20
@@ -152,10 +152,6 @@ def edge_bytes(node: Node) -> int:
     return total
 
 
-def signed(number: int) -> int:
-    return number - (1 << 64) if number >> 63 else number
-
-
 def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Map side: one row per different text that the task has seen since its last flush."""
     tries: dict[tuple[int, int], PatriciaTrie] = {}
@@ -180,18 +176,10 @@ def local_rows(tries: dict) -> Iterator[pa.RecordBatch]:
             rows.append((length, code, text, *entry))
             size += length
             if size > 8 << 20:
-                yield record_batch(rows, LOCAL)
+                yield row_batch(rows, LOCAL)
                 rows, size = [], 0
     if rows:
-        yield record_batch(rows, LOCAL)
-
-
-def record_batch(rows: list[tuple], ddl: str) -> pa.RecordBatch:
-    kinds = {"long": pa.int64(), "binary": pa.binary(), "string": pa.string()}
-    fields = [pa.field(*(name, kinds[kind])) for name, kind in (x.split() for x in ddl.split(", "))]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(column, f.type) for column, f in zip(zip(*rows), fields)], schema=pa.schema(fields)
-    )
+        yield row_batch(rows, LOCAL)
 
 
 def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,12 +198,12 @@ def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 current, trie = (length, code), PatriciaTrie()
             trie.insert(text, tuple(entry))
         if len(rows) > 10_000:
-            yield record_batch(rows, OWNED)
+            yield row_batch(rows, OWNED)
             rows = []
     if trie is not None:
         rows.extend(finished())
     if rows:
-        yield record_batch(rows, OWNED)
+        yield row_batch(rows, OWNED)
 
 
 def text_groups(docs: DataFrame, id_column: str, text_column: str, keep: str, normalise) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadtrail.llm.components import components
-from loadtrail.llm.staging import landed, on_workers
+from loadtrail.llm.staging import landed, on_workers, row_batch, signed
 
 #: Cells of the table of word counts as a power of two: a million cells, one byte each when broadcast.
 CELL_BITS = 20
@@ -39,6 +39,7 @@ GROUP_SHINGLES = 4_000_000
 LONG_FACTOR = 0.0085
 
 SETS = "doc_id long, n_shingles long, high long, low long, block int, counts binary"
+BLOCKS = "block int, counts binary"
 LISTS = "shingle long, n int, node long"
 MEMBERS = "group_key long, first_block int, last_block int, doc_id long, shingles binary"
 LINKS = "a long, b long"
@@ -79,7 +80,7 @@ def cells_of(codes: np.ndarray) -> np.ndarray:
 def set_key(shingles: np.ndarray) -> tuple[int, int]:
     """128 bits of a set as two signed numbers."""
     code = xxhash.xxh3_128_intdigest(shingles.tobytes())
-    return tuple(x - (1 << 64) if x >> 63 else x for x in (code >> 64, code & ((1 << 64) - 1)))
+    return signed(code >> 64), signed(code & ((1 << 64) - 1))
 
 
 def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,21 +114,14 @@ def describe(words: int):
                 cells += np.bincount(np.concatenate(counted), minlength=len(cells)).astype(np.uint32)
             if len(seen) > 1_000_000:
                 seen.clear()
-            yield batch_of(rows, SETS)
+            yield row_batch(rows, SETS)
         blocks = cells.reshape(-1, BLOCK)
         for low in range(0, len(blocks), 32):
-            yield batch_of([(None, None, None, None, k, blocks[k].tobytes()) for k in range(low, low + 32)], SETS)
+            yield row_batch([(None, None, None, None, k, blocks[k].tobytes()) for k in range(low, low + 32)], SETS)
 
     return run
 
 
-def batch_of(rows: list[tuple], ddl: str) -> pa.RecordBatch:
-    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
-    fields = [pa.field(name, kinds[kind]) for name, kind in (x.split() for x in ddl.split(", "))]
-    columns = list(zip(*rows)) if rows else [()] * len(fields)
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, fields)], schema=pa.schema(fields))
-
-
 def add_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Add up the rows of each block; what is held is the table's size at most."""
     sums: dict[int, np.ndarray] = {}
@@ -136,16 +130,14 @@ def add_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counts = np.frombuffer(counts, np.uint32).astype(np.uint64)
             sums[block] = sums[block] + counts if block in sums else counts
     for block, counts in sums.items():
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([block], pa.int32()), pa.array([counts.tobytes()], pa.binary())], names=["block", "counts"]
-        )
+        yield row_batch([(block, counts.tobytes())], BLOCKS)
 
 
 def frequency_levels(described: DataFrame) -> np.ndarray:
     """One byte per cell: its count on a logarithmic scale. The table's size is fixed by CELL_BITS."""
     sums = described.where("block IS NOT NULL").select("block", "counts").repartition("block")
     cells = np.zeros(1 << CELL_BITS, np.float64)
-    for row in sums.mapInArrow(add_blocks, "block int, counts binary").toLocalIterator():
+    for row in sums.mapInArrow(add_blocks, BLOCKS).toLocalIterator():
         cells[row["block"] * BLOCK : (row["block"] + 1) * BLOCK] = np.frombuffer(row["counts"], np.uint64)
     return np.minimum(np.round(4 * np.log2(cells + 1)), 255).astype(np.uint8)
 
@@ -203,7 +195,7 @@ def group_members(words: int):
                 shingles = shingle_set(text, words)
                 if set_key(shingles) == (high, low):
                     rows.append((group, first, last, doc_id, shingles.tobytes()))
-            yield batch_of(rows, MEMBERS)
+            yield row_batch(rows, MEMBERS)
 
     return run
 
@@ -298,10 +290,10 @@ def search(percent: int):
                     current, members = key, {}
                 members[doc_id] = shingles
             if rows:
-                yield batch_of(rows, LINKS)
+                yield row_batch(rows, LINKS)
                 rows = []
         if len(members) > 1:
-            yield batch_of(list(links(members)), LINKS)
+            yield row_batch(list(links(members)), LINKS)
 
     return run
 

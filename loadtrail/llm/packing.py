@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadtrail.llm.sharding import with_slots
-from loadtrail.llm.staging import landed, on_workers
+from loadtrail.llm.staging import landed, on_workers, row_batch
 from loadtrail.llm.subwords import subwords
 
 WINDOW = 1024
@@ -61,9 +61,7 @@ def piece_rows(ranks: tuple[str, str], window: int, end_id: int):
                         rest = piece.astype("<u2").tobytes() if len(piece) < window else None
                         rows.append((row_id, doc_id, start, len(piece), checksum(piece), len(ids), rest))
                     row_id += 1
-                kinds = [pa.int64()] * 6 + [pa.binary()]
-                names = [x.split()[0] for x in PIECES.split(", ")]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+                yield row_batch(rows, PIECES)
 
     return run
 
@@ -146,9 +144,7 @@ def cut_pieces(window: int):
                     n = min(length - at, window - offset)
                     rows.append((doc_id, start + at, n, checksum(ids[at : at + n]), doc_tokens, first + sequence, offset))
                     at += n
-            names = [x.split()[0] for x in CUT.split(", ")]
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=names)
+            yield row_batch(rows, CUT)
 
     return run
 

@@ -5,12 +5,22 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
+ARROW_TYPES = {
+    "long": pa.int64(),
+    "int": pa.int32(),
+    "double": pa.float64(),
+    "boolean": pa.bool_(),
+    "string": pa.string(),
+    "binary": pa.binary(),
+}
 #: Words are what lies between these characters.
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -48,6 +58,25 @@ def on_workers(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, (root, known)))
 
 
+def arrow_schema(ddl: str) -> pa.Schema:
+    """The Arrow schema of ``name type, name type, ...``."""
+    return pa.schema([(name, ARROW_TYPES[kind]) for name, kind in (x.split() for x in ddl.split(", "))])
+
+
+def column_batch(columns: Sequence, ddl: str) -> pa.RecordBatch:
+    schema = arrow_schema(ddl)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+def row_batch(rows: Sequence[tuple], ddl: str) -> pa.RecordBatch:
+    return column_batch(list(zip(*rows)) if rows else [()] * len(ddl.split(", ")), ddl)
+
+
+def signed(number: int) -> int:
+    """An unsigned 64-bit number as Spark's long."""
+    return number - (1 << 64) if number >> 63 else number
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadtrail.llm.staging import landed, on_workers
+from loadtrail.llm.staging import landed, on_workers, row_batch, signed
 
 SENTENCE = re.compile(r".+?(?:[.!?](?=\s)|\n|\Z)\s*|\s+", re.DOTALL)
 SPANS = "high long, low long, doc_id long, text_hash long, place int, sentences int"
@@ -50,10 +50,6 @@ def spans(parts: list[bytes], least_sentences: int, least_words: int) -> list[tu
     return [(worded[i], worded[j - 1] - worded[i] + 1) for i, j in zip(starts.tolist(), ends.tolist()) if j <= len(worded)]
 
 
-def signed(number: int) -> int:
-    return number - (1 << 64) if number >> 63 else number
-
-
 def text_code(text: str) -> int:
     return signed(xxhash.xxh3_64_intdigest(text))
 
@@ -70,20 +66,13 @@ def span_rows(least_sentences: int, least_words: int):
                     digest = xxhash.xxh3_128_intdigest(b"\n".join(parts[first : first + n]))
                     rows.append((signed(digest >> 64), signed(digest & low64), doc_id, code, first, n))
                 if len(rows) > 50_000:
-                    yield span_batch(rows)
+                    yield row_batch(rows, SPANS)
                     rows = []
-            yield span_batch(rows)
+            yield row_batch(rows, SPANS)
 
     return run
 
 
-def span_batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64()] * 4 + [pa.int32()] * 2
-    columns = list(zip(*rows)) if rows else [()] * 6
-    names = [x.split()[0] for x in SPANS.split(", ")]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
-
-
 def with_codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         codes = pa.array(map(text_code, batch.column(1).to_pylist()), pa.int64())
@@ -99,10 +88,7 @@ def without_repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             for span in repeats or ():
                 gone[span["place"] : span["place"] + span["sentences"]] = True
             rows.append((doc_id, "".join(p for p, g in zip(parts, gone) if not g), len(parts), int(gone.sum())))
-        kinds = [pa.int64(), pa.string(), pa.int32(), pa.int32()]
-        names = [x.split()[0] for x in CLEANED.split(", ")]
-        columns = list(zip(*rows)) if rows else [()] * 4
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+        yield row_batch(rows, CLEANED)
 
 
 def without_repeated_spans(

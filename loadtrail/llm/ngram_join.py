@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadtrail.llm.components import components
-from loadtrail.llm.staging import landed, on_workers, row_batch, signed
+from loadtrail.llm.staging import joined_by_size, landed, on_workers, row_batch, signed
 
 #: Cells of the table of word counts as a power of two: a million cells, one byte each when broadcast.
 CELL_BITS = 20
@@ -345,7 +345,9 @@ def similar_components(
         "high",
         "low",
     )
-    texts = dealt.join(rows, "doc_id").select("group_key", "first_block", "last_block", "doc_id", "high", "low", "text")
+    dealt = landed(dealt, "dealt-candidates")
+    dealt = joined_by_size(dealt, dealt.count())
+    texts = rows.join(dealt, "doc_id").select("group_key", "first_block", "last_block", "doc_id", "high", "low", "text")
     grouping = ["group_key", "first_block", "last_block"]
     found = (
         texts.mapInArrow(group_members(words), MEMBERS)
@@ -372,4 +374,6 @@ def drop_similar(
     """The rows of one document, the smallest identifier, of each component; rows without identifier stay."""
     found = similar_components(docs, words, percent, id_column, text_column)
     dropped = found.where(F.col(id_column) != F.col("component_id")).select(F.col(id_column).alias("dropped_id")).distinct()
+    dropped = landed(dropped, "dropped-ids")
+    dropped = joined_by_size(dropped, dropped.count())
     return docs.join(dropped, docs[id_column].cast("long") == dropped["dropped_id"], "left_anti")

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadtrail.llm.staging import bound, landed
+from loadtrail.llm.staging import bound, joined_by_size, landed
 
 KINDS = ("email", "ip", "card", "phone", "term")
 #: The base patterns, written so that a run of characters is entered at its start only and never walked back.
@@ -236,12 +236,18 @@ def sanitised(
     found = document_spans(docs, id_column, text_column, threshold, least_contexts)
     spans = found.select("doc_id", "text_hash", F.array_sort(F.concat("base", "extra")).alias("spans"))
     spans = landed(spans.where(F.size("spans") > 0).dropDuplicates(["doc_id", "text_hash"]), "pii-all-spans")
-    spans = spans.select(F.col("doc_id").alias("own_id"), F.col("text_hash").alias("own_hash"), "spans")
+    weight = spans.agg(F.coalesce(F.sum(F.size("spans") + 1), F.lit(0))).first()[0]
+    spans = spans.select(
+        F.col("doc_id").alias("own_id"),
+        F.col("text_hash").alias("own_hash"),
+        F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))).alias("spans"),
+    )
+    spans = joined_by_size(spans, weight)
     text = F.coalesce(docs[text_column], F.lit(""))
     columns = docs.columns
     keyed = docs.select(F.struct("*").alias("row"), docs[id_column].cast("long").alias("key_id"), F.xxhash64(text).alias("key_hash"))
     same = F.col("key_id").eqNullSafe(F.col("own_id")) & (F.col("key_hash") == F.col("own_hash"))
-    none = F.array().cast("array<struct<start:int,kind:int,end:int,value:string>>")
+    none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
     rows = keyed.join(spans, same, "left").select("row", F.coalesce("spans", none).alias("spans"))
     rows = rows.select("row", replaced(F.col("row").getField(text_column), F.col("spans")).alias("clean"))
     new = {text_column: F.col("clean")}

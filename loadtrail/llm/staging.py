@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
+BROADCAST_ROWS = 500_000
 ARROW_TYPES = {
     "long": pa.int64(),
     "int": pa.int32(),
@@ -58,6 +59,14 @@ def on_workers(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, (root, known)))
 
 
+def joined_by_size(frame: DataFrame, weight: int) -> DataFrame:
+    """The landed frame, hinted for a broadcast join if its ``weight`` in rows is small.
+
+    For tables of a few numbers a row: BROADCAST_ROWS of them take some 30 MB. Larger ones are joined by a shuffle.
+    """
+    return F.broadcast(frame) if weight <= BROADCAST_ROWS else frame
+
+
 def arrow_schema(ddl: str) -> pa.Schema:
     """The Arrow schema of ``name type, name type, ...``."""
     return pa.schema([(name, ARROW_TYPES[kind]) for name, kind in (x.split() for x in ddl.split(", "))])

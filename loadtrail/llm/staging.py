@@ -74,7 +74,8 @@ def arrow_schema(ddl: str) -> pa.Schema:
 
 def column_batch(columns: Sequence, ddl: str) -> pa.RecordBatch:
     schema = arrow_schema(ddl)
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+    arrays = [c.cast(f.type) if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema)]
+    return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
 def row_batch(rows: Sequence[tuple], ddl: str) -> pa.RecordBatch:

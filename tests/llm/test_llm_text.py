@@ -41,6 +41,11 @@ def test_base_scores(spark, monkeypatch):
     assert lm_scoring.text_scores(empty).count() == 0
 
 
+def test_every_training_document_has_one_round():
+    for doc_id in [None, *range(500)]:
+        assert sum(lm_scoring.share(doc_id) == turn for turn in range(lm_scoring.ROUNDS)) == 1
+
+
 def laid_out(documents):
     return [np.concatenate(parts) for parts in zip(*lm_scoring.windows(documents))]
 

@@ -7,6 +7,7 @@ from collections import Counter
 import edge
 import loops
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import sentencepiece
 
@@ -113,6 +114,108 @@ def test_training_helps_on_held_out_documents():
     assert lm_scoring.Scorer(net, classes, in_class).scores(held).sum() > by_counts * 0.93
 
 
+def document_batch(rows):
+    return pa.RecordBatch.from_pydict({"doc_id": pa.array([d for d, _ in rows], pa.int64()), "text": pa.array([t for _, t in rows])})
+
+
+def counted(rows):
+    found = np.zeros((lm_scoring.IDS, lm_scoring.CELLS))
+    for batch in lm_scoring.count_ids(lm_scoring.vocabulary())(iter([document_batch(rows)])):
+        for block, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            own = np.frombuffer(counts).reshape(-1, lm_scoring.CELLS)
+            found[block * lm_scoring.BLOCK_IDS :][: len(own)] = own
+    return found
+
+
+def test_ids_are_counted_in_running_texts():
+    rows = [(d, t) for d, t in enumerate(["red cat sat", "the red cat", "", "a Red  hat sat", "held out maybe"] * 4)]
+    known = lm_scoring.WordIds(lm_scoring.vocabulary())
+    wanted = np.zeros((lm_scoring.IDS, lm_scoring.CELLS))
+    for d, t in rows:
+        if lm_scoring.remainder(d):
+            ids = [lm_scoring.END, *known.of(lm_scoring.words_of(t)).tolist(), lm_scoring.END]
+            for a, b in zip(ids, ids[1:]):
+                wanted[b, a % lm_scoring.CELLS] += 1
+    assert (counted(rows) == wanted).all()
+    cat, red = known.of([b"cat"])[0], known.of([b"red"])[-1]
+    assert wanted[cat, red % lm_scoring.CELLS] > 0 and wanted[cat, lm_scoring.END % lm_scoring.CELLS] == 0
+
+
+def started_ids(seed=4):
+    rng = np.random.default_rng(seed)
+    follows = rng.integers(0, 3, (lm_scoring.IDS, lm_scoring.CELLS)).astype(float)
+    ids = lm_scoring.Ids(*lm_scoring.id_classes(follows))
+    for table in ids.tables:
+        table += rng.normal(0, 0.5, table.shape).astype(np.float32)
+    return ids, rng
+
+
+def test_ids_are_a_distribution_that_depends_on_the_context():
+    ids, rng = started_ids()
+    net = lm_scoring.Attention.start()
+    every = np.arange(lm_scoring.IDS)
+    found = []
+    for state in rng.normal(0, 1, (2, lm_scoring.WIDTH)).astype(np.float32):
+        h = np.repeat(state[None], len(every), 0)
+        inside = ids.log_probabilities(every, h)
+        assert np.allclose(np.bincount(ids.classes, np.exp(inside), lm_scoring.CLASSES), 1, atol=1e-3)
+        assert abs(np.exp(inside + net.of_classes(h, ids.classes)).sum() - 1) < 1e-3
+        found.append(inside)
+    assert np.abs(found[0] - found[1]).max() > 0.1
+
+
+def test_gradients_of_single_ids():
+    ids, rng = started_ids()
+    targets, h = rng.integers(0, lm_scoring.IDS, 40), rng.normal(0, 1, (40, lm_scoring.WIDTH)).astype(np.float32)
+    targets[20:] = targets[:20]
+    dh, (nodes, sums, times) = ids.gradients(targets, h)
+    loss = lambda: -ids.log_probabilities(targets, h).sum()
+    assert times.sum() == ids.sizes[targets].sum()
+    for weight, gradient in ((h, dh), (ids.tables[1], np.zeros_like(ids.tables[1]))):
+        if weight is not h:
+            gradient[nodes] = sums
+        at = np.unravel_index(np.abs(gradient).argmax(), gradient.shape)
+        kept = weight[at]
+        weight[at] = kept + 0.02
+        above = loss()
+        weight[at] = kept - 0.02
+        below = loss()
+        weight[at] = kept
+        assert abs((above - below) / 0.04 - gradient[at]) < 0.02 * abs(gradient[at])
+
+
+def test_a_round_learns_which_word_follows_inside_a_class(monkeypatch):
+    """Ids with equal counts: neither their class nor their share in it says which one follows."""
+    monkeypatch.setattr(lm_scoring, "BATCH", 8)
+    rng = np.random.default_rng(7)
+    words = [w for w in "cat dog hat sun map pen box cup fan key bed car bus hen pig ant bee cow fox owl".split()]
+    follow = dict(zip(words, np.roll(words, 7).tolist()))
+    rows = []
+    for d in range(2000):
+        first = [words[k] for k in rng.integers(0, len(words), 12)]
+        rows.append((d, " ".join(x for w in first for x in (w, follow[w]))))
+    classes, in_class = lm_scoring.id_classes(np.zeros((lm_scoring.IDS, lm_scoring.CELLS)))
+    known = lm_scoring.WordIds(lm_scoring.vocabulary())
+    ids, flat = lm_scoring.Ids(classes, in_class), lm_scoring.Attention.start().flat()
+
+    class Given:
+        def __init__(self, value):
+            self.value = value
+
+    for turn in range(lm_scoring.ROUNDS):
+        run = lm_scoring.train(lm_scoring.vocabulary(), Given(ids), Given(flat), turn)
+        sums = {}
+        for batch in lm_scoring.add_blocks(run(iter([document_batch(rows)]))):
+            sums.update((b, np.frombuffer(c)) for b, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+        weights = np.concatenate([sums[k] for k in sorted(sums) if k >= 0])
+        flat = weights[:-1] / weights[-1]
+        lm_scoring.move_rows(ids.tables, sums)
+    scorer = lm_scoring.Scorer(lm_scoring.Attention.of_flat(flat), classes, in_class, ids)
+    right = [known.of([w.encode(), follow[w].encode()]) for w in words]
+    wrong = [known.of([w.encode(), follow[follow[w]].encode()]) for w in words]
+    assert scorer.scores(right).sum() > scorer.scores(wrong).sum() + 0.2 * len(words)
+
+
 def unigram_model(pieces: sentencepiece_viterbi.Vocabulary) -> bytes:
     """The same pieces and scores as a model file of the library's own unigram type."""
 

@@ -63,6 +63,13 @@ def test_windows_score_every_id_once(monkeypatch):
     assert inputs[first][0] == lm_scoring.END and (inputs[first][1:] == documents[9][: lm_scoring.WINDOW - 1]).all()
 
 
+def test_windows_overlap_by_eight_ids_at_least():
+    _, _, fresh, _ = laid_out([np.arange(200)])
+    context = [np.flatnonzero(row) + 1 for row in fresh]
+    assert max(c.max() for c in context) >= 32
+    assert min(c.min() for c in context[1:]) >= 9
+
+
 def test_attention_is_causal_and_a_distribution():
     net = lm_scoring.Attention.start()
     rng = np.random.default_rng(2)

@@ -61,7 +61,7 @@ def personal(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return without_repeated_spans(table(spark, folder, "documents"))
+    return without_repeated_spans(table(spark, folder, "documents"), run_words=40)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

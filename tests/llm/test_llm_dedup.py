@@ -111,6 +111,37 @@ def test_without_repeated_spans(spark):
     assert sorted(r["text"] for r in nulls)[1] == "no identifier here"
 
 
+def test_a_lone_passage_between_other_neighbours(spark):
+    lone = " ".join(f"tall{k}" for k in range(60)) + "."
+    bare = " ".join(f"wide{k} road{k * k}" for k in range(60))
+    chinese = "".join(chr(0x4E00 + 37 * k) for k in range(50)) + "\u3002"
+    thai = "".join(chr(0x0E01 + (k * k * 7 + k // 5) % 46) for k in range(160))
+    rows = []
+    for d in (1, 2):
+        own = lambda n, d=d: " ".join(f"own{d}x{n}y{k}" for k in range(9))
+        rows.append((d, f"{own(1)}. {lone} {own(2)}."))
+        rows.append((10 + d, f"{own(3)} {bare} {own(4)}"))
+        rows.append((20 + d, chr(0x5E00 + d) * 5 + "\u3002" + chinese + chr(0x5F00 + d) * 5 + "\u3002"))
+        rows.append((30 + d, chr(0x0E40) * d + thai + chr(0x0E41) * d))
+    text = dict(rows)
+    docs = edge.frame(spark, rows)
+    short = {r["doc_id"]: r["text"] for r in substring_dedup.without_repeated_spans(docs).collect()}
+    whole = {r["doc_id"]: r["text"] for r in substring_dedup.without_repeated_spans(docs, run_words=40).collect()}
+    for found in (short, whole):
+        assert all(found[k] == text[k] for k in (1, 11, 21, 31))
+        assert found[2] == text[2].replace(lone + " ", "") and found[22] == text[22].replace(chinese, "")
+    assert short[12] == text[12]
+    kept = whole[12].split()
+    assert kept[:9] == text[12].split()[:9] and kept[-9:] == text[12].split()[-9:] and len(kept) < 18 + 60
+    assert len(whole[32]) < len(text[32]) / 2
+
+
+def test_pieces_are_the_sentence():
+    for _, text in edge.texts():
+        parts, begins = substring_dedup.cut(text or "", 40)
+        assert "".join(parts) == (text or "") and len(begins) == len(substring_dedup.sentences(text or ""))
+
+
 def test_sentences_are_the_text():
     for _, text in edge.texts():
         assert "".join(substring_dedup.sentences(text or "")) == (text or "")

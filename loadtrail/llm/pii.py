@@ -1,18 +1,19 @@
 """Personal data by patterns, and terms that give it away by their co-occurrence, in built-in functions only.
 
-Patterns find e-mail addresses, IP addresses, card and phone numbers: the protected entities. An entity whose
-mentions stand in several different contexts is then treated as in information-theoretic sanitisation. With
-probabilities taken from how many documents of the whole corpus hold the entity, hold a term, or hold the term
-close to the entity, the term discloses ``PMI(term; entity)`` of the entity's information ``IC(entity)``. A term
-that reaches the threshold is as good as the entity itself, for instance the name that only ever stands beside a certain
-address, and is generalised in the documents that hold the entity.
+Patterns find e-mail addresses, IP addresses, card and phone numbers: the protected entities. Every entity is then
+treated as in information-theoretic sanitisation. With probabilities taken from how many documents of the whole corpus
+hold the entity, hold a term, or hold both, the term discloses ``PMI(term; entity)`` of the entity's information
+``IC(entity)``. A term that reaches the threshold is as good as the entity itself, for instance the name that only ever
+comes with a certain address, and is generalised in the documents that hold the entity. A term counts as held by
+``smoothing`` more documents without the entity, so that few documents prove little.
+
+Terms are runs of letters outside the base spans.
 
 Places are code points. Positions come from cutting the text at the matches, so a text is scanned and never copied
 per match.
 
 Defined cases: a null or empty text has no span. Equal texts have equal spans; rows that repeat identifier and text are one
-document. A match that fails its check is dropped and the search goes on behind it. Contexts that are copies of one
-another count once towards the number of contexts. An empty table gives an empty result. Long texts are scanned whole.
+document. A match that fails its check is dropped and the search goes on behind it. An empty table gives an empty result. Long texts are scanned whole.
 Only the identifier and the text are read, whatever else there is.
 """
 
@@ -30,9 +31,7 @@ IP = r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}"
 CARD = r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){13,18}+(?![\x20-]?[0-9])"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
-#: A term is a run of at least so many letters; it is close within so many characters of an entity.
-TERM = r"\p{L}{4,}"
-CLOSE = 60
+TERM = r"\p{L}+"
 
 
 def digits(value: Column) -> Column:
@@ -127,58 +126,79 @@ def terms_of(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))
 
 
-def beside(text: Column, span: Column) -> Column:
-    """What stands close to a span; words cut by the border lose their terms' rest."""
-    left = F.substring(text, F.greatest(span["start"] - CLOSE, F.lit(0)) + 1, F.least(span["start"], F.lit(CLOSE)))
-    left = F.when(span["start"] > CLOSE, F.regexp_replace(left, r"^\p{L}+", "")).otherwise(left)
-    right = F.regexp_replace(F.substring(text, span["end"] + 1, F.lit(CLOSE)), r"\p{L}+$", "")
-    return F.concat(left, F.lit(" | "), right)
+def blanked(text: Column, spans: Column) -> Column:
+    """The text with every span as white space, so that places stay what they are."""
+
+    def step(seen: Column, span: Column) -> Column:
+        gap = F.substring(text, seen["at"] + 1, F.greatest(span["start"] - seen["at"], F.lit(0)))
+        blank = F.repeat(F.lit(" "), F.greatest(span["end"] - F.greatest(span["start"], seen["at"]), F.lit(0)))
+        return F.struct(F.greatest(seen["at"], span["end"]).alias("at"), F.concat(seen["parts"], F.array(gap, blank)).alias("parts"))
+
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
+    return F.aggregate(
+        spans, start, step, lambda seen: F.concat(F.array_join(seen["parts"], ""), F.substring(text, seen["at"] + 1, F.length(text)))
+    )
 
 
 def entity_mentions(docs: DataFrame) -> DataFrame:
-    """One row per mention: document, entity, its context."""
-    spans = docs.where(F.size("base") > 0).select("doc_id", "text_hash", "text", F.explode("base").alias("span"))
-    return spans.select("doc_id", "text_hash", entity(F.col("span")).alias("entity"), beside(F.col("text"), F.col("span")).alias("context"))
+    """One row per document and entity in it."""
+    spans = docs.where(F.size("base") > 0).select("doc_id", "text_hash", F.explode("base").alias("span"))
+    return spans.select("doc_id", "text_hash", entity(F.col("span")).alias("entity")).distinct()
 
 
 def disclosing_terms(
-    docs: DataFrame, mentions: DataFrame, threshold: float, least_contexts: int
+    rows: DataFrame, found: DataFrame, mentions: DataFrame, threshold: float, smoothing: float
 ) -> DataFrame:
-    """``entity``, ``term`` with PMI(term; entity) >= threshold * IC(entity), over all documents."""
-    close = mentions.select(
-        "doc_id", "text_hash", "entity", F.xxhash64("context").alias("context"), F.explode(terms_of(F.col("context"))).alias("term")
+    """``entity``, ``term`` with PMI(term; entity) >= threshold * IC(entity), over all documents.
+
+    ``PMI >= threshold * IC`` says n_term + smoothing <= n_both * (total / n_entity) ** (1 - threshold). As n_both is n_entity at
+    most, a document's terms that are too frequent for each of its entities go before they are paired with them.
+    """
+    total = F.lit(float(rows.count()))
+    of_entity = mentions.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
+    gain = F.pow(total / F.col("n_entity"), F.lit(1 - threshold))
+    of_entity = of_entity.where(F.col("n_entity") < total).withColumn("gain", gain)
+    held = landed(mentions.join(of_entity, "entity"), "pii-entities")
+    most = held.groupBy("doc_id", "text_hash").agg(F.max(F.col("n_entity") * F.col("gain")).alias("most"))
+
+    def same(a: DataFrame, b: DataFrame) -> Column:
+        return a["doc_id"].eqNullSafe(b["doc_id"]) & (a["text_hash"] == b["text_hash"])
+
+    everywhere = rows.select(F.explode(terms_of(F.col("text"))).alias("term"), F.lit(1).alias("n"))
+    # documents that have a term in base spans only do not hold it
+    inside = found.where("in_spans IS NOT NULL").select(F.explode("in_spans").alias("term"), F.lit(-1).alias("n"))
+    of_term = everywhere.union(inside).groupBy("term").agg(F.sum("n").alias("n_term"))
+    texts = found.where("text IS NOT NULL").dropDuplicates(["doc_id", "text_hash"]).select("doc_id", "text_hash", "text")
+    own = texts.join(most, same(texts, most)).select(texts["doc_id"], texts["text_hash"], "most", F.explode(terms_of(F.col("text"))).alias("term"))
+    own = own.join(of_term, "term").where(F.col("n_term") + smoothing <= F.col("most") * (1 + 1e-9))
+    own = landed(own.select("doc_id", "text_hash", "term", "n_term"), "pii-rare-terms")
+    pairs = own.join(held, same(own, held)).where(F.col("n_term") + smoothing <= F.col("n_entity") * F.col("gain") * (1 + 1e-9))
+    together = pairs.groupBy("entity", "term").agg(
+        F.count(F.lit(1)).alias("n_both"), *[F.first(c).alias(c) for c in ("n_term", "n_entity")]
     )
-    contexts = close.select("entity", "term", "context").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("contexts"))
-    together = close.select("entity", "term", "doc_id", "text_hash").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both"))
-    pairs = contexts.where(F.col("contexts") >= least_contexts).join(together, ["entity", "term"])
-    pairs = landed(pairs.select("entity", "term", "n_both"), "pii-pairs")
-    if pairs.isEmpty():
-        return pairs.select("entity", "term")
-    of_entity = mentions.select("entity", "doc_id", "text_hash").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    of_term = docs.select(F.explode(terms_of(F.col("text"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    total = F.lit(float(docs.count()))
-    rated = pairs.join(of_entity, "entity").join(of_term, "term")
-    pmi = F.log(F.col("n_both") * total / (F.col("n_entity") * F.col("n_term")))
-    content = F.log(total / F.col("n_entity"))
-    return rated.where((content > 0) & (pmi >= threshold * content)).select("entity", "term")
-
-
-def document_spans(docs: DataFrame, id_column: str, text_column: str, threshold: float, least_contexts: int) -> DataFrame:
+    pmi = F.log(F.col("n_both") * total / (F.col("n_entity") * (F.col("n_term") + smoothing)))
+    return together.where(pmi >= threshold * F.log(total / F.col("n_entity"))).select("entity", "term")
+
+
+def document_spans(docs: DataFrame, id_column: str, text_column: str, threshold: float, smoothing: float) -> DataFrame:
     """``doc_id``, ``text_hash``, base spans and term spans of every row."""
     text = F.coalesce(docs[text_column], F.lit(""))
     rows = docs.select(docs[id_column].cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
     scanned = rows.select("*", base_spans(F.col("text")).alias("base"))
     found = landed(
-        scanned.select("doc_id", "text_hash", "base", F.when(F.size("base") > 0, F.col("text")).alias("text")), "pii-spans"
+        scanned.withColumn("blank", F.when(F.size("base") > 0, blanked(F.col("text"), F.col("base")))).select(
+            "doc_id", "text_hash", "base", F.col("blank").alias("text"),
+            F.when(F.size("base") > 0, F.array_except(terms_of(F.col("text")), terms_of(F.col("blank")))).alias("in_spans"),
+        ),
+        "pii-spans",
     )
     mentions = landed(entity_mentions(found), "pii-mentions")
-    disclosing = landed(disclosing_terms(rows, mentions, threshold, least_contexts), "pii-terms")
-    keyed = mentions.select("doc_id", "text_hash", "entity").distinct().join(disclosing, "entity")
+    texts = found.where("text IS NOT NULL").dropDuplicates(["doc_id", "text_hash"]).select("doc_id", "text_hash", "text")
+    disclosing = landed(disclosing_terms(rows, found, mentions, threshold, smoothing), "pii-terms")
+    keyed = mentions.join(disclosing, "entity")
     per_text = keyed.groupBy("doc_id", "text_hash").agg(F.array_join(F.array_sort(F.collect_set("term")), "|").alias("terms"))
     pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.col("terms"), F.lit(r")(?!\p{L})"))
-    texts = found.where("text IS NOT NULL").dropDuplicates(["doc_id", "text_hash"]).select(
-        F.col("doc_id").alias("own_id"), F.col("text_hash").alias("own_hash"), "text"
-    )
+    texts = texts.withColumnsRenamed({"doc_id": "own_id", "text_hash": "own_hash"})
     same = F.col("own_id").eqNullSafe(F.col("doc_id")) & (F.col("own_hash") == F.col("text_hash"))
     with_terms = texts.join(per_text, same).select("own_id", "own_hash", placed(F.col("text"), pattern, KINDS.index("term")).alias("extra"))
     with_terms = landed(with_terms, "pii-term-spans")
@@ -194,10 +214,10 @@ def written(spans: Column) -> Column:
 
 
 def personal_data(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", threshold: float = 0.8, least_contexts: int = 3
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", threshold: float = 0.8, smoothing: float = 2.0
 ) -> DataFrame:
     """Per row: identifier, matches per kind, digest of the base spans, and all spans."""
-    found = document_spans(docs, id_column, text_column, threshold, least_contexts)
+    found = document_spans(docs, id_column, text_column, threshold, smoothing)
     counts = [of_kind(F.col("base"), k).alias(f"n_{kind}") for k, kind in enumerate(KINDS[:4])]
     return found.select(
         F.col("doc_id").alias(id_column),
@@ -230,10 +250,10 @@ def sanitised(
     text_column: str = "text",
     length_column: str | None = None,
     threshold: float = 0.8,
-    least_contexts: int = 3,
+    smoothing: float = 2.0,
 ) -> DataFrame:
     """The rows with all their columns, personal data in the text generalised; a length column is brought up to date."""
-    found = document_spans(docs, id_column, text_column, threshold, least_contexts)
+    found = document_spans(docs, id_column, text_column, threshold, smoothing)
     spans = found.select("doc_id", "text_hash", F.array_sort(F.concat("base", "extra")).alias("spans"))
     spans = landed(spans.where(F.size("spans") > 0).dropDuplicates(["doc_id", "text_hash"]), "pii-all-spans")
     weight = spans.agg(F.coalesce(F.sum(F.size("spans") + 1), F.lit(0))).first()[0]

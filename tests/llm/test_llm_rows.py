@@ -165,6 +165,20 @@ def test_disclosing_terms(spark):
     assert found[99] == "" and found[25] == ""
 
 
+def test_terms_of_entities_that_are_used_once(spark):
+    """One short name beside an address used once, one far from an address used twice, one inside another address too."""
+    far = " the plain text goes on and on" * 5
+    rows = [(0, "the text Bo mail a1@x.example.org goes on"), (3, "nothing of qqq@y.example.org here, the text goes on")]
+    rows += [(1 + k, f"the text of Zebulon goes on{far} b2@x.example.org") for k in range(2)]
+    rows += [(4, "the text qqq goes on with c3@x.example.org")]
+    rows += [(20 + k, f"mail here nothing plain text number {k} of the row with it goes on and on") for k in range(300)]
+    found = {r["doc_id"]: r["spans"] for r in pii.personal_data(edge.frame(spark, rows)).collect()}
+    text = dict(rows)
+    names = {d: {text[d][int(a) : int(b)] for kind, a, b in (x.split(":") for x in found[d].split(",")) if kind == "term"} for d in range(5)}
+    assert names == {0: {"Bo"}, 1: {"Zebulon"}, 2: {"Zebulon"}, 3: set(), 4: {"qqq"}}
+    assert found[25] == ""
+
+
 def test_sanitised(spark):
     rows = disclosing_rows() + [(200, None), (201, "card 4111 1111 1111 1111, ok"), (None, "b@c.de")]
     docs = edge.frame(spark, rows)

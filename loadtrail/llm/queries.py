@@ -14,7 +14,7 @@ from loadtrail.llm.ngram_join import similar_components
 from loadtrail.llm.packing import packed
 from loadtrail.llm.pii import personal_data
 from loadtrail.llm.quality import quality_verdicts
-from loadtrail.llm.sentencepiece_viterbi import encoded
+from loadtrail.llm.sentencepiece_viterbi import round_trips
 from loadtrail.llm.sharding import sharded
 from loadtrail.llm.substring_dedup import without_repeated_spans
 
@@ -36,8 +36,8 @@ def lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
-    found = encoded(table(spark, folder, "documents"))
-    return found.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids")
+    found = round_trips(table(spark, folder, "documents"))
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", "decoded_sha256", "round_trip")
 
 
 def sharding(spark: SparkSession, folder: str) -> DataFrame:

@@ -5,7 +5,7 @@ else; no piece of the vocabulary crosses such a place, which is checked when it
 worker has not met lately, those of equal length advance together: prefix hashes give the hash of every substring,
 binary search in the sorted hashes of the pieces finds the pieces that end at a place, and a maximum over
 their lengths stores score and backpointer for all segments at once. A character without a piece becomes its UTF-8
-bytes. Decoding joins the pieces, so it gives back the text.
+bytes. Decoding joins the pieces, so it gives back the text, but for U+2581 in it, which comes back as a space.
 
 The public vocabulary file holds merge ranks rather than log probabilities. A piece scores the logarithm of what
 its rank's place in a Zipf distribution would be; the segmentation is the one of highest total score.
@@ -16,8 +16,10 @@ Long texts are encoded whole. An empty table gives an empty result. Only the ide
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
+from functools import cached_property
 from itertools import chain
 
 import numpy as np
@@ -130,11 +132,13 @@ class Vocabulary:
 
     def decode(self, ids: list[int]) -> str:
         """The text of the ids: pieces joined, runs of byte pieces read as UTF-8."""
-        out = bytearray()
-        for k in ids:
-            out += bytes([self.bytes_of[k]]) if k in self.bytes_of else self.pieces[k].encode()
+        out = b"".join(map(self.raw.__getitem__, ids))
         return out.decode("utf-8", "replace").replace(SPACE, " ")[1:]
 
+    @cached_property
+    def raw(self) -> list[bytes]:
+        return [bytes([self.bytes_of[k]]) if k in self.bytes_of else piece.encode() for k, piece in enumerate(self.pieces)]
+
 
 def piece_key(piece: str) -> int:
     code = 0
@@ -175,6 +179,24 @@ def encode_rows(model_path: str):
     return run
 
 
+def round_trip_rows(model_path: str):
+    encode = encode_rows(model_path)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = vocabulary(model_path)
+        parts = (batch.slice(low, 512) for batch in batches for low in range(0, batch.num_rows, 512))
+        for part in parts:
+            (tokens,) = encode(iter([part]))
+            flat, ends = tokens.column(1).values.to_numpy().tolist(), tokens.column(1).offsets.to_pylist()
+            texts = [pieces.decode(flat[low:high]) for low, high in zip(ends, ends[1:])]
+            digests = pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts], pa.string())
+            same = pa.array([a == b for a, b in zip(texts, part.column(1).to_pylist())], pa.bool_())
+            names = ["doc_id", "ids", "decoded_sha256", "round_trip"]
+            yield pa.RecordBatch.from_arrays([*tokens.columns, digests, same], names=names)
+
+    return run
+
+
 def decode_rows(model_path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = vocabulary(model_path)
@@ -198,3 +220,11 @@ def decoded(tokens: DataFrame, id_column: str = "doc_id", ids_column: str = "ids
     on_workers(tokens.sparkSession)
     rows = tokens.select(tokens[id_column].cast("long"), tokens[ids_column].cast("array<int>"))
     return rows.mapInArrow(decode_rows(model_path or public_model()), "doc_id long, text string").withColumnRenamed("doc_id", id_column)
+
+
+def round_trips(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", model_path: str | None = None) -> DataFrame:
+    """Per row: identifier, ids, SHA-256 of the text decoded from the ids, and whether that is the row's text."""
+    on_workers(docs.sparkSession)
+    rows = docs.select(docs[id_column].cast("long"), F.coalesce(docs[text_column], F.lit("")))
+    schema = "doc_id long, ids array<int>, decoded_sha256 string, round_trip boolean"
+    return rows.mapInArrow(round_trip_rows(model_path or public_model()), schema).withColumnRenamed("doc_id", id_column)

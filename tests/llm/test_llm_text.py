@@ -1,5 +1,6 @@
 """Language-model scores, SentencePiece and page text."""
 
+import hashlib
 import math
 import struct
 from collections import Counter
@@ -265,6 +266,15 @@ def test_encoding_and_decoding_tables(spark):
     assert queries()["op4_sentencepiece"](spark, SMALL).where("n_ids = 0").count() == 0
 
 
+def test_the_query_decodes_what_it_encodes(spark):
+    found = queries()["op4_sentencepiece"](spark, SMALL).collect()
+    texts = dict(zip(*pq.read_table(f"{SMALL}/documents.parquet", columns=["doc_id", "text"]).to_pydict().values()))
+    assert len(found) == len(texts) and all(r["round_trip"] for r in found)
+    assert all(r["decoded_sha256"] == hashlib.sha256((texts[r["doc_id"]] or "").encode()).hexdigest() for r in found)
+    odd = edge.frame(spark, [(1, "a\u2581b"), (2, None), (3, "a b")])
+    assert {r["doc_id"]: r["round_trip"] for r in sentencepiece_viterbi.round_trips(odd).collect()} == {1: False, 2: True, 3: True}
+
+
 PAGES = {
     "": "",
     "<p>": "",

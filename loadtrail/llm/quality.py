@@ -34,6 +34,8 @@ STOP_WORDS = {
 }
 #: Accuracies before the first round: rules rarely accuse a good document, and each sees some of the bad ones.
 START_GOOD, START_BAD = 0.95, 0.3
+#: Words of a block in which different words are counted.
+BLOCK_WORDS = 500
 RULES = ("symbols", "capitals", "exclamations", "stop_words", "variety", "sentences", "repeats", "word_length")
 
 
@@ -98,6 +100,13 @@ def repeated_window_words(codes: Column) -> Column:
     return F.when(F.size(codes) <= WINDOW, none).otherwise(bound(rows_of(codes, 1), of_twos))
 
 
+def distinct_by_blocks(codes: Column) -> Column:
+    """Different words of every block of ``BLOCK_WORDS``, added up: their share in all words does not fall with the length."""
+    starts = F.sequence(F.lit(0), F.floor(F.greatest(F.size(codes) - 1, F.lit(0)) / BLOCK_WORDS).cast("int"))
+    sizes = F.transform(starts, lambda k: F.size(F.array_distinct(F.slice(codes, k * BLOCK_WORDS + 1, F.lit(BLOCK_WORDS)))))
+    return F.aggregate(sizes, F.lit(0).cast("long"), lambda total, size: total + size)
+
+
 def measured(docs: DataFrame, keep: list[Column], text_column: str) -> DataFrame:
     """The kept columns and, per document, the base counts and the votes."""
     text = F.coalesce(docs[text_column], F.lit(""))
@@ -117,7 +126,7 @@ def measured(docs: DataFrame, keep: list[Column], text_column: str) -> DataFrame
         count_of(text, "A-Z").alias("n_capitals"),
         count_of(text, "!").alias("n_exclamations"),
         count_of(text, ".!?").alias("n_ends"),
-        F.size(F.array_distinct(codes)).cast("long").alias("n_distinct"),
+        distinct_by_blocks(codes).alias("n_distinct"),
         F.size(F.array_intersect(words, stop)).cast("long").alias("n_stop"),
     )
     n = F.col("n_words")
@@ -126,7 +135,7 @@ def measured(docs: DataFrame, keep: list[Column], text_column: str) -> DataFrame
         "capitals": (F.col("n_capitals") * 4 <= F.col("word_chars"), F.col("n_capitals") * 2 > F.col("word_chars")),
         "exclamations": (F.col("n_exclamations") * 20 <= n, F.col("n_exclamations") * 5 > n),
         "stop_words": ((F.col("n_stop") >= 4) & (n >= 10), (F.col("n_stop") <= 1) & (n >= 20)),
-        "variety": (F.col("n_distinct") * 5 >= n * 2, (F.col("n_distinct") * 5 < n) & (n >= 40) & (n < 5000)),
+        "variety": (F.col("n_distinct") * 5 >= n * 2, (F.col("n_distinct") * 5 < n) & (n >= 40)),
         "sentences": (F.col("n_ends") * 50 >= n, (F.col("n_ends") == 0) & (n >= 40)),
         "repeats": (F.col("n_repeat_words") * 10 <= n, F.col("n_repeat_words") * 5 > n),
         "word_length": (F.col("word_chars").between(n * 3, n * 9), ~F.col("word_chars").between(n * 2, n * 15)),

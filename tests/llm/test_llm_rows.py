@@ -137,6 +137,16 @@ def test_subwords_equal_the_tokenizer():
         assert model.ids(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_variety_votes_alike_at_every_length(spark):
+    poor = lambda n: " ".join(f"w{(k * k + k // 7) % 11}" for k in range(n))
+    rich = lambda n: " ".join(f"w{k % 400}" for k in range(n))
+    sizes = (60, 499, 500, 501, 4999, 5000, 30_000)
+    rows = [(n, poor(n)) for n in sizes] + [(-n, rich(n)) for n in sizes]
+    docs = edge.frame(spark, rows)
+    found = {r["doc_id"]: r["variety"] for r in quality.measured(docs, [docs["doc_id"]], "text").select("doc_id", "variety").collect()}
+    assert found == {n: -1 if n > 0 else 1 for n, _ in rows}
+
+
 def test_personal_data(spark):
     found = {r["doc_id"]: r for r in pii.personal_data(edge.frame(spark)).collect() if r["doc_id"] is not None}
     for d, t in edge.by_id(edge.texts()).items():

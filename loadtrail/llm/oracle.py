@@ -37,6 +37,75 @@ SELECT keyed.doc_id, CAST(n AS BIGINT) AS n_shingles, CASE WHEN n = 0 THEN keyed
 FROM keyed JOIN roots ON roots.d = keyed.class_id
 """
 
+#: The checksum by its table, and every prefix of every conversation: fit for small tables only.
+PREFIX_TRIE = """
+WITH codes AS (
+    SELECT list(c ORDER BY i) AS t FROM (
+        SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y:
+            CASE WHEN x & 1 = 1 THEN xor(3988292384, x >> 1) ELSE x >> 1 END) AS c
+        FROM (SELECT CAST(unnest(range(256)) AS BIGINT) AS i))
+), own AS (
+    SELECT conv_id, list(struct_pack(r := coalesce(role, ''), t := coalesce(text, '')) ORDER BY turn NULLS FIRST) AS turns
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), heads AS (
+    SELECT conv_id, turns, xor(4294967295, list_reduce(
+        list_prepend(4294967295, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+        lambda x, y: xor(t[CAST(xor(x, y) & 255 AS INT) + 1], x >> 8))) % 6 AS h
+    FROM own, codes
+), rebuilt AS (
+    SELECT a.conv_id, list_concat(coalesce(b.turns[1:a.h], []), a.turns[a.h + 1:]) AS turns
+    FROM heads a LEFT JOIN own b ON b.conv_id = a.conv_id - a.conv_id % 100
+), prefixes AS (
+    SELECT conv_id, len(turns) AS n, d, turns[1:d] AS path FROM (SELECT *, unnest(range(len(turns) + 1)) AS d FROM rebuilt)
+), nodes AS (
+    SELECT d, path, min(conv_id) AS conv_id, count(*) AS n_convs,
+        (count(*) - 1) * coalesce(length(path[d].t), 0) AS saved,
+        sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n = d), '')) AS ends_sha256
+    FROM prefixes GROUP BY d, path
+), children AS (SELECT path[1:d - 1] AS path, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL),
+shaped AS (SELECT nodes.*, coalesce(children.n, 0) AS n_children FROM nodes LEFT JOIN children ON children.path = nodes.path),
+sums AS (
+    SELECT k, path[1:k] AS path, sum(CAST(n_children = 0 AS INT)) AS n_leaves, sum(saved) AS saved_tokens
+    FROM (SELECT *, unnest(range(d + 1)) AS k FROM shaped) GROUP BY ALL
+)
+SELECT s.conv_id, CAST(s.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, s.n_convs, CAST(s.n_children AS BIGINT) AS n_children,
+    CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, s.ends_sha256
+FROM shaped s JOIN sums ON sums.k = s.d AND sums.path = s.path
+LEFT JOIN nodes p ON p.d = s.d - 1 AND p.path = s.path[1:s.d - 1]
+"""
+
+#: All windows of all documents against all windows of all items.
+DECONTAMINATION = f"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id,
+        regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+    FROM documents
+), i AS (
+    SELECT coalesce(CAST(item_id AS VARCHAR), 'null') AS item,
+        regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+    FROM benchmark
+), passages AS (
+    SELECT DISTINCT item, m, array_to_string(w[s:s + m - 1], ' ') AS t FROM (
+        SELECT item, w, least(10, len(w)) AS m, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS s FROM i WHERE len(w) > 0)
+), cut AS (
+    SELECT r, m, s, array_to_string(w[s:s + m - 1], ' ') AS t FROM (
+        SELECT r, w, m, unnest(range(1, len(w) - m + 2)) AS s FROM d, (SELECT DISTINCT m FROM passages) WHERE len(w) >= m)
+), met AS (SELECT DISTINCT r, c.m, s, t FROM cut c SEMI JOIN passages p ON c.m = p.m AND c.t = p.t),
+hit AS (SELECT r, count(DISTINCT k) AS n FROM (SELECT r, unnest(range(s, s + m)) AS k FROM met) GROUP BY r),
+listed AS (
+    SELECT r, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT r, item FROM met JOIN passages p ON met.m = p.m AND met.t = p.t) GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(listed.n, 0) AS n_items,
+    sha256(coalesce(items, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit ON hit.r = d.r LEFT JOIN listed ON listed.r = d.r
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_ngram_join": NGRAM_JOIN, "op2_exact_dedup": EXACT_DEDUP}
+    return {
+        "op1_ngram_join": NGRAM_JOIN,
+        "op2_exact_dedup": EXACT_DEDUP,
+        "op11_prefix_trie": PREFIX_TRIE,
+        "op12_decontamination": DECONTAMINATION,
+    }

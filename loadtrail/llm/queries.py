@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loadtrail.llm.decontamination import contamination_digest
 from loadtrail.llm.exact_dedup import exact_duplicates
 from loadtrail.llm.html_text import extracted
 from loadtrail.llm.lm_scoring import text_scores
 from loadtrail.llm.ngram_join import similar_components
 from loadtrail.llm.packing import packed
 from loadtrail.llm.pii import personal_data
+from loadtrail.llm.prefix_trie import prefix_nodes
 from loadtrail.llm.quality import quality_verdicts
 from loadtrail.llm.sentencepiece_viterbi import round_trips
 from loadtrail.llm.sharding import sharded
@@ -64,6 +66,14 @@ def substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return without_repeated_spans(table(spark, folder, "documents"), run_words=40)
 
 
+def prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_nodes(table(spark, folder, "conversations"))
+
+
+def decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return contamination_digest(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_join": ngram_join,
@@ -76,4 +86,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_packing": packing,
         "op9_pii": personal,
         "op10_substring_dedup": substring_dedup,
+        "op11_prefix_trie": prefix_trie,
+        "op12_decontamination": decontamination,
     }

@@ -47,6 +47,7 @@ class DoubleArray:
         self.alphabet = max(alphabet, 1)
         self.base = np.zeros(1, np.int64)
         self.check = np.zeros(1, np.int64)
+        self.used = 1  # all places from here on are free
         lengths = np.diff(offsets)
         state = np.zeros(len(lengths), np.int64)
         for depth in range(int(lengths.max(initial=0))):
@@ -56,9 +57,10 @@ class DoubleArray:
             self._place(pairs // self.alphabet, pairs % self.alphabet)
             state[going] = self.base[state[going]] + code
 
-    def _grown(self, size: int) -> None:
-        if size > len(self.check):
-            more = max(size, 2 * len(self.check)) - len(self.check)
+    def _room(self, places: int) -> None:
+        """Let so many places lie free beyond those in use."""
+        if self.used + places > len(self.check):
+            more = max(self.used + places, 2 * len(self.check)) - len(self.check)
             self.check = np.concatenate([self.check, np.full(more, -1)])
             self.base = np.concatenate([self.base, np.zeros(more, np.int64)])
 
@@ -66,29 +68,32 @@ class DoubleArray:
         """Give every parent a base where all its children find room; pairs come sorted."""
         firsts = np.flatnonzero(np.diff(parents, prepend=-1))
         counts = np.diff(firsts, append=len(parents))
-        self._grown(len(self.check) + len(parents) + 2 * self.alphabet)
-        free = np.flatnonzero(self.check < 0)
+        self._room(len(parents) + self.alphabet)
+        free = np.flatnonzero(self.check[: self.used] < 0)
         at = 0
         for k in np.flatnonzero(counts > 1):
             own = codes[firsts[k] : firsts[k] + counts[k]]
-            while True:  # the next places where the smallest child could lie, 64 at a time
+            base = None
+            while base is None and at < len(free):  # gaps where the smallest child could lie, 64 at a time
                 bases = free[at : at + 64] - own[0]
-                if not len(bases):
-                    self._grown(len(self.check) + len(parents) + 2 * self.alphabet)
-                    free, at = np.flatnonzero(self.check < 0), 0
-                    bases = free[-self.alphabet - len(own) :][:1] - own[0]  # all places beyond it are free
-                bases = bases[bases + own[-1] < len(self.check)]
                 fits = (self.check[bases[:, None] + own] < 0).all(axis=1)
                 if fits.any():
                     base = bases[fits.argmax()]
-                    break
-                at += 64
-            self.base[parents[firsts[k]]] = base
-            self.check[base + own] = parents[firsts[k]]
+                else:
+                    at += 64
+            if base is None:
+                base = self.used - own[0]
+            self._take(parents[firsts[k] : firsts[k] + 1], base, base + own)
+            self._room(len(parents) + self.alphabet)
         single = firsts[counts == 1]
         places = np.flatnonzero(self.check < 0)[: len(single)]
-        self.base[parents[single]] = places - codes[single]
-        self.check[places] = parents[single]
+        if len(single):
+            self._take(parents[single], places - codes[single], places)
+
+    def _take(self, parents: np.ndarray, bases: np.ndarray, places: np.ndarray) -> None:
+        self.base[parents] = bases
+        self.check[places] = parents
+        self.used = max(self.used, int(places[-1]) + 1)
 
     def walk(self, codes: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """Depth, the sequences that reach it, and their nodes, from the root on."""

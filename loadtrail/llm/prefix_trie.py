@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadtrail.llm.staging import arrow_schema, column_batch, landed, on_workers, row_batch, shuffle_width
+from loadtrail.llm.staging import column_batch, landed, on_workers, row_batch, shuffle_width
 
 KEY = 20
 TURN = np.dtype([("key", "S16"), ("chars", ">u4")])

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from loadtrail.llm.decontamination import contamination_digest
 from loadtrail.llm.exact_dedup import exact_duplicates
+from loadtrail.llm.hard_negatives import hard_negatives
 from loadtrail.llm.html_text import extracted
 from loadtrail.llm.lm_scoring import text_scores
 from loadtrail.llm.ngram_join import similar_components
@@ -74,6 +75,10 @@ def decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return contamination_digest(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def hard_negative_mining(spark: SparkSession, folder: str) -> DataFrame:
+    return hard_negatives(table(spark, folder, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_join": ngram_join,
@@ -88,4 +93,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_substring_dedup": substring_dedup,
         "op11_prefix_trie": prefix_trie,
         "op12_decontamination": decontamination,
+        "op13_hard_negatives": hard_negative_mining,
     }

@@ -14,13 +14,15 @@ set of queries, so the search is theirs against all rows, in blocks; no pairs of
 
 Defined cases: rows without identifier or label, without a vector, or with a component that is null or not finite take no
 part. Shorter vectors end in zeros. A repeated identifier is a row of its own, as a candidate and as an anchor; an anchor
-is not its own positive, but its copy may be. Components of a size that makes scores of 2^52 are an error. A positive score below zero has no window. An anchor
-without positives, or a positive without negatives, gives no row; nor does an empty table. Only the named columns are
-read. The driver holds zone maps of at most ``ZONES`` groups of parts and the statistics of each dimension.
+is not its own positive, but its copy may be. Components of a size that makes scores of 2^52 are an error. A positive
+score below zero has no window. An anchor without positives, or a positive without negatives, gives no row; nor does an
+empty table. Only the named columns are read. The driver holds zone maps of at most ``ZONES`` groups of parts and the
+statistics of each dimension.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -40,6 +42,7 @@ HILBERT_DIMENSIONS, HILBERT_BITS = 8, 8
 #: Anchors that a task compares with a block at once.
 ANCHOR_ROWS = 256
 LOWEST, HIGHEST = -(1 << 62), 1 << 62
+STATISTICS = "d int, n double, s double, q double, low double, high double"
 VECTORS = "id long, label int, vec binary"
 KEYED = "hilbert binary, id long, label int, vec binary"
 BLOCKS = "part int, kind int, number long, label int, vec binary, ids binary, rids binary, labels binary, low binary, high binary"
@@ -75,7 +78,7 @@ def integer_vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 continue
             if np.abs(exact).max(initial=0) >= 1 << 31:
                 raise ValueError(f"row {own_id}: scores beyond 2^52")
-            rows.append((own_id, (label + 1) % 10 if own_id % 7 == 0 else label, exact.astype(np.int32).tobytes()))
+            rows.append((own_id, int(math.fmod(label + 1, 10)) if own_id % 7 == 0 else label, exact.astype(np.int32).tobytes()))
         yield row_batch(rows, VECTORS)
 
 
@@ -94,7 +97,7 @@ def statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             squares[:k] += v * v
             low[:k], high[:k] = np.minimum(low[:k], v), np.maximum(high[:k], v)
     if len(n):
-        yield column_batch([np.arange(len(n)), n, total, squares, low, high], "d int, n double, s double, q double, low double, high double")
+        yield column_batch([np.arange(len(n)), n, total, squares, low, high], STATISTICS)
 
 
 def space_of(vectors: DataFrame) -> Space:
@@ -102,7 +105,7 @@ def space_of(vectors: DataFrame) -> Space:
     names = "n s q".split()
     found = (
         vectors.select("vec")
-        .mapInArrow(statistics, "d int, n double, s double, q double, low double, high double")
+        .mapInArrow(statistics, STATISTICS)
         .groupBy("d")
         .agg(*[F.sum(x).alias(x) for x in names], F.min("low").alias("low"), F.max("high").alias("high"))
         .orderBy("d")
@@ -114,7 +117,8 @@ def space_of(vectors: DataFrame) -> Space:
     if most >= 1 << 52:
         raise ValueError("scores beyond 2^52")
     kind = "float32" if most < 1 << 23 else "float64"
-    return Space(len(found), tuple(curve), tuple(int(found[d]["low"]) for d in curve), tuple(int(found[d]["high"]) for d in curve), kind)
+    low, high = (tuple(int(found[d][end]) for d in curve) for end in ("low", "high"))
+    return Space(len(found), tuple(curve), low, high, kind)
 
 
 def hilbert_keys(points: np.ndarray, bits: int) -> list[bytes]:
@@ -125,6 +129,8 @@ def hilbert_keys(points: np.ndarray, bits: int) -> list[bytes]:
     """
     x = points.astype(np.uint32).copy()
     n = x.shape[1]
+    if not n:
+        return [b""] * len(x)
     for bit in range(bits - 1, 0, -1):
         below = np.uint32((1 << bit) - 1)
         for d in range(n):

@@ -8,9 +8,10 @@ A search asks, per anchor, for the best rows in windows of scores, of the anchor
 to the parts of the table whose own zone maps reach one of its windows, and reads there only the blocks whose bounds do,
 the most promising first, until what it has found beats the bounds of the rest.
 
-Positives take two searches: the anchor's own part gives a score that the last positive reaches at least, and the other
-parts are asked from that score on. Each positive is then a window, 50 to 95 hundredths of its score. Anchors are a stated
-set of queries, so the search is theirs against all rows, in blocks; no pairs of rows are made.
+Every search has two steps: the anchor's own part gives a score that the last row found reaches at least, and the other
+parts are asked from that score on. Positives are one window without ends; each of them is then a window, 50 to 95
+hundredths of its score. Anchors are a stated set of queries, so the search is theirs against all rows, in blocks; no
+pairs of rows are made.
 
 Defined cases: rows without identifier or label, without a vector, or with a component that is null or not finite take no
 part. Shorter vectors end in zeros. A repeated identifier is a row of its own, as a candidate and as an anchor; an anchor
@@ -254,7 +255,7 @@ def reaching(least: np.ndarray, most: np.ndarray, low: np.ndarray, high: np.ndar
 
 
 def routed(anchors: DataFrame, space: Space, parts: int, zones: tuple[np.ndarray, Zones], where: str) -> DataFrame:
-    """A copy of each anchor for every part that may hold rows of its windows: its own, the others or all."""
+    """A copy of each anchor for its own part, or for every other one that may hold rows of its windows."""
     group_of, boxes = zones
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -269,7 +270,7 @@ def routed(anchors: DataFrame, space: Space, parts: int, zones: tuple[np.ndarray
         low, high = (np.array(batch.column(k).to_pylist(), np.int64) for k in (5, 6))
         reach = (reaching(*boxes.bounds(matrix), low, high) & boxes.full)[:, group_of]
         own = home[:, None] == np.arange(parts)
-        reach = own if where == "own" else reach & ~own if where == "others" else reach
+        reach = own if where == "own" else reach & ~own
         row, part = np.nonzero(reach)
         pick = pa.array(row)
         packed = [pa.array([x.tobytes() for x in windows], pa.binary()).take(pick) for windows in (low, high)]
@@ -429,16 +430,18 @@ def hard_negatives(
     zones = part_zones(blocks, space, parts)
     anchors = anchors_of(blocks, space, every)
 
-    def asked(rows: DataFrame, same: bool, best: int, where: str) -> DataFrame:
-        return search(blocks, rows, space, parts, zones, same, best, where, block_rows)
-
-    wide = F.array(F.lit(LOWEST)), F.array(F.lit(HIGHEST))
-    near = asked(anchors.withColumns({"low": wide[0], "high": wide[1]}), True, positives, "own")
-    reached = near.groupBy("rid").agg(F.min("score").alias("last"), F.count(F.lit(1)).alias("n")).where(f"n = {positives}")
-    floors = anchors.join(reached.select("rid", "last"), "rid", "left").withColumns(
-        {"low": F.array(F.coalesce("last", F.lit(LOWEST))), "high": wide[1]}
-    )
-    known = best_of(near.unionByName(asked(floors, True, positives, "others")), ["rid"], positives)
+    def asked(rows: DataFrame, same: bool, best: int) -> DataFrame:
+        """The own part first: what it gives beats most of the other parts' blocks and rows."""
+        near = search(blocks, rows, space, parts, zones, same, best, "own", block_rows)
+        reached = near.groupBy("rid", "slot").agg(F.min("score").alias("last"), F.count(F.lit(1)).alias("n"))
+        lasts = reached.where(f"n = {best}").groupBy("rid").agg(F.expr("map_from_entries(collect_list(struct(slot, last))) AS lasts"))
+        low = F.expr("transform(low, (x, w) -> greatest(x, coalesce(lasts[w], x)))")
+        floors = rows.join(lasts, "rid", "left").withColumn("low", low).drop("lasts")
+        others = search(blocks, floors, space, parts, zones, same, best, "others", block_rows)
+        return best_of(near.unionByName(others), ["rid", "slot"], best)
+
+    wide = anchors.withColumns({"low": F.array(F.lit(LOWEST)), "high": F.array(F.lit(HIGHEST))})
+    known = asked(wide, True, positives)
     known = landed(known.selectExpr("rid", "anchor_id", "place", "id AS positive_id", "score AS positive_score"), "positives")
 
     # whole numbers n with lowest * p <= 100 * n <= highest * p; of a negative p the first bound exceeds the second
@@ -451,7 +454,7 @@ def hard_negatives(
     windows = windows.withColumns(
         {c: F.concat(c, F.array_repeat(pad[c], F.lit(positives) - F.size(c))) for c in ("low", "high")}
     )
-    found = best_of(asked(anchors.join(windows, "rid"), False, negatives, "all"), ["rid", "slot"], negatives)
+    found = asked(anchors.join(windows, "rid"), False, negatives)
     found = found.selectExpr("rid", "slot + 1 AS place", "place AS rank", "id AS negative_id", "score AS negative_score")
     return known.join(found, ["rid", "place"]).select(
         "anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,25 +28,13 @@ from loadtrail.plans.rtp import (
     without_skipped,
 )
 from loadtrail.sinks.csv import write_report
+from loadtrail.sinks.landing import shared_folder
 from loadtrail.sinks.report_set import publish_table, read_table, table_names
 from loadtrail.sources.tables import read_report_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder below the one that all executors share, named by `spark.checkpoint.dir`.
-
-    Without it, a session of one machine gets a temporary folder; on a cluster that is an error.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/loadtrail-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local["):
-        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-    return tempfile.mkdtemp(prefix="loadtrail-")
-
-
 def request_window_semi(t: Tables) -> DataFrame:
     rows = load_rows(t.log, NOTIFIER).where(is_trigger(NOTIFIER))
     kept = rows_of_active_requests(t.log, rows, NOTIFIER)

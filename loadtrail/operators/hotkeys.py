@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from loadtrail.functions.sql import names
 
@@ -66,6 +67,29 @@ def copy_per_split(rows: DataFrame, key: str, hot: DataFrame, other: str) -> Dat
     return found.selectExpr(*names(rows.columns), f"explode(sequence(0L, coalesce({other}, 1L) - 1)) AS {other}")
 
 
+def deal_to_single_rows(
+    rows: DataFrame, single: DataFrame, key: str, hot: DataFrame, splits: str, empty: str, empty_splits: int
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a join whose right side has one row per key, with `splits` as a further key on both.
+
+    The rows are dealt over the splits of their key, the single row is copied to each. Keys for which `empty` is
+    true (null parts equal to each other) are known to be heavy without counting: they have `empty_splits`, and do
+    not come together to be looked up either, since a salt that no hot key has stands beside them.
+    """
+    columns, others = names(rows.columns), names(single.columns)
+    place = f"xxhash64({', '.join(columns)})"
+    lookup = hot.selectExpr(f"{key} AS hot_key", f"{splits} AS hot_splits", "-1L AS hot_salt")
+    salted = rows.selectExpr(*columns, f"IF({empty}, pmod({place}, {empty_splits}L), -1L) AS salt")
+    found = salted.join(lookup, F.expr(f"{key} = hot_key AND salt = hot_salt"), "left")
+    split = f"IF({empty}, salt, pmod({place}, coalesce(hot_splits, 1L)))"
+    number = f"IF({empty}, {empty_splits}L, coalesce(hot_splits, 1L))"
+    copied = single.join(lookup.drop("hot_salt"), single[key] == lookup["hot_key"], "left")
+    return (
+        found.selectExpr(*columns, f"{split} AS {splits}"),
+        copied.selectExpr(*others, f"explode(sequence(0L, {number} - 1)) AS {splits}"),
+    )
+
+
 def fold_copies(rows: DataFrame) -> DataFrame:
     """Identical rows as few rows with a count, for a join that must keep every copy.
 

@@ -23,8 +23,10 @@ class ReportParams:
     # how many trigger-response pairs and how many rows of one load a single task may get
     pairs_per_split: int = 4_000_000
     rows_per_split: int = 1_000_000
-    # `request_id, first_day, last_day`: limits the history to open, if the log is laid out by day
+    # `request_id, days, first_day, last_day`: limits the history to open, if the log is laid out by day
     request_days: DataFrame | None = field(default=None, compare=False, repr=False)
+    # the log holds rows of active requests only (`operators.requests.land_active_log`)
+    rows_are_active: bool = False
 
     @classmethod
     def notifier(cls, shipper_id: str, start: str, end: str) -> ReportParams:

@@ -23,9 +23,11 @@ from loadtrail.operators.keepfirst import first_per_key, keep_first_fallback
 from loadtrail.params import ReportParams
 from loadtrail.plans.classify import ROW_ORDER, TRIGGER_ORDER, classify, complete
 from loadtrail.plans.formatting import report_columns
+from loadtrail.sinks.landing import landed, sorted_by_ranges
 
 FOLLOW_UP_KEYS = ("load_id",)
 SORT_KEY = ("Triggered At", "Load Number")
+ROWS_PER_PART = 1_000_000
 
 
 def rtp_triggers(log: DataFrame, params: ReportParams) -> DataFrame:
@@ -98,5 +100,6 @@ def rtp_rows_of_report(
 def rtp_report(
     log: DataFrame, milestones: DataFrame, carriers: DataFrame, holdover: DataFrame, params: ReportParams
 ) -> DataFrame:
-    report = rtp_rows_of_report(log, milestones, carriers, holdover, params)
-    return report.orderBy(*[F.expr(name(column)).asc_nulls_last() for column in SORT_KEY])
+    """The rows in order, by ranges of the sort key: computed once, landed, then dealt out and sorted in parts."""
+    report = landed(rtp_rows_of_report(log, milestones, carriers, holdover, params), "rtp-rows")
+    return sorted_by_ranges(report, [name(column) for column in SORT_KEY], ROWS_PER_PART)

@@ -48,7 +48,8 @@ SELECT
        WHEN event_id % 3 = 0 THEN 'TRIGGERED'
        ELSE '{c.SCAC_FETCHED_ACTION}' END AS action,
   CASE WHEN event_type IN ('error', 'signup') THEN
-         CASE WHEN event_id % 3 = 0 THEN NULL ELSE 'Raw message: eta ' || CAST(event_id AS STRING) END
+         CASE WHEN event_id % 3 = 0 THEN NULL ELSE 'Raw message: eta ' || CAST(event_id AS STRING)
+              || CASE WHEN event_id % 7 = 1 THEN chr(10) || '"on time", he said' ELSE '' END END
        WHEN event_id % 5 = 0 THEN NULL
        WHEN event_id % 5 = 1 THEN 'scac fetched'
        WHEN event_id % 5 = 2 THEN 'seen' || chr(10) || '{c.ALERT_LABEL}  Load #' || CAST(event_id AS STRING)

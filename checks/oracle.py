@@ -219,11 +219,12 @@ def _steps(p: ReportParams) -> list[tuple[str, str]]:
     ]
 
 
-def _query(select: str, last_step: str, p: ReportParams) -> str:
-    """The steps up to `last_step` as a WITH clause in front of `select`."""
+def _query(select: str, last_step: str, p: ReportParams, only: tuple[str, ...] = ()) -> str:
+    """The steps up to `last_step`, or `only` some of them, as a WITH clause in front of `select`."""
     parts = []
     for name, sql in _steps(p):
-        parts.append(f"{name} AS ({sql.strip()})")
+        if not only or name in only:
+            parts.append(f"{name} AS ({sql.strip()})")
         if name == last_step:
             break
     return "WITH " + ",\n".join(parts) + "\n" + select
@@ -325,7 +326,7 @@ def oracle_sql() -> dict[str, str]:
             "classified",
             r,
         ),
-        "sheet_anchor_facility": _query('SELECT * FROM plant', "plant", r),
+        "sheet_anchor_facility": _query("SELECT * FROM plant", "plant", r, only=("sheet", "line", "cells", "plant")),
         "sheet_normalise": _query("SELECT * FROM sheet_row", "sheet_row", r),
         "mail_attachments": _query("SELECT * FROM attachment", "attachment", r),
         "holdover_list": _query("SELECT * FROM holdover", "holdover", r),

@@ -15,7 +15,8 @@ from loadtrail.functions.timestamps import date_label, minutes_between, parse_ti
 from loadtrail.operators.carriers import carrier_table, lookup_batches, lookup_keys, with_carrier
 from loadtrail.operators.correlation import hot_loads, response_groups, trigger_rows
 from loadtrail.operators.followups import follow_up_candidates, join_first_followup, milestone_flags
-from loadtrail.operators.requests import is_trigger, load_rows, rows_of_active_requests
+from loadtrail.operators.requests import is_trigger, land_active_log, load_rows, rows_of_active_requests
+from loadtrail.params import ReportParams
 from loadtrail.operators.sheets import attachments, sheet_anchors, sheet_facilities, sheet_rows
 from loadtrail.plans.correlate import correlate
 from loadtrail.plans.holdover import holdover_list
@@ -33,6 +34,8 @@ from loadtrail.sinks.report_set import publish_table, read_table, table_names
 from loadtrail.sources.tables import read_report_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
+# small files, so that the small tables give several
+CSV_ROWS = 2_000
 
 
 def request_window_semi(t: Tables) -> DataFrame:
@@ -114,8 +117,18 @@ def normalised_sheets(t: Tables) -> DataFrame:
     return sheet_rows(t.cells).join(headers, "file_name").where("row_idx > header_row").drop("header_row")
 
 
+def correlated(t: Tables, params: ReportParams) -> DataFrame:
+    return correlate(*land_active_log(t.log, params))
+
+
+def over_active_rows(t: Tables, plan: Callable[..., DataFrame], params: ReportParams, *others: DataFrame) -> DataFrame:
+    """A plan that looks at the log several times, over its landed active rows."""
+    log, active = land_active_log(t.log, params)
+    return plan(log, t.milestones, *others, active)
+
+
 def summary(t: Tables) -> DataFrame:
-    return load_summary(t.log, t.milestones, READY_TO_PICKUP)
+    return over_active_rows(t, load_summary, READY_TO_PICKUP)
 
 
 def holdover_left_join(t: Tables) -> DataFrame:
@@ -124,11 +137,11 @@ def holdover_left_join(t: Tables) -> DataFrame:
 
 
 def notifier(t: Tables) -> DataFrame:
-    return notifier_report(t.log, t.milestones, carriers(t), NOTIFIER)
+    return over_active_rows(t, notifier_report, NOTIFIER, carriers(t))
 
 
 def ready_to_pickup(t: Tables) -> DataFrame:
-    return rtp_report(t.log, t.milestones, carriers(t), holdover(t), READY_TO_PICKUP)
+    return over_active_rows(t, rtp_report, READY_TO_PICKUP, carriers(t), holdover(t))
 
 
 def labels(t: Tables) -> DataFrame:
@@ -138,7 +151,7 @@ def labels(t: Tables) -> DataFrame:
 
 def csv_roundtrip(t: Tables) -> DataFrame:
     report, path = notifier(t), f"{shared_folder(t.spark)}/notifier.csv"
-    write_report(report, path)
+    write_report(report, path, rows_per_file=CSV_ROWS)
     return read_report_csv(t.spark, path, report.schema, multi_line=True)
 
 
@@ -165,14 +178,14 @@ _OPERATORS: dict[str, Callable[[Tables], DataFrame]] = {
     "request_window_semi": request_window_semi,
     "response_rollup": lambda t: response_groups(t.log, NOTIFIER),
     "hot_load_grid": hot_load_grid,
-    "trigger_response_correlate_notifier": lambda t: correlate(t.log, NOTIFIER),
-    "trigger_response_correlate_rtp": lambda t: correlate(t.log, READY_TO_PICKUP),
+    "trigger_response_correlate_notifier": lambda t: correlated(t, NOTIFIER),
+    "trigger_response_correlate_rtp": lambda t: correlated(t, READY_TO_PICKUP),
     "milestone_flags": lambda t: milestone_flags(t.milestones, NOTIFIER),
     "milestone_join_nullsafe": milestone_join_nullsafe,
     "followup_window": followup_window,
     "keep_first_fallback": keep_first,
-    "classified_notifier": lambda t: notifier_rows(t.log, t.milestones, NOTIFIER),
-    "classified_rtp": lambda t: rtp_rows(t.log, t.milestones, READY_TO_PICKUP),
+    "classified_notifier": lambda t: over_active_rows(t, notifier_rows, NOTIFIER),
+    "classified_rtp": lambda t: over_active_rows(t, rtp_rows, READY_TO_PICKUP),
     "keep_first_by_status": lambda t: without_skipped(rtp_rows(t.log, t.milestones, READY_TO_PICKUP)),
     "first_row_per_load": lambda t: first_rows_of_loads(
         without_skipped(rtp_rows(t.log, t.milestones, READY_TO_PICKUP))

@@ -61,7 +61,7 @@ def history_days(days_of_requests: DataFrame, params: ReportParams) -> DataFrame
     reached = days_of_requests.where(
         f"first_day <= {end} AND last_day >= {start} AND exists(days, day -> day BETWEEN {start} AND {end})"
     )
-    return reached.selectExpr("explode(days) AS day").where(f"day < {start} OR day > {end}").distinct()
+    return reached.selectExpr("explode(days) AS day").where(params.is_history_day("day")).distinct()
 
 
 def rows_of_active_requests(log: DataFrame, rows: DataFrame, params: ReportParams) -> DataFrame:
@@ -76,10 +76,10 @@ def rows_of_active_requests(log: DataFrame, rows: DataFrame, params: ReportParam
     inside = rows.where(f"{params.logged_in_range(rows.columns)} AND request_id IS NOT NULL")
     outside = rows.where(f"{params.logged_out_of_range(rows.columns)} AND request_id IS NOT NULL")
     if params.request_days is not None and c.DAY_COLUMN in rows.columns:
-        days = history_days(params.request_days, params)
+        # a calendar bounds this table, as many rows as the log has days: landed, so that requests are read once
+        days = landed(history_days(params.request_days, params), "history-days").where(params.is_history_day("day"))
         ends = days.agg(F.min("day").alias("first"), F.max("day").alias("last"))
         between = F.col(c.DAY_COLUMN).between(ends.select("first").scalar(), ends.select("last").scalar())
-        # a calendar bounds this table: as many rows as the log has days
         calendar = F.broadcast(days.withColumnRenamed("day", "history_day"))
         outside = outside.where(between).join(calendar, F.col(c.DAY_COLUMN) == F.col("history_day"), "left_semi")
     return inside.unionByName(outside.join(active_requests(log, params), "request_id", "left_semi"))

@@ -60,8 +60,11 @@ class ReportParams:
             return f"({days} AND {self.in_range('created_at')})"
         return self.in_range("created_at")
 
+    def is_history_day(self, day: str) -> str:
+        return f"({day} < DATE'{self.start}' OR {day} > DATE'{self.end}')"
+
     def logged_out_of_range(self, columns: Sequence[str]) -> str:
         if c.DAY_COLUMN in columns:
             # the range is made of whole days, so the day decides alone
-            return f"({c.DAY_COLUMN} < DATE'{self.start}' OR {c.DAY_COLUMN} > DATE'{self.end}')"
+            return self.is_history_day(c.DAY_COLUMN)
         return f"NOT {self.in_range('created_at')}"

@@ -1,0 +1,318 @@
+"""History: days of requests and their upkeep, one look at the log, dealt keys, ranges, and two writers."""
+
+import csv
+import glob
+import math
+import re
+from dataclasses import replace
+from datetime import date, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from loadtrail import run, schemas
+from loadtrail.operators.carriers import carrier_table, lookup_batches
+from loadtrail.operators.followups import join_first_followup
+from loadtrail.operators.requests import (
+    active_log,
+    history_days,
+    land_active_log,
+    merged_request_days,
+    request_days,
+    rows_of_active_requests,
+)
+from loadtrail.plans.notifier import notifier_report, notifier_rows
+from loadtrail.plans.rtp import load_summary
+from loadtrail.sinks import report_set, request_days as upkeep
+from loadtrail.sinks.csv import write_report
+from loadtrail.sinks.landing import landed, numbered_by_ranges, sorted_by_ranges
+from loadtrail.sinks.report_set import PublishConflict, current_version, publish_table, publish_version, read_table
+from loadtrail.sources.tables import days_query, even_slices, read_audit_log, read_report_csv
+from tests import brute
+from tests.helpers import NOTIFIER, READY, at, log_frame, log_row, milestone_frame
+
+TODAY = at("00:00:00").date()
+
+
+def nodes_of(plan):
+    """All physical operators of an executed plan, stages and subqueries of adaptive execution included."""
+    found = [plan]
+    if plan.nodeName().startswith("AdaptiveSparkPlan"):
+        return found + nodes_of(plan.executedPlan())
+    if "QueryStage" in plan.nodeName():
+        return found + nodes_of(plan.plan())
+    children = plan.children()
+    return found + [node for k in range(children.size()) for node in nodes_of(children.apply(k))]
+
+
+def scans_of(frame):
+    return [n for n in nodes_of(frame._jdf.queryExecution().executedPlan()) if n.nodeName().startswith("Scan ")]
+
+
+def metric(node, name):
+    return node.metrics().apply(name).value()
+
+
+@pytest.fixture(scope="module")
+def long_log(spark, tmp_path_factory):
+    """A log of 400 days; one request of today began a year ago."""
+    path = str(tmp_path_factory.mktemp("long") / "log")
+    rows = []
+    for back in range(400):
+        when = at("09:00:00") - timedelta(days=back)
+        rows += [log_row("1", f"own-{back}-{k}", "notifier", "ANY", when + timedelta(minutes=k)) for k in range(3)]
+    rows.append(log_row("1", "long", "notifier", "ANY", at("08:00:00") - timedelta(days=365)))
+    rows.append(log_row("2", "long", "shipment_update", "ETA_UPDATED", at("08:00:00")))
+    log = log_frame(spark, rows).withColumn("created_date", F.to_date("created_at"))
+    log.repartition(8, "created_date").write.partitionBy("created_date").parquet(path)
+    return path
+
+
+def test_only_the_days_of_active_requests_are_opened(spark, long_log, tmp_path):
+    log = read_audit_log(spark, long_log)
+    request_days(log).write.parquet(str(tmp_path / "days"))
+    days = spark.read.parquet(str(tmp_path / "days"))
+    limited = replace(NOTIFIER, request_days=days)
+    assert [r.day for r in history_days(days, limited).collect()] == [TODAY - timedelta(days=365)]
+    frame = rows_of_active_requests(log, log, limited)
+    formatted = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    lines = [x for x in frame._jdf.queryExecution().explainString(formatted).splitlines() if x.startswith("PartitionFilters")]
+    assert any("dynamicpruningexpression(created_date" in line for line in lines), lines
+    assert len(frame.collect()) == 5
+    opened = sorted(metric(s, "numPartitions") for s in scans_of(frame) if "created_date" in s.toString())
+    assert opened[-1] == 1 and len(opened) == 3  # today, twice, and the one day a year ago
+    wanted = rows_of_active_requests(log, log, NOTIFIER).collect()
+    assert sorted(map(str, frame.collect())) == sorted(map(str, wanted))
+
+
+def test_history_days_follow_each_request(spark):
+    rows = [("a", [1, 10, 40]), ("b", [5, 9]), ("c", [10]), ("d", [9, 11, 12])]
+    day = lambda n: TODAY + timedelta(days=n - 10)
+    table = spark.createDataFrame([(r, [day(n) for n in d], day(d[0]), day(d[-1])) for r, d in rows],
+                                  "request_id string, days array<date>, first_day date, last_day date")
+    assert sorted(r.day for r in history_days(table, NOTIFIER).collect()) == [day(1), day(40)]
+
+
+def table_rows(frame):
+    return sorted(tuple(r) for r in frame.select("request_id", "days", "first_day", "last_day").collect())
+
+
+def test_merging_day_by_day_equals_one_build(spark, tmp_path):
+    log, _ = brute.random_inputs(11, rows=300, loads=["1", "2"])
+    for k, row in enumerate(log):
+        row["created_at"] += timedelta(days=k % 9)
+    logs = log_frame(spark, log).withColumn("created_date", F.to_date("created_at"))
+    whole = table_rows(request_days(logs))
+    days = sorted(r[0] for r in logs.select("created_date").distinct().collect())
+    folder = str(tmp_path / "days")
+    for day in [*days[3:], *days[:3], days[1]]:  # in any order, one day twice
+        upkeep.extend_request_days(logs.where(F.col("created_date") == F.lit(day)), folder)
+    assert table_rows(upkeep.read_request_days(spark, folder)) == whole and len(whole) > 20
+    before = table_rows(upkeep.read_request_days(spark, folder))
+    upkeep.extend_request_days(logs, folder)
+    assert table_rows(upkeep.read_request_days(spark, folder)) == before
+    assert table_rows(merged_request_days(request_days(logs), request_days(logs.limit(0)))) == whole
+
+
+def test_a_merge_runs_again_on_the_version_of_a_faster_writer(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path / "days")
+    logs = [log_frame(spark, [log_row("1", f"r{n}", "notifier", "ANY", at("10:00:00"))]) for n in range(3)]
+    upkeep.extend_request_days(logs[0], folder)
+    own, calls = upkeep.publish_version, []
+
+    def interrupted(rows, *place):
+        calls.append(place)
+        if len(calls) == 1:  # another writer publishes between our look at the table and our switch
+            own(merged_request_days(upkeep.read_request_days(spark, folder), request_days(logs[1])), folder, upkeep.TABLE,
+                current_version(spark, folder, upkeep.TABLE))
+        return own(rows, *place)
+
+    monkeypatch.setattr(upkeep, "publish_version", interrupted)
+    upkeep.extend_request_days(logs[2], folder)
+    assert len(calls) == 2
+    assert [r[0] for r in table_rows(upkeep.read_request_days(spark, folder))] == ["r0", "r1", "r2"]
+
+
+def test_request_days_from_the_command_line(spark, long_log, tmp_path):
+    folder = str(tmp_path / "days")
+    for start, end in (("2022-12-01", "2023-06-30"), ("2023-07-01", "2024-01-10")):
+        assert run.main(["request-days", "--start", start, "--end", end, "--audit-log", long_log, "--request-days", folder]) == folder
+    assert table_rows(upkeep.read_request_days(spark, folder)) == table_rows(request_days(read_audit_log(spark, long_log)))
+    with pytest.raises(SystemExit):
+        run.main(["request-days", "--start", "2024-01-10", "--end", "2024-01-10", "--audit-log", long_log])
+    with pytest.raises(SystemExit):
+        run.main(["notifier", "--start", "2024-01-10", "--end", "2024-01-10", "--audit-log", long_log])
+
+
+def test_history_is_looked_at_once(spark, long_log):
+    log = read_audit_log(spark, long_log)
+    plan = active_log(log, NOTIFIER)._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan parquet" in line]
+    assert len(scans) == 3  # inside the range, its request ids, and history
+    outside = re.compile(r"PartitionFilters: \[[^\]]*created_date[^,\]]* < [^\]]*OR")
+    assert len([s for s in scans if outside.search(s)]) == 1
+    rows, params = land_active_log(log, NOTIFIER)
+    milestones = spark.createDataFrame([], schemas.MILESTONES)
+    carriers = carrier_table(spark.createDataFrame([], schemas.CARRIER_PAYLOAD))
+    report = notifier_report(rows, milestones, carriers, params)
+    text = report._jdf.queryExecution().executedPlan().toString()
+    assert long_log not in text and "LeftSemi" not in text
+    assert land_active_log(rows, params) == (rows, params)
+
+
+@pytest.mark.parametrize("params", [NOTIFIER, READY])
+def test_active_rows_give_the_same_reports(spark, params):
+    log, marks = brute.random_inputs(12, rows=250, loads=["101", "102", "5"])
+    logs, milestones = log_frame(spark, log), milestone_frame(spark, marks)
+    plan = notifier_rows if params is NOTIFIER else load_summary
+    rows, active = land_active_log(logs, params)
+    found = sorted(map(str, plan(rows, milestones, active).collect()))
+    assert found == sorted(map(str, plan(logs, milestones, params).collect())) and found
+
+
+# null and heavy loads
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    for key in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.coalescePartitions.enabled"):
+        spark.conf.unset(key)
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_null_and_heavy_loads_are_dealt(spark, no_broadcast, tmp_path):
+    load = "CASE WHEN id % 3 = 0 THEN NULL WHEN id % 3 = 1 THEN 'heavy' ELSE CAST(id AS STRING) END"
+    triggers = spark.range(30_000).selectExpr(f"{load} AS load_id", "'a' AS shipper_id", "id AS n")
+    sent = "TIMESTAMP_NTZ'2024-01-10 10:00:00' + make_dt_interval(0, 0, 0, id) AS followup_sent_at"
+    flags = spark.range(30_000).where("id % 2 = 0").selectExpr(
+        f"{load} AS load_id", "'a' AS shipper_id", sent, "'Y' AS reminder", "'N' AS escalated"
+    )
+    joined = join_first_followup(triggers, flags, ["load_id", "shipper_id"], rows_per_split=100)
+    counts = {r.part: r.n for r in joined.groupBy(F.spark_partition_id().alias("part")).agg(F.count("*").alias("n")).collect()}
+    assert sum(counts.values()) == 30_000 and len(counts) == 16
+    assert max(counts.values()) <= 2 * 30_000 / 16
+    joined.write.parquet(str(tmp_path / "joined"))
+    back = spark.read.parquet(str(tmp_path / "joined"))
+    first = {r.load_id: r.first for r in flags.groupBy("load_id").agg(F.min("followup_sent_at").alias("first")).collect()}
+    found = {(r.load_id, r.sent) for r in back.selectExpr("load_id", "first_followup.followup_sent_at AS sent").distinct().collect()}
+    assert found == {(r.load_id, first.get(r.load_id)) for r in triggers.select("load_id").distinct().collect()}
+    assert back.select("n").distinct().count() == 30_000
+    assert back.columns == [*triggers.columns, "first_followup"]
+
+
+# sorting and numbering by ranges
+
+
+@pytest.mark.parametrize("key", ["CAST(7 AS BIGINT)", "id DIV 900", "CASE WHEN id % 3 = 0 THEN NULL ELSE id % 50 END"])
+def test_parts_are_in_order_and_even(spark, key):
+    rows = landed(spark.range(5_000).selectExpr(f"{key} AS k", "id"), "to-sort")
+    found = sorted_by_ranges(rows, ["k"], rows_per_part=500)
+    parts = found.rdd.glom().map(lambda part: [r.k for r in part]).collect()
+    assert len(parts) == 10 and max(map(len, parts)) <= 2 * 500
+    whole = [k for part in parts for k in part]
+    assert whole == sorted(whole, key=lambda k: (k is None, k)) and len(whole) == 5_000
+    assert found.columns == ["k", "id"]
+
+
+def test_sorted_files_hold_a_bounded_number_of_rows(spark, tmp_path):
+    texts = ["plain", "two\nlines", 'a "quoted\nbreak"', "tail"]
+    rows = spark.range(1_000).selectExpr("id", f"array({', '.join(repr(t) for t in texts)})[CAST(id % 4 AS INT)] AS message")
+    path = str(tmp_path / "report")
+    write_report(rows.orderBy(F.desc("id")), path, sort_by=["id"], rows_per_file=150)
+    files = sorted(glob.glob(f"{path}/part-*.csv"))
+    sizes, ids = [], []
+    for name in files:
+        with open(name, newline="", encoding="utf-8") as handle:
+            lines = list(csv.DictReader(handle))
+        sizes.append(len(lines))
+        ids += [int(line["id"]) for line in lines]
+    assert len(files) >= 7 and max(sizes) <= 150 and ids == list(range(1_000))
+    back = read_report_csv(spark, path, rows.schema, multi_line=True)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, rows.collect()))
+    assert back.rdd.getNumPartitions() >= 2
+
+
+def test_numbers_are_dense_and_in_order(spark):
+    rows = spark.range(1_234).selectExpr("CAST(id * 7919 % 100003 AS STRING) AS k")
+    found = {r.k: r.number for r in numbered_by_ranges(rows, "k", rows_per_range=100).collect()}
+    assert sorted(found, key=found.__getitem__) == sorted(found)
+    assert sorted(found.values()) == list(range(1_234))
+    assert numbered_by_ranges(rows.limit(0), "k", 100).count() == 0
+
+
+@pytest.mark.parametrize("keys", [0, 1, 10, 357])
+def test_all_batches_but_one_are_full(spark, keys):
+    rows = spark.range(keys).selectExpr("CAST(id AS STRING) AS load_key")
+    found = lookup_batches(rows, per_bucket=40).collect()
+    assert sorted(int(k) for b in found for k in b.load_ids.split(",")) == list(range(keys))
+    assert sorted((b.loads for b in found), reverse=True) == [10] * (keys // 10) + [keys % 10] * (keys % 10 > 0)
+    assert len({b.bucket for b in found}) == math.ceil(keys / 40)
+    assert len({b.batch for b in found}) == len(found)
+
+
+# two writers
+
+
+def test_one_of_two_writers_fails(spark, tmp_path):
+    home = str(tmp_path / "set")
+    publish_table(spark.range(3).toDF("a"), home, "t")
+    one, two = current_version(spark, home, "t"), current_version(spark, home, "t")
+    assert one == two and one.number == 1
+    publish_version(spark.range(5).toDF("a"), home, "t", one)
+    with pytest.raises(PublishConflict, match="version 2 is taken"):
+        publish_version(spark.range(9).toDF("a"), home, "t", two)
+    assert read_table(spark, home, "t").count() == 5
+    assert len(glob.glob(f"{home}/t/version-*")) == 2  # the loser's files are gone
+    publish_version(spark.range(9).toDF("a"), home, "t", current_version(spark, home, "t"))
+    assert read_table(spark, home, "t").count() == 9
+
+
+def test_two_publishers_that_run_through_each_other(spark, tmp_path, monkeypatch):
+    home = str(tmp_path / "set")
+    publish_table(spark.range(3).toDF("a"), home, "t")
+    switch, others = report_set._switch, [spark.range(7).toDF("a")]
+
+    def late(*place):
+        if others:
+            publish_table(others.pop(), home, "t")
+        return switch(*place)
+
+    monkeypatch.setattr(report_set, "_switch", late)
+    with pytest.raises(PublishConflict):
+        publish_table(spark.range(9).toDF("a"), home, "t")
+    assert read_table(spark, home, "t").count() == 7
+
+
+def test_a_writer_that_died_at_its_switch_blocks_nobody(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(report_set, "MARKER_SECONDS", 0.2)
+    home = tmp_path / "set"
+    publish_table(spark.range(3).toDF("a"), str(home), "t")
+    (home / "t" / "current-0000000002").touch()
+    assert read_table(spark, str(home), "t").count() == 3
+    publish_table(spark.range(4).toDF("a"), str(home), "t")
+    assert read_table(spark, str(home), "t").count() == 4
+    assert current_version(spark, str(home), "t").number == 3
+
+
+# slices of a log in a database
+
+
+def test_slices_have_about_as_many_rows(spark):
+    rows = {date(2024, 1, 1): 10, date(2024, 1, 2): 1_000, date(2024, 1, 3): 90, date(2024, 2, 9): 700, date(2024, 3, 1): 0}
+    slices = even_slices(list(rows.items()), 9)
+    moments = [(day, k / n) for day, n in rows.items() for k in range(n)]
+    table = spark.createDataFrame(moments, "day date, share double").selectExpr(
+        "CAST(day AS TIMESTAMP_NTZ) + make_dt_interval(0, 0, 0, share * 86400) AS created_at"
+    )
+    counts = [table.where(condition).count() for condition in slices]
+    assert len(slices) == 9 and sum(counts) == 1_800
+    assert max(counts) <= 202 and min(counts) >= 198
+    outside = spark.sql("SELECT TIMESTAMP_NTZ'1999-01-01 00:00:00' AS created_at UNION ALL SELECT TIMESTAMP_NTZ'2050-01-01 00:00:00'")
+    assert sum(outside.where(condition).count() for condition in slices) == 2
+    assert even_slices([], 5) == ["1 = 1"] and even_slices([(date(2024, 1, 1), 5)], 1) == ["1 = 1"]
+    assert len(even_slices([(date(2024, 1, 1), 1)], 3)) == 3
+    assert days_query("log").endswith("FROM log GROUP BY CAST(created_at AS DATE)")

@@ -13,9 +13,9 @@ from loadtrail.functions.status import response_note
 from loadtrail.functions.text import alert_text, without_load_prefix
 from loadtrail.functions.timestamps import date_label, minutes_between, parse_timestamp
 from loadtrail.operators.carriers import carrier_table, lookup_batches, lookup_keys, with_carrier
-from loadtrail.operators.correlation import hot_loads, response_groups, trigger_rows
+from loadtrail.operators.correlation import hot_loads, land_log, response_groups, trigger_rows
 from loadtrail.operators.followups import follow_up_candidates, join_first_followup, milestone_flags
-from loadtrail.operators.requests import is_trigger, land_active_log, load_rows, rows_of_active_requests
+from loadtrail.operators.requests import is_trigger, load_rows, rows_of_active_requests
 from loadtrail.params import ReportParams
 from loadtrail.operators.sheets import attachments, sheet_anchors, sheet_facilities, sheet_rows
 from loadtrail.plans.correlate import correlate
@@ -46,7 +46,8 @@ def request_window_semi(t: Tables) -> DataFrame:
 
 def milestone_join_nullsafe(t: Tables) -> DataFrame:
     flags = milestone_flags(t.milestones, NOTIFIER)
-    joined = join_first_followup(trigger_rows(t.log, NOTIFIER).distinct(), flags, FOLLOW_UP_KEYS)
+    triggers = trigger_rows(t.log, NOTIFIER).distinct()
+    joined = join_first_followup(triggers, flags, FOLLOW_UP_KEYS, rows_per_split=NOTIFIER.rows_per_split)
     return joined.select("*", "first_followup.*").drop("first_followup")
 
 
@@ -118,12 +119,12 @@ def normalised_sheets(t: Tables) -> DataFrame:
 
 
 def correlated(t: Tables, params: ReportParams) -> DataFrame:
-    return correlate(*land_active_log(t.log, params))
+    return correlate(*land_log(t.log, params))
 
 
 def over_active_rows(t: Tables, plan: Callable[..., DataFrame], params: ReportParams, *others: DataFrame) -> DataFrame:
     """A plan that looks at the log several times, over its landed active rows."""
-    log, active = land_active_log(t.log, params)
+    log, active = land_log(t.log, params)
     return plan(log, t.milestones, *others, active)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,8 +14,9 @@ from loadtrail.functions.status import response_status, trigger_text
 from loadtrail.functions.text import execution_id
 from loadtrail.operators.hotkeys import LEFT, RIGHT, copy_per_split, deal, hot_keys
 from loadtrail.operators.keepfirst import row_struct
-from loadtrail.operators.requests import is_response, is_trigger, load_rows, rows_of_active_requests
+from loadtrail.operators.requests import active_log, is_response, is_trigger, load_rows, rows_of_active_requests
 from loadtrail.params import ReportParams
+from loadtrail.sinks.landing import landed
 
 RESPONSE_COLUMNS = ("response_message", "response_timestamp", "actions")
 
@@ -83,10 +85,26 @@ def load_weights(log: DataFrame, params: ReportParams) -> DataFrame:
 
 def hot_loads(log: DataFrame, params: ReportParams) -> DataFrame:
     """Loads with too many trigger-response pairs, or simply too many rows, for one task: their grid."""
+    if params.hot_loads is not None:
+        return params.hot_loads
     weights = load_weights(log, params)
     return hot_keys(weights, "load_id", "triggers", "responses", params.pairs_per_split, params.rows_per_split)
 
 
+def land_log(log: DataFrame, params: ReportParams) -> tuple[DataFrame, ReportParams]:
+    """`active_log` and the grid of its hot loads as landed tables, and parameters that let every plan take them.
+
+    Triggers, responses and the weights of loads are three looks at the log. Of the landed rows that is three small
+    scans; of the log itself each would run the semi join over its history again. The grid is a small file, which the
+    planner sees, so that looking loads up in it needs no shuffle.
+    """
+    if params.rows_are_active:
+        return log, params
+    rows = landed(active_log(log, params), "active-rows")
+    params = replace(params, rows_are_active=True)
+    return rows, replace(params, hot_loads=landed(hot_loads(rows, params), "hot-loads"))
+
+
 def attach_responses(rows: DataFrame, responses: DataFrame, hot: DataFrame, wanted: str = "true") -> DataFrame:
     """Left join every row to all later responses of its load; rows not `wanted` stay without one.
 

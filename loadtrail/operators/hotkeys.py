@@ -68,25 +68,26 @@ def copy_per_split(rows: DataFrame, key: str, hot: DataFrame, other: str) -> Dat
 
 
 def deal_to_single_rows(
-    rows: DataFrame, single: DataFrame, key: str, hot: DataFrame, splits: str, empty: str, empty_splits: int
+    rows: DataFrame, single: DataFrame, key: str, hot: DataFrame | None, splits: str, empty_splits: int
 ) -> tuple[DataFrame, DataFrame]:
-    """Both sides of a join whose right side has one row per key, with `splits` as a further key on both.
+    """Both sides of a join whose right side has few rows per key, with `splits` as a further key on both.
 
-    The rows are dealt over the splits of their key, the single row is copied to each. Keys for which `empty` is
-    true (null parts equal to each other) are known to be heavy without counting: they have `empty_splits`, and do
-    not come together to be looked up either, since a salt that no hot key has stands beside them.
+    The rows are dealt over the splits of their key, the others are copied to each. The null key is known to be
+    heavy without counting: it has `empty_splits`, and its rows do not come together to be looked up either, since
+    a salt that no hot key has stands beside them.
     """
     columns, others = names(rows.columns), names(single.columns)
     place = f"xxhash64({', '.join(columns)})"
-    lookup = hot.selectExpr(f"{key} AS hot_key", f"{splits} AS hot_splits", "-1L AS hot_salt")
-    salted = rows.selectExpr(*columns, f"IF({empty}, pmod({place}, {empty_splits}L), -1L) AS salt")
-    found = salted.join(lookup, F.expr(f"{key} = hot_key AND salt = hot_salt"), "left")
-    split = f"IF({empty}, salt, pmod({place}, coalesce(hot_splits, 1L)))"
-    number = f"IF({empty}, {empty_splits}L, coalesce(hot_splits, 1L))"
-    copied = single.join(lookup.drop("hot_salt"), single[key] == lookup["hot_key"], "left")
+    salted = rows.selectExpr(*columns, f"IF({key} IS NULL, pmod({place}, {empty_splits}L), -1L) AS salt")
+    if hot is None:
+        found, copied, own = salted, single, "1L"
+    else:
+        lookup = hot.selectExpr(f"{key} AS hot_key", f"{splits} AS hot_splits", "-1L AS hot_salt")
+        found = salted.join(lookup, F.expr(f"{key} = hot_key AND salt = hot_salt"), "left")
+        copied, own = single.join(lookup.drop("hot_salt"), single[key] == lookup["hot_key"], "left"), "coalesce(hot_splits, 1L)"
     return (
-        found.selectExpr(*columns, f"{split} AS {splits}"),
-        copied.selectExpr(*others, f"explode(sequence(0L, {number} - 1)) AS {splits}"),
+        found.selectExpr(*columns, f"IF({key} IS NULL, salt, pmod({place}, {own})) AS {splits}"),
+        copied.selectExpr(*others, f"explode(sequence(0L, IF({key} IS NULL, {empty_splits}L, {own}) - 1)) AS {splits}"),
     )
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -92,14 +90,3 @@ def active_log(log: DataFrame, params: ReportParams) -> DataFrame:
     """The triggers and responses of active requests, all that a report needs of the log, with one look at history."""
     rows = load_rows(log, params).where(f"{is_trigger(params)} OR {is_response()}")
     return rows_of_active_requests(log, rows, params).select(*ACTIVE_COLUMNS)
-
-
-def land_active_log(log: DataFrame, params: ReportParams) -> tuple[DataFrame, ReportParams]:
-    """`active_log` as a landed table, and the parameters that let every operator take it for the log.
-
-    Triggers, responses and the weights of loads are three looks at the log. Of the landed rows that is three small
-    scans; of the log itself each would run the semi join over its history again.
-    """
-    if params.rows_are_active:
-        return log, params
-    return landed(active_log(log, params), "active-rows"), replace(params, rows_are_active=True)

@@ -25,8 +25,9 @@ class ReportParams:
     rows_per_split: int = 1_000_000
     # `request_id, days, first_day, last_day`: limits the history to open, if the log is laid out by day
     request_days: DataFrame | None = field(default=None, compare=False, repr=False)
-    # the log holds rows of active requests only (`operators.requests.land_active_log`)
+    # the log holds rows of active requests only, and the grid of its hot loads is known (`operators.correlation.land_log`)
     rows_are_active: bool = False
+    hot_loads: DataFrame | None = field(default=None, compare=False, repr=False)
 
     @classmethod
     def notifier(cls, shipper_id: str, start: str, end: str) -> ReportParams:

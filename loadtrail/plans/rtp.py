@@ -35,7 +35,7 @@ def rtp_triggers(log: DataFrame, params: ReportParams) -> DataFrame:
 
 
 def rtp_classified(log: DataFrame, milestones: DataFrame, params: ReportParams) -> DataFrame:
-    return classify(rtp_triggers(log, params), milestone_flags(milestones, params), FOLLOW_UP_KEYS)
+    return classify(rtp_triggers(log, params), milestone_flags(milestones, params), FOLLOW_UP_KEYS, params.hot_loads)
 
 
 def rtp_rows(log: DataFrame, milestones: DataFrame, params: ReportParams) -> DataFrame:
@@ -63,7 +63,8 @@ def load_summary(log: DataFrame, milestones: DataFrame, params: ReportParams) ->
     the columns known before responses decide which trigger comes first. So the rows shrink to the
     first skipped and the first other row of each load, and only then meet the responses.
     """
-    candidates = follow_up_candidates(rtp_triggers(log, params), milestone_flags(milestones, params), FOLLOW_UP_KEYS)
+    flags = milestone_flags(milestones, params)
+    candidates = follow_up_candidates(rtp_triggers(log, params), flags, FOLLOW_UP_KEYS, params.hot_loads)
     ranked = candidates.selectExpr("*", "CASE WHEN out_of_window THEN 2 WHEN skipped THEN 1 ELSE 0 END AS rank")
     order = ["rank", *TRIGGER_ORDER]
     per_execution = first_per_key(ranked.drop("skipped", "out_of_window"), ["workflow_exec_id", "load_id"], order)

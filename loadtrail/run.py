@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 
 from loadtrail.constants import MASTER_TABLE
 from loadtrail.operators.carriers import carrier_table
-from loadtrail.operators.requests import land_active_log
+from loadtrail.operators.correlation import land_log
 from loadtrail.params import ReportParams
 from loadtrail.plans.holdover import holdover_list
 from loadtrail.plans.naming import report_label
@@ -79,7 +79,7 @@ def build_report(spark: SparkSession, arguments: argparse.Namespace) -> tuple[Da
     days = (arguments.shipper, arguments.start, arguments.end)
     if arguments.report == NOTIFIER:
         params, kind = replace(ReportParams.notifier(*days), request_days=days_of_requests), "notifier_report"
-        log, active = land_active_log(log, params)
+        log, active = land_log(log, params)
         report = notifier_report(log, milestones, carriers, active)
     else:
         params, kind = replace(ReportParams.ready_to_pickup(*days), request_days=days_of_requests), "rtp-report"
@@ -88,7 +88,7 @@ def build_report(spark: SparkSession, arguments: argparse.Namespace) -> tuple[Da
         else:
             cells = tables.read_cells(spark, arguments.cells)
             holdover = holdover_list(cells, tables.read_mail(spark, arguments.mail), params)
-        log, active = land_active_log(log, params)
+        log, active = land_log(log, params)
         report = rtp_rows_of_report(log, milestones, carriers, holdover, active)
     # the name is a constant expression: this reads no table
     label = spark.sql(f"SELECT {report_label(params)}").first()[0]

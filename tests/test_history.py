@@ -12,11 +12,11 @@ from pyspark.sql import functions as F
 
 from loadtrail import run, schemas
 from loadtrail.operators.carriers import carrier_table, lookup_batches
+from loadtrail.operators.correlation import land_log
 from loadtrail.operators.followups import join_first_followup
 from loadtrail.operators.requests import (
     active_log,
     history_days,
-    land_active_log,
     merged_request_days,
     request_days,
     rows_of_active_requests,
@@ -151,13 +151,13 @@ def test_history_is_looked_at_once(spark, long_log):
     assert len(scans) == 3  # inside the range, its request ids, and history
     outside = re.compile(r"PartitionFilters: \[[^\]]*created_date[^,\]]* < [^\]]*OR")
     assert len([s for s in scans if outside.search(s)]) == 1
-    rows, params = land_active_log(log, NOTIFIER)
+    rows, params = land_log(log, NOTIFIER)
     milestones = spark.createDataFrame([], schemas.MILESTONES)
     carriers = carrier_table(spark.createDataFrame([], schemas.CARRIER_PAYLOAD))
     report = notifier_report(rows, milestones, carriers, params)
     text = report._jdf.queryExecution().executedPlan().toString()
     assert long_log not in text and "LeftSemi" not in text
-    assert land_active_log(rows, params) == (rows, params)
+    assert land_log(rows, params) == (rows, params)
 
 
 @pytest.mark.parametrize("params", [NOTIFIER, READY])
@@ -165,7 +165,7 @@ def test_active_rows_give_the_same_reports(spark, params):
     log, marks = brute.random_inputs(12, rows=250, loads=["101", "102", "5"])
     logs, milestones = log_frame(spark, log), milestone_frame(spark, marks)
     plan = notifier_rows if params is NOTIFIER else load_summary
-    rows, active = land_active_log(logs, params)
+    rows, active = land_log(logs, params)
     found = sorted(map(str, plan(rows, milestones, active).collect()))
     assert found == sorted(map(str, plan(logs, milestones, params).collect())) and found
 

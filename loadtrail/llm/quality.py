@@ -228,9 +228,13 @@ def quality_verdicts(
 
 
 def drop_low_quality(docs: DataFrame, text_column: str = "text", threshold: float = 0.5) -> DataFrame:
-    """The rows that pass, with all their columns. The rows are measured once for the model and once to decide."""
-    model = fitted(vote_patterns(measured(docs, [], text_column).select("base_failed", *RULES)))
-    columns = docs.columns
+    """The rows that pass, with all their columns.
+
+    The rows are landed beside their votes: they are measured once, and the decision is a filter over plain columns. Over
+    the measures themselves it would repeat their expressions for every mention of a vote.
+    """
     rows = measured(docs, [F.struct("*").alias("quality_row")], text_column)
-    passed = rows.where(~F.col("base_failed") & (model.posterior() >= threshold))
-    return passed.select([F.col("quality_row").getField(c).alias(c) for c in columns])
+    rows = landed(rows.select("quality_row", "base_failed", *RULES), "quality-rows")
+    posterior = fitted(vote_patterns(rows)).posterior()
+    passed = rows.where(~F.col("base_failed") & (posterior >= threshold))
+    return passed.select([F.col("quality_row").getField(c).alias(c) for c in docs.columns])

@@ -27,14 +27,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadtrail.llm.components import components
-from loadtrail.llm.staging import joined_by_size, landed, on_workers, row_batch, signed
+from loadtrail.llm.staging import joined_by_size, landed, on_workers, row_batch, signed, small_batches
 
 #: Cells of the table of word counts as a power of two: a million cells, one byte each when broadcast.
 CELL_BITS = 20
 #: Cells in a row of the count table while it is added up.
 BLOCK = 1 << 14
 #: Shingles of all documents in a group that one task searches at once.
-GROUP_SHINGLES = 4_000_000
+GROUP_SHINGLES = 2_000_000
 #: Share of the lists set aside as long ones: T / (LONG_FACTOR * log2(longest list) + 1).
 LONG_FACTOR = 0.0085
 
@@ -228,10 +228,11 @@ def divide_skip(sets: list[np.ndarray], percent: int) -> Roots:
     """
     roots = Roots(len(sets))
     sizes = np.array([len(x) for x in sets])
-    owners = np.repeat(np.arange(len(sets)), sizes)
     shingles = np.concatenate(sets)
     order = np.argsort(shingles, kind="stable")
-    owners, shingles = owners[order], shingles[order]
+    shingles = shingles[order]
+    owners = np.repeat(np.arange(len(sets), dtype=np.int32), sizes)[order]
+    del order
     borders = np.flatnonzero(np.concatenate(([True], shingles[1:] != shingles[:-1], [True])))
     lists_of = shingles[borders[:-1]]
     lengths = np.diff(borders)
@@ -355,7 +356,8 @@ def similar_components(
         .sortWithinPartitions(*grouping)
         .mapInArrow(search(percent), LINKS)
     )
-    reached = components(found)
+    with small_batches(spark):  # the search runs here
+        reached = components(found)
 
     final = classes.join(reached, classes["first_id"] == reached["node"], "left").select(
         "high", "low", F.coalesce("root", "first_id").alias("class_root")

@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -51,6 +52,20 @@ def landed(frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 512, size: int = 8 << 20) -> Iterator[None]:
+    """Within it, jobs hand so many rows or bytes at a time to Python: for rows of some kilobytes each."""
+    limits = {"spark.sql.execution.arrow.maxRecordsPerBatch": rows, "spark.sql.execution.arrow.maxBytesPerBatch": size}
+    before = {key: spark.conf.get(key) for key in limits}
+    for key, limit in limits.items():
+        spark.conf.set(key, str(limit))
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def on_workers(spark: SparkSession) -> None:
     """Let the Python workers of a local session import this package from where it lies."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))

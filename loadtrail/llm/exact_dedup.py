@@ -1,10 +1,12 @@
 """Exact deduplication with Patricia tries.
 
-Every map task puts its texts into compressed radix tries and hands on one row per different text, so a text
-that fills a third of the table leaves a task once. The rows are then owned by (length, content hash): the
-owner inserts the full byte strings into a trie whose terminal nodes hold the smallest identifier and the number
-of rows. Two texts are equal only if they end in the same terminal node. A trie that outgrows its budget
-writes its largest subtree to a scratch file of the task and goes on; the file is worked off as a trie of its own.
+Every map task puts its texts into a compressed radix trie and hands on one row per different text, so a text
+that fills a third of the table leaves a task once. Length and content hash then choose the partition that owns a
+text, and the owner inserts the full byte strings of its partition into one trie, whose terminal nodes hold the
+smallest identifier and the number of rows. Two texts are equal only if they end in the same terminal node. A trie
+that outgrows its budget gives up its heaviest subtrees until it is half full: a map task sends their rows on, an
+owner writes them to the task's scratch file, where later texts that lead there follow. When the partition has been
+read, each subtree is worked off as a trie of its own, past the prefix that its texts share, with the first trie gone.
 
 Defined cases: a null text counts as empty; empty texts form one group. A null identifier loses against any
 other; a group without identifiers keeps ``null``. Rows that repeat both text and identifier are one document:
@@ -18,6 +20,7 @@ import hashlib
 import os
 import pickle
 import tempfile
+from array import array
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -25,29 +28,43 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadtrail.llm.staging import ascii_lower, landed, on_workers, row_batch, signed
+from loadtrail.llm.staging import ascii_lower, landed, on_workers, row_batch, signed, small_batches
 
-#: Bytes of text that a map task gathers, or that one trie holds, before it flushes or spills.
-TRIE_BYTES = 48 << 20
+#: Bytes of edges and nodes that a trie holds before subtrees leave it.
+TRIE_BYTES = 96 << 20
+#: What a node takes beside its label.
+NODE_BYTES = 350
 
 LOCAL = "n_bytes long, content_hash long, content binary, first_order long, first_rows long, n_rows long"
 OWNED = "text_sha256 string, n_bytes long, first_order long, first_rows long, n_rows long"
 
 
 class Node:
-    """A compressed edge and what hangs below it. ``entry``: smallest order, rows that have it, rows in all."""
+    """A compressed edge and what hangs below it.
 
-    __slots__ = ("children", "entry", "label")
+    ``entry``: smallest order, rows that have it, rows in all. ``places``: where the scratch file holds the texts below.
+    """
+
+    __slots__ = ("children", "entry", "label", "places")
 
     def __init__(self, label: bytes, entry: tuple | None = None):
         self.label = label
-        self.children: dict[int, Node] = {}
+        self.children: dict[int, Node] | None = None
         self.entry = entry
+        self.places: array | None = None
+
+    def adopt(self, child: Node) -> None:
+        if self.children is None:
+            self.children = {}
+        self.children[child.label[0]] = child
 
 
 def shared_length(a: bytes, b: bytes) -> int:
-    """Length of the common prefix, by halving."""
-    low, high = 0, min(len(a), len(b))
+    """Length of the common prefix: doubling steps until they differ, then halving."""
+    low, step, most = 0, 16, min(len(a), len(b))
+    while low < most and a[low : low + step] == b[low : low + step]:
+        low, step = min(low + step, most), 2 * step
+    high = min(low + step, most)
     while low < high:
         middle = (low + high + 1) // 2
         if a[low:middle] == b[low:middle]:
@@ -69,152 +86,208 @@ def merged(a: tuple | None, b: tuple) -> tuple:
 
 
 class PatriciaTrie:
-    """Byte strings with entries, in bounded memory."""
+    """Byte strings with entries. ``held``: bytes of its edges and nodes, which spilling keeps within ``budget``.
 
-    def __init__(self, budget: int = TRIE_BYTES):
+    Without a budget nothing is spilled. A spilled text leaves eight bytes in memory, its place in the scratch file.
+    """
+
+    def __init__(self, budget: int | None = TRIE_BYTES):
         self.budget = budget
         self.root = Node(b"")
         self.held = 0
-        self.spilled: dict[int, object] = {}
+        self.scratch = None
 
     def insert(self, key: bytes, entry: tuple) -> None:
-        if key and key[0] in self.spilled:
-            pickle.dump((key, entry), self.spilled[key[0]])
-            return
         node, at = self.root, 0
-        while at < len(key):
-            child = node.children.get(key[at])
+        while True:
+            if node.places is not None:
+                self.write(node, key[at:], entry)
+                return
+            if at == len(key):
+                node.entry = merged(node.entry, entry)
+                return
+            child = node.children.get(key[at]) if node.children else None
             if child is None:
-                node.children[key[at]] = Node(key[at:], entry)
-                self.held += len(key) - at
-                if self.held > self.budget:
+                node.adopt(Node(key[at:], entry))
+                self.held += len(key) - at + NODE_BYTES
+                if self.budget is not None and self.held > self.budget:
                     self.spill()
                 return
-            if key.startswith(child.label, at):
-                node, at = child, at + len(child.label)
-                continue
-            common = shared_length(child.label, key[at : at + len(child.label)])
-            upper = Node(child.label[:common])
-            child.label = child.label[common:]
-            upper.children[child.label[0]] = child
-            node.children[key[at]] = upper
-            node, at = upper, at + common
-        node.entry = merged(node.entry, entry)
+            if not key.startswith(child.label, at):
+                child = self.split(node, child, shared_length(child.label, key[at : at + len(child.label)]))
+            node, at = child, at + len(child.label)
+
+    def split(self, node: Node, child: Node, length: int) -> Node:
+        """Cut the edge to ``child`` after ``length`` bytes and return the node between."""
+        between = Node(child.label[:length])
+        child.label = child.label[length:]
+        between.adopt(child)
+        node.adopt(between)
+        self.held += NODE_BYTES
+        return between
+
+    def heaviest(self) -> list[tuple[bytes, Node, Node]]:
+        """Subtrees that weigh half the trie together: (prefix of the parent, parent, child).
+
+        From the root down while one child has half of the weight, then that node's children from the heaviest on.
+        """
+        weights = subtree_weights(self.root)
+        half = weights[id(self.root)] / 2
+        node, prefix = self.root, b""
+        while True:
+            inner = [c for c in (node.children or {}).values() if c.places is None]
+            inner.sort(key=lambda c: weights[id(c)], reverse=True)
+            if not inner or not inner[0].children or weights[id(inner[0])] < half:
+                break
+            node, prefix = inner[0], prefix + inner[0].label
+        taken, freed = [], 0
+        for child in inner:
+            if freed >= half:
+                break
+            taken.append((prefix, node, child))
+            freed += weights[id(child)]
+        return taken
+
+    def cut(self) -> Iterator[tuple[bytes, tuple]]:
+        """Take the heaviest subtrees out and give their strings."""
+        for prefix, parent, child in self.heaviest():
+            del parent.children[child.label[0]]
+            yield from ((prefix + key, node.entry) for key, node in walk(child) if node.entry is not None)
+        self.held = sum(map(node_weight, nodes(self.root)))
 
     def spill(self) -> None:
-        """Move the largest subtree of the root to a file; keys that belong there follow it."""
-        weight = {first: sum(len(k) for k, _ in walk(child, b"")) for first, child in self.root.children.items()}
-        first = max(weight, key=weight.get)
-        file = tempfile.TemporaryFile()
-        for key, entry in walk(self.root.children.pop(first), b""):
-            pickle.dump((key, entry), file)
-        self.spilled[first] = file
-        self.held = sum(edge_bytes(child) for child in self.root.children.values())
+        """Move the heaviest subtrees to the scratch file. One byte of edge stays; keys that lead there follow."""
+        for _, parent, child in self.heaviest():
+            stub = Node(child.label[:1])
+            stub.places = array("Q")
+            parent.adopt(stub)
+            for key, node in walk(child):
+                if node.entry is not None:
+                    self.write(stub, key[1:], node.entry)
+                if node.places is not None:
+                    for rest, entry in self.read(node.places):
+                        self.write(stub, key[1:] + rest, entry)
+        self.held = sum(map(node_weight, nodes(self.root)))
+
+    def write(self, stub: Node, rest: bytes, entry: tuple) -> None:
+        if self.scratch is None:
+            self.scratch = tempfile.TemporaryFile()
+        stub.places.append(self.scratch.seek(0, os.SEEK_END))
+        pickle.dump((rest, entry), self.scratch)
+
+    def read(self, places: array) -> Iterator[tuple[bytes, tuple]]:
+        for place in places:
+            self.scratch.seek(place)
+            yield pickle.load(self.scratch)
 
     def items(self) -> Iterator[tuple[bytes, tuple]]:
-        """Every string with its entry. Spilled subtrees are rebuilt one at a time, past their common prefix."""
-        yield from walk(self.root, b"")
-        for first, file in self.spilled.items():
-            size = file.seek(0, os.SEEK_END)
-            prefix = None
-            for key, _ in read(file, size):
-                prefix = key if prefix is None else prefix[: shared_length(prefix, key)]
-            below = PatriciaTrie(max(self.budget, 1))
-            for key, entry in read(file, size):
-                below.insert(key[len(prefix) :], entry)
-            file.close()
+        """Every string with its entry, once: the trie is empty afterwards."""
+        spilled = []
+        for key, node in walk(self.root):
+            if node.entry is not None:
+                yield key, node.entry
+            if node.places is not None:
+                spilled.append((key, node.places))
+        self.root, self.held = Node(b""), 0
+        for prefix, places in spilled:
+            shared = None
+            for rest, _ in self.read(places):
+                shared = rest if shared is None else shared[: shared_length(shared, rest)]
+            below = PatriciaTrie(self.budget)
+            for rest, entry in self.read(places):
+                below.insert(rest[len(shared) :], entry)
             for key, entry in below.items():
-                yield prefix + key, entry
+                yield prefix + shared + key, entry
+        if self.scratch is not None:
+            self.scratch.close()
+            self.scratch = None
 
 
-def read(file, size: int) -> Iterator[tuple[bytes, tuple]]:
-    file.seek(0)
-    while file.tell() < size:
-        yield pickle.load(file)
+def node_weight(node: Node) -> int:
+    return len(node.label) + NODE_BYTES
 
 
-def walk(node: Node, prefix: bytes) -> Iterator[tuple[bytes, tuple]]:
-    waiting = [(node, prefix)]
+def nodes(top: Node) -> Iterator[Node]:
+    """Every node below and with ``top``, parents first."""
+    waiting = [top]
     while waiting:
-        node, prefix = waiting.pop()
-        prefix += node.label
-        if node.entry is not None:
-            yield prefix, node.entry
-        waiting += [(child, prefix) for child in node.children.values()]
+        node = waiting.pop()
+        yield node
+        if node.children:
+            waiting += node.children.values()
+
+
+def subtree_weights(top: Node) -> dict[int, int]:
+    weights: dict[int, int] = {}
+    for node in reversed(list(nodes(top))):
+        weights[id(node)] = node_weight(node) + sum(weights[id(c)] for c in (node.children or {}).values())
+    return weights
 
 
-def edge_bytes(node: Node) -> int:
-    total, waiting = 0, [node]
+def walk(top: Node) -> Iterator[tuple[bytes, Node]]:
+    """Nodes with the string that leads to them, from the label of ``top`` on."""
+    waiting = [(top, b"")]
     while waiting:
-        node = waiting.pop()
-        total += len(node.label)
-        waiting += node.children.values()
-    return total
+        node, prefix = waiting.pop()
+        prefix += node.label
+        yield prefix, node
+        if node.children:
+            waiting += [(child, prefix) for child in node.children.values()]
 
 
 def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Map side: one row per different text that the task has seen since its last flush."""
-    tries: dict[tuple[int, int], PatriciaTrie] = {}
-    held = 0
+    """Map side: one row per different text that the task has seen, or several where its subtree was sent on before."""
+    trie = PatriciaTrie(budget=None)
     for batch in batches:
         for text, order in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            key = len(text), signed(xxhash.xxh3_64_intdigest(text))
-            if key not in tries:
-                tries[key] = PatriciaTrie()
-                held += len(text)
-            tries[key].insert(text, (order, 1, 1))
-        if held > TRIE_BYTES:
-            yield from local_rows(tries)
-            tries, held = {}, 0
-    yield from local_rows(tries)
-
-
-def local_rows(tries: dict) -> Iterator[pa.RecordBatch]:
+            trie.insert(text, (order, 1, 1))
+            if trie.held > TRIE_BYTES:
+                yield from local_rows(trie.cut())
+    yield from local_rows(trie.items())
+
+
+def local_rows(entries: Iterator[tuple[bytes, tuple]]) -> Iterator[pa.RecordBatch]:
     rows, size = [], 0
-    for (length, code), trie in tries.items():
-        for text, entry in trie.items():
-            rows.append((length, code, text, *entry))
-            size += length
-            if size > 8 << 20:
-                yield row_batch(rows, LOCAL)
-                rows, size = [], 0
+    for text, entry in entries:
+        rows.append((len(text), signed(xxhash.xxh3_64_intdigest(text)), text, *entry))
+        size += len(text)
+        if size > 4 << 20 or len(rows) >= 10_000:
+            yield row_batch(rows, LOCAL)
+            rows, size = [], 0
     if rows:
         yield row_batch(rows, LOCAL)
 
 
 def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Owners: rows come sorted by length and hash, so one trie is alive at a time."""
-    current, trie, rows = None, None, []
-
-    def finished() -> Iterator[tuple]:
-        for text, entry in trie.items():
-            yield hashlib.sha256(text).hexdigest(), len(text), *entry
-
+    """Owners: one trie for the whole partition."""
+    trie = PatriciaTrie()
     for batch in batches:
-        for length, code, text, *entry in zip(*(c.to_pylist() for c in batch.columns)):
-            if (length, code) != current:
-                if trie is not None:
-                    rows.extend(finished())
-                current, trie = (length, code), PatriciaTrie()
+        for text, *entry in zip(*(c.to_pylist() for c in batch.columns)):
             trie.insert(text, tuple(entry))
-        if len(rows) > 10_000:
+    rows = []
+    for text, entry in trie.items():
+        rows.append((hashlib.sha256(text).hexdigest(), len(text), *entry))
+        if len(rows) >= 10_000:
             yield row_batch(rows, OWNED)
             rows = []
-    if trie is not None:
-        rows.extend(finished())
     if rows:
         yield row_batch(rows, OWNED)
 
 
-def text_groups(docs: DataFrame, id_column: str, text_column: str, keep: str, normalise) -> DataFrame:
-    """One row per different normalised text: its SHA-256, length, the order that stays, how many rows have it."""
-    on_workers(docs.sparkSession)
+def owned_texts(docs: DataFrame, id_column: str, text_column: str, keep: str, normalise) -> DataFrame:
+    """Full texts with their entries, combined by map task, in the partition that length and content hash choose."""
     order = docs[id_column].cast("long")
     order = F.bitwise_not(order) if keep == "largest" else order
     content = normalise(F.coalesce(docs[text_column], F.lit(""))).cast("binary")
     local = docs.select(content, order).mapInArrow(combine, LOCAL)
-    owners = local.repartition("n_bytes", "content_hash").sortWithinPartitions("n_bytes", "content_hash")
-    return landed(owners.mapInArrow(own, OWNED), "text-groups")
+    return local.repartition("n_bytes", "content_hash").select("content", "first_order", "first_rows", "n_rows")
+
+
+def text_groups(docs: DataFrame, id_column: str, text_column: str, keep: str, normalise) -> DataFrame:
+    """One row per different normalised text: its SHA-256, length, the order that stays, how many rows have it."""
+    on_workers(docs.sparkSession)
+    with small_batches(docs.sparkSession):
+        return landed(owned_texts(docs, id_column, text_column, keep, normalise).mapInArrow(own, OWNED), "text-groups")
 
 
 def exact_duplicates(

@@ -5,7 +5,9 @@ import hashlib
 import duckdb
 import edge
 import loops
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from loadtrail.llm import exact_dedup, ngram_join, substring_dedup
 from loadtrail.llm.components import components
@@ -67,6 +69,55 @@ def test_trie_equals_a_dictionary_whatever_spills(budget):
     assert len(found) == len(wanted) and dict(found) == wanted
 
 
+def test_trie_of_an_owner_branches_and_spills_subtrees(spark):
+    exact_dedup.on_workers(spark)
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    owned = exact_dedup.owned_texts(docs, "doc_id", "text", "smallest", exact_dedup.ascii_lower)
+    parts = {}
+    for text, *entry, part in owned.withColumn("part", F.spark_partition_id()).collect():
+        parts.setdefault(part, []).append((bytes(text), tuple(entry)))
+    rows = max(parts.values(), key=len)
+    whole = exact_dedup.PatriciaTrie()
+    for text, entry in rows:
+        whole.insert(text, entry)
+    inner = [n for n in exact_dedup.nodes(whole.root) if n.children and n.label]
+    assert len(inner) > 3 and sum(len(n.label) for n in exact_dedup.nodes(whole.root)) < sum(len(t) for t, _ in rows)
+    assert whole.held == sum(map(exact_dedup.node_weight, exact_dedup.nodes(whole.root))) - exact_dedup.NODE_BYTES
+    budget, longest = whole.held // 4, max(len(t) for t, _ in rows)
+    small, most = exact_dedup.PatriciaTrie(budget), 0
+    for text, entry in rows + rows[::2]:
+        small.insert(text, entry)
+        most = max(most, small.held)
+    assert any(n.places for n in exact_dedup.nodes(small.root))
+    assert most <= budget + longest + 2 * exact_dedup.NODE_BYTES
+    twice = {t for t, _ in rows[::2]}
+    wanted = {t: exact_dedup.merged(e, e) if t in twice else e for t, e in rows}
+    found = list(small.items())
+    assert len(found) == len(wanted) and dict(found) == wanted
+
+
+def test_map_task_sends_subtrees_on(monkeypatch):
+    monkeypatch.setattr(exact_dedup, "TRIE_BYTES", 4000)
+    texts = [b"%d" % (k * k % 97) * (k % 13) for k in range(500)]
+    rows = [row for batch in exact_dedup.combine(iter([pa.record_batch({"t": texts, "o": range(500)})])) for row in batch.to_pylist()]
+    counts = {}
+    for r in rows:
+        counts[r["content"]] = counts.get(r["content"], 0) + r["n_rows"]
+        assert r["n_bytes"] == len(r["content"])
+    assert counts == {t: texts.count(t) for t in texts}
+    assert len(counts) < len(rows) < 500
+
+
+def test_spilling_stands_prefixes_of_prefixes_and_long_shared_parts():
+    keys = [b"a" * n for n in range(300)] + [b"x" * 5000 + bytes([k]) * (k % 3) for k in range(200)]
+    trie, wanted = exact_dedup.PatriciaTrie(3000), {}
+    for n, key in enumerate(keys + keys):
+        trie.insert(key, (n, 1, 1))
+        wanted[key] = exact_dedup.merged(wanted.get(key), (n, 1, 1))
+    found = list(trie.items())
+    assert len(found) == len(wanted) and dict(found) == wanted
+
+
 @pytest.mark.parametrize(("words", "percent"), [(3, 90), (5, 80), (1, 50)])
 def test_similar_components(spark, words, percent):
     rows = [r for r in edge.texts() if r[0] != 3] + [(3, edge.PROSE * 3)]

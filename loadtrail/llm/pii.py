@@ -9,8 +9,9 @@ comes with a certain address, and is generalised in the documents that hold the
 
 Terms are runs of letters outside the base spans.
 
-Places are code points. Positions come from cutting the text at the matches, so a text is scanned and never copied
-per match.
+Places are code points. Positions come from cutting the text at the matches. Matches are worked off in blocks of the
+square root of their number, so neither the text nor the list of spans is gone through again for every match. Terms are
+found by joining the words of a text with the terms that go there, however many these are.
 
 Defined cases: a null or empty text has no span. Equal texts have equal spans; rows that repeat identifier and text are one
 document. A match that fails its check is dropped and the search goes on behind it. An empty table gives an empty result. Long texts are scanned whole.
@@ -34,6 +35,24 @@ OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 TERM = r"\p{L}+"
 
 
+SPANS = "array<struct<start:int,kind:int,end:int,value:string>>"
+
+
+def no_spans() -> Column:
+    return F.array().cast(SPANS)
+
+
+def blocks(values: Column, use) -> Column:
+    """``use(array of blocks)`` for the values cut into blocks of the square root of their number."""
+
+    def cut(held: Column) -> Column:
+        many = F.greatest(F.size(held), F.lit(1))
+        size = F.ceil(F.sqrt(many)).cast("int")
+        return use(F.transform(F.sequence(F.lit(1), many, size), lambda low: F.slice(held, low, size)))
+
+    return bound(values, cut)
+
+
 def digits(value: Column) -> Column:
     return F.regexp_replace(value, "[^0-9]", "")
 
@@ -71,10 +90,6 @@ def placed(text: Column, pattern: Column, kind: int) -> Column:
 
     def walk(pieces: Column) -> Column:
         gaps, values = pieces["gaps"], pieces["values"]
-        start = F.struct(
-            F.lit(0).alias("at"),
-            F.array().cast("array<struct<start:int,kind:int,end:int,value:string>>").alias("spans"),
-        )
 
         def step(seen: Column, pair: Column) -> Column:
             first = seen["at"] + F.length(pair["gaps"])
@@ -82,19 +97,51 @@ def placed(text: Column, pattern: Column, kind: int) -> Column:
             span = F.struct(first.alias("start"), F.lit(kind).alias("kind"), last.alias("end"), pair["values"].alias("value"))
             return F.struct(last.alias("at"), F.concat(seen["spans"], F.array(span)).alias("spans"))
 
+        def block(seen: Column, pairs: Column) -> Column:
+            start = F.struct(seen["at"].alias("at"), no_spans().alias("spans"))
+            done = F.aggregate(pairs, start, step)
+            return bound(done, lambda d: F.struct(d["at"].alias("at"), F.concat(seen["blocks"], F.array(d["spans"])).alias("blocks")))
+
         pairs = F.arrays_zip(F.slice(gaps, F.lit(1), F.size(values)).alias("gaps"), values.alias("values"))
-        return F.aggregate(pairs, start, step, lambda seen: seen["spans"])
+        first = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPANS}>").alias("blocks"))
+        return blocks(pairs, lambda cut: F.aggregate(cut, first, block, lambda seen: F.flatten(seen["blocks"])))
 
     values = F.regexp_extract_all(text, pattern, F.lit(0))
-    none = F.array().cast("array<struct<start:int,kind:int,end:int,value:string>>")
     return bound(
         values,
-        lambda v: F.when(F.size(v) == 0, none).otherwise(
+        lambda v: F.when(F.size(v) == 0, no_spans()).otherwise(
             bound(F.struct(F.split(text, pattern, F.lit(-1)).alias("gaps"), v.alias("values")), walk)
         ),
     )
 
 
+def rewritten(text: Column, spans: Column, put) -> Column:
+    """The text with ``put(span, at)`` for every span, in order of start; what ends before ``at`` is written already."""
+
+    def block(seen: Column, own: Column) -> Column:
+        base = seen["at"]
+        last = F.greatest(base, F.array_max(F.transform(own, lambda s: s["end"])))
+
+        def inside(piece: Column) -> Column:
+            def step(held: Column, span: Column) -> Column:
+                gap = F.substring(piece, held["at"] - base + 1, F.greatest(span["start"] - held["at"], F.lit(0)))
+                parts = F.concat(held["parts"], F.array(gap, put(span, held["at"])))
+                return F.struct(F.greatest(held["at"], span["end"]).alias("at"), parts.alias("parts"))
+
+            start = F.struct(base.alias("at"), F.array().cast("array<string>").alias("parts"))
+            return F.aggregate(own, start, step, lambda held: F.array_join(held["parts"], ""))
+
+        done = bound(F.substring(text, base + 1, last - base), inside)
+        return F.struct(last.alias("at"), F.concat(seen["parts"], F.array(done)).alias("parts"))
+
+    def end(seen: Column) -> Column:
+        return F.concat(F.array_join(seen["parts"], ""), F.substring(text, seen["at"] + 1, F.length(text)))
+
+    first = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
+    changed = blocks(spans, lambda cut: F.aggregate(cut, first, block, end))
+    return F.when(F.size(spans) > 0, changed).otherwise(text)
+
+
 def passing(spans: Column, check) -> Column:
     return F.filter(spans, lambda s: check(s["value"]))
 
@@ -105,12 +152,11 @@ def of_kind(spans: Column, kind: int) -> Column:
 
 def base_spans(text: Column) -> Column:
     """All base spans, by start, then kind."""
-    none = F.array().cast("array<struct<start:int,kind:int,end:int,value:string>>")
     found = []
     for kind, (pattern, mark, check, _) in BASE.items():
         spans = passing(placed(text, F.lit(pattern), KINDS.index(kind)), check)
         needed = F.contains(text, F.lit(mark)) if mark else text.rlike("[0-9]{4}|[0-9][ -][0-9]")
-        found.append(F.when(needed, spans).otherwise(none))
+        found.append(F.when(needed, spans).otherwise(no_spans()))
     return F.array_sort(F.concat(*found))
 
 
@@ -123,21 +169,12 @@ def entity(span: Column) -> Column:
 
 
 def terms_of(text: Column) -> Column:
-    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower))
 
 
 def blanked(text: Column, spans: Column) -> Column:
     """The text with every span as white space, so that places stay what they are."""
-
-    def step(seen: Column, span: Column) -> Column:
-        gap = F.substring(text, seen["at"] + 1, F.greatest(span["start"] - seen["at"], F.lit(0)))
-        blank = F.repeat(F.lit(" "), F.greatest(span["end"] - F.greatest(span["start"], seen["at"]), F.lit(0)))
-        return F.struct(F.greatest(seen["at"], span["end"]).alias("at"), F.concat(seen["parts"], F.array(gap, blank)).alias("parts"))
-
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
-    return F.aggregate(
-        spans, start, step, lambda seen: F.concat(F.array_join(seen["parts"], ""), F.substring(text, seen["at"] + 1, F.length(text)))
-    )
+    return rewritten(text, spans, lambda s, at: F.repeat(F.lit(" "), F.greatest(s["end"] - F.greatest(s["start"], at), F.lit(0))))
 
 
 def entity_mentions(docs: DataFrame) -> DataFrame:
@@ -195,15 +232,19 @@ def document_spans(docs: DataFrame, id_column: str, text_column: str, threshold:
     mentions = landed(entity_mentions(found), "pii-mentions")
     texts = found.where("text IS NOT NULL").dropDuplicates(["doc_id", "text_hash"]).select("doc_id", "text_hash", "text")
     disclosing = landed(disclosing_terms(rows, found, mentions, threshold, smoothing), "pii-terms")
-    keyed = mentions.join(disclosing, "entity")
-    per_text = keyed.groupBy("doc_id", "text_hash").agg(F.array_join(F.array_sort(F.collect_set("term")), "|").alias("terms"))
-    pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.col("terms"), F.lit(r")(?!\p{L})"))
-    texts = texts.withColumnsRenamed({"doc_id": "own_id", "text_hash": "own_hash"})
+    keyed = mentions.join(disclosing, "entity").select("doc_id", "text_hash", "term").distinct()
+    keyed = keyed.withColumnsRenamed({"doc_id": "own_id", "text_hash": "own_hash"})
     same = F.col("own_id").eqNullSafe(F.col("doc_id")) & (F.col("own_hash") == F.col("text_hash"))
-    with_terms = texts.join(per_text, same).select("own_id", "own_hash", placed(F.col("text"), pattern, KINDS.index("term")).alias("extra"))
+    words = texts.join(keyed.select("own_id", "own_hash").distinct(), same, "left_semi").select(
+        "doc_id", "text_hash", F.explode(placed(F.col("text"), F.lit(TERM), KINDS.index("term"))).alias("span")
+    )
+    words = words.join(keyed, same & (F.lower(F.col("span.value")) == F.col("term")), "left_semi")
+    with_terms = words.groupBy(F.col("doc_id").alias("own_id"), F.col("text_hash").alias("own_hash")).agg(
+        F.array_sort(F.collect_list("span")).alias("extra")
+    )
     with_terms = landed(with_terms, "pii-term-spans")
     return found.select("doc_id", "text_hash", "base").join(with_terms, same, "left").select(
-        "doc_id", "text_hash", "base", F.coalesce("extra", F.array().cast("array<struct<start:int,kind:int,end:int,value:string>>")).alias("extra")
+        "doc_id", "text_hash", "base", F.coalesce("extra", no_spans()).alias("extra")
     )
 
 
@@ -216,7 +257,7 @@ def written(spans: Column) -> Column:
 def personal_data(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", threshold: float = 0.8, smoothing: float = 2.0
 ) -> DataFrame:
-    """Per row: identifier, matches per kind, digest of the base spans, and all spans."""
+    """Per row: identifier, matches per kind, digest of the base spans, all spans, and how many there are, terms and in all."""
     found = document_spans(docs, id_column, text_column, threshold, smoothing)
     counts = [of_kind(F.col("base"), k).alias(f"n_{kind}") for k, kind in enumerate(KINDS[:4])]
     return found.select(
@@ -224,24 +265,15 @@ def personal_data(
         *counts,
         F.sha2(written(F.col("base")), 256).alias("base_sha256"),
         written(F.array_sort(F.concat("base", "extra"))).alias("spans"),
+        F.size("extra").cast("long").alias("n_terms"),
+        (F.size("base") + F.size("extra")).cast("long").alias("n_spans"),
     )
 
 
 def replaced(text: Column, spans: Column) -> Column:
     """The text with every span generalised to its kind; of spans that overlap the first names the gap."""
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
-
-    def step(seen: Column, span: Column) -> Column:
-        gap = F.substring(text, seen["at"] + 1, span["start"] - seen["at"])
-        fresh = F.concat(seen["parts"], F.array(gap, F.get(names, span["kind"])))
-        return F.struct(
-            F.greatest(seen["at"], span["end"]).alias("at"),
-            F.when(span["start"] >= seen["at"], fresh).otherwise(seen["parts"]).alias("parts"),
-        )
-
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
-    rest = lambda seen: F.concat(F.array_join(seen["parts"], ""), F.substring(text, seen["at"] + 1, F.length(text)))
-    return F.when(F.size(spans) > 0, F.aggregate(spans, start, step, rest)).otherwise(text)
+    return rewritten(text, spans, lambda s, at: F.when(s["start"] >= at, F.get(names, s["kind"])).otherwise(F.lit("")))
 
 
 def sanitised(

@@ -1,18 +1,23 @@
 """Sharding, quality rules, packing and personal data against loops."""
 
 import hashlib
+import math
+import re
+import time
 import zlib
 
 import edge
 import loops
 import numpy as np
 import pyarrow.parquet as pq
+import regex
 from pyspark.sql import functions as F
 
 from loadtrail.llm import packing, pii, quality, sharding
 from loadtrail.llm.queries import queries
 
 SMALL = "/root/testdata/sf0.001"
+MEDIUM = "/root/testdata/sf0.01"
 
 
 def plan_text(frame) -> str:
@@ -189,6 +194,55 @@ def test_terms_of_entities_that_are_used_once(spark):
     assert found[25] == ""
 
 
+def test_texts_with_many_matches_and_terms(spark):
+    """50,000 matches in one text, and 3,000 terms that give one address away, end in seconds."""
+    mails = " ".join(f"é u{k}@x{k % 7}.example.org" for k in range(50_000))
+    letters = "abcdefghij"
+    name = lambda k: "n" + "".join(letters[int(d)] for d in f"{k:04d}")
+    terms = " ".join(name(k) for k in range(3000))
+    rows = [(1, mails), (2, f"{terms} z@y.example.org {terms.title()}"), (3, None), (4, "")]
+    rows += [(10 + k, f"plain number {k}") for k in range(400)]
+    docs = edge.frame(spark, rows)
+    begun = time.monotonic()
+    found = {r["doc_id"]: r for r in pii.personal_data(docs).collect()}
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitised(docs).collect()}
+    assert time.monotonic() - begun < 90
+    wanted = loops.personal_spans(mails)
+    assert found[1]["n_email"] == 50_000 and found[1]["base_sha256"] == hashlib.sha256(",".join(wanted).encode()).hexdigest()
+    assert (found[2]["n_email"], found[2]["n_terms"], found[2]["n_spans"]) == (1, 6000, 6001)
+    assert clean[1].count("[EMAIL]") == 50_000 and "@" not in clean[1] and clean[3] is None and clean[4] == ""
+    assert clean[2] == " ".join(["[TERM]"] * 3000 + ["[EMAIL]"] + ["[TERM]"] * 3000)
+
+
+def test_term_spans_equal_a_loop_over_the_corpus(spark):
+    """PMI of every entity and term, by loops over all documents of the table."""
+    docs = {d: t or "" for d, t in pq.read_table(f"{MEDIUM}/documents.parquet").select(["doc_id", "text"]).to_pandas().itertuples(index=False)}
+    form = {"email": str.lower, "ip": str, "card": lambda v: re.sub("[^0-9]", "", v), "phone": lambda v: re.sub("[^0-9]", "", v)}
+    holds, entities, words = {}, {}, {}
+    for d, t in docs.items():
+        spans = [(kind, int(a), int(b)) for kind, a, b in (x.split(":") for x in loops.personal_spans(t))]
+        blank = list(t)
+        for _, a, b in spans:
+            blank[a:b] = " " * (b - a)
+        words[d] = [(m.start(), m.end(), m.group().lower()) for m in regex.finditer(r"\p{L}+", "".join(blank))]
+        entities[d] = {(kind, form[kind](t[a:b])) for kind, a, b in spans}
+        for x in entities[d] | {w for _, _, w in words[d]}:
+            holds.setdefault(x, set()).add(d)
+    found = {r["doc_id"]: r["spans"] for r in pii.personal_data(spark.read.parquet(f"{MEDIUM}/documents.parquet")).collect()}
+    total, n = len(docs), 0
+    for d, own in entities.items():
+        gone = {w for _, _, w in words[d] for e in own if len(holds[e]) < total and discloses(holds[w], holds[e], total)}
+        wanted = [f"term:{a}:{b}" for a, b, w in words[d] if w in gone]
+        assert [x for x in found[d].split(",") if x.startswith("term:")] == wanted
+        n += len(wanted)
+    assert sum(map(bool, entities.values())) > 0 and n > 0
+
+
+def discloses(with_term, with_entity, total, threshold=0.8, smoothing=2):
+    both = len(with_term & with_entity)
+    return both > 0 and math.log(both * total / (len(with_entity) * (len(with_term) + smoothing))) >= threshold * math.log(total / len(with_entity))
+
+
 def test_sanitised(spark):
     rows = disclosing_rows() + [(200, None), (201, "card 4111 1111 1111 1111, ok"), (None, "b@c.de")]
     docs = edge.frame(spark, rows)

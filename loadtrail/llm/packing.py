@@ -30,6 +30,8 @@ from loadtrail.llm.subwords import subwords
 
 WINDOW = 1024
 END_ID = 0
+#: The string to which the vocabulary's tokenizer gives an id of its own.
+SPECIAL = (("<|endoftext|>", 50256),)
 PIECES = "row_id long, doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary"
 CUT = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -44,8 +46,11 @@ def checksum(ids: np.ndarray) -> int:
     return zlib.crc32(np.ascontiguousarray(ids, "<u4").tobytes())
 
 
-def piece_rows(ranks: tuple[str, str], window: int, end_id: int):
-    """Encode documents; full windows carry their checksum, the rest carries its ids as well (two bytes each)."""
+def piece_rows(ranks: tuple, window: int, end_id: int):
+    """Encode documents; full windows carry their checksum, the rest carries its ids as well.
+
+    An id takes two bytes, or four in a piece with ids above 65,535.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = subwords(*ranks)
@@ -58,7 +63,7 @@ def piece_rows(ranks: tuple[str, str], window: int, end_id: int):
                     ids = np.append(model.ids(text), np.uint32(end_id))
                     for start in range(0, len(ids), window):
                         piece = ids[start : start + window]
-                        rest = piece.astype("<u2").tobytes() if len(piece) < window else None
+                        rest = piece.astype("<u2" if piece.max() < 1 << 16 else "<u4").tobytes() if len(piece) < window else None
                         rows.append((row_id, doc_id, start, len(piece), checksum(piece), len(ids), rest))
                     row_id += 1
                 yield row_batch(rows, PIECES)
@@ -137,7 +142,7 @@ def cut_pieces(window: int):
         for batch in batches:
             rows = []
             for doc_id, start, length, doc_tokens, place, first, ids in zip(*(c.to_pylist() for c in batch.columns)):
-                ids = np.frombuffer(ids, "<u2")
+                ids = np.frombuffer(ids, f"<u{len(ids) // length}")
                 at = 0
                 while at < length:
                     sequence, offset = divmod(place + at, window)
@@ -157,12 +162,18 @@ def packed(
     end_id: int = END_ID,
     ranks: tuple[str, str] | None = None,
     cut_rest: bool = True,
+    special: tuple[tuple[str, int], ...] | None = None,
 ) -> DataFrame:
-    """Per piece: document, start and length in it, checksum, tokens of the document, sequence and offset there."""
+    """Per piece: document, start and length in it, checksum, tokens of the document, sequence and offset there.
+
+    ``special`` names strings with an id of their own; with ``ranks`` of the caller there are none unless given.
+    """
     spark = docs.sparkSession
     on_workers(spark)
     rows = docs.select(docs[id_column].cast("long"), F.coalesce(docs[text_column], F.lit("")))
-    pieces = landed(rows.mapInArrow(piece_rows(ranks or vocabulary(), window, end_id), PIECES), "pieces")
+    if special is None:
+        special = () if ranks else SPECIAL
+    pieces = landed(rows.mapInArrow(piece_rows((*(ranks or vocabulary()), special), window, end_id), PIECES), "pieces")
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     patterns, line, first = plan(histogram, window, cut_rest)
     slim = pieces.drop("ids")

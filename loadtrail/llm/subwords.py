@@ -2,7 +2,8 @@
 
 The vocabulary's pattern cuts a text into pieces that are encoded one by one, so the ids of a piece never depend on
 its neighbours and can be remembered. Texts made of plain characters are cut by a pattern that says the same for
-them and runs faster; any other text goes to the tokenizer as a whole.
+them and runs faster; any other text goes to the tokenizer as a whole. Special strings that the caller names have ids
+of their own wherever they stand in a text; without such names they are ordinary text.
 """
 
 from __future__ import annotations
@@ -39,26 +40,35 @@ class Pieces(dict):
 
 
 class Subwords:
-    """Ids of texts; special strings in a text are ordinary text."""
+    """Ids of texts. ``special``: strings with an id of their own."""
 
-    def __init__(self, ranks_path: str, pattern: str):
+    def __init__(self, ranks_path: str, pattern: str, special: tuple[tuple[str, int], ...] = ()):
         with open(ranks_path, "rb") as lines:
             ranks = {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, lines)}
         self.encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.pieces = Pieces(self.encoding)
+        self.special = dict(special)
+        longest_first = sorted(map(re.escape, self.special), key=len, reverse=True)
+        self.cut = re.compile(f"({'|'.join(longest_first)})").split if special else None
 
     def ids(self, text: str) -> np.ndarray:
+        if any(name in text for name in self.special):
+            parts = self.cut(text)
+            return np.concatenate([np.uint32([self.special[p]]) if k % 2 else self.plain_ids(p) for k, p in enumerate(parts)])
+        return self.plain_ids(text)
+
+    def plain_ids(self, text: str) -> np.ndarray:
         if NOT_PLAIN.search(text):
             return np.asarray(self.encoding.encode_ordinary(text), np.uint32)
         return np.fromiter(chain.from_iterable(map(self.pieces.__getitem__, PLAIN_PIECES(text))), np.uint32)
 
 
-LOADED: dict[tuple[str, str], Subwords] = {}
+LOADED: dict[tuple, Subwords] = {}
 
 
-def subwords(ranks_path: str, pattern: str) -> Subwords:
-    """One tokenizer per Python worker and vocabulary."""
-    key = ranks_path, pattern
+def subwords(ranks_path: str, pattern: str, special: tuple[tuple[str, int], ...] = ()) -> Subwords:
+    """One tokenizer per Python worker, vocabulary and special strings."""
+    key = ranks_path, pattern, special
     if key not in LOADED:
         LOADED[key] = Subwords(*key)
     return LOADED[key]

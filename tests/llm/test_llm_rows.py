@@ -140,6 +140,34 @@ def test_subwords_equal_the_tokenizer():
     texts += ["it's we'll I'D x  y \n\n z\t", "naïve ½ ² Ⅷ _a_b __ ÿ ſ  x y", "<|endoftext|> <|", "日本語 текст 🙂"]
     for text in texts:
         assert model.ids(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    tokenizer.encode_special_tokens = False
+    model = packing.subwords(*packing.vocabulary(), packing.SPECIAL)
+    mark = packing.SPECIAL[0][0]
+    for text in [*texts, mark, mark * 2, f"a {mark}  b{mark}", f"日本{mark}\n", f"{mark[:-1]}{mark}{mark[1:]}", ""]:
+        assert model.ids(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_packing_of_special_strings_and_ids_of_four_bytes(spark, tmp_path):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rows = [(1, "one <|endoftext|> two"), (2, "plain"), (3, "<|endoftext|>" * 40)]
+    wanted = {d: [*tokenizer.encode(t, add_special_tokens=False).ids, 0] for d, t in rows}
+    for r in packing.packed(edge.frame(spark, rows), window=16).collect():
+        assert r["ids_crc32"] == packing.checksum(np.uint32(wanted[r["doc_id"]][r["start"] : r["start"] + r["length"]]))
+        assert r["doc_tokens"] == len(wanted[r["doc_id"]])
+    ranks, pattern = packing.vocabulary()
+    lines = open(ranks, "rb").read().split(b"\n")
+    wide = tmp_path / "wide.tiktoken"
+    wide.write_bytes(b"\n".join(b"%s %d" % (x.split()[0], int(x.split()[1]) + 100_000) for x in lines if x))
+    found = packing.packed(edge.frame(spark, [(1, "plain words"), (2, "more")]), window=16, ranks=(str(wide), pattern)).collect()
+    model = packing.subwords(str(wide), pattern)
+    for d, t in [(1, "plain words"), (2, "more")]:
+        ids = np.append(model.ids(t), np.uint32(0))
+        pieces = sorted((r["start"], r["length"], r["ids_crc32"]) for r in found if r["doc_id"] == d)
+        assert ids.max() > 65_535 and sum(n for _, n, _ in pieces) == len(ids)
+        assert all(crc == packing.checksum(ids[at : at + n]) for at, n, crc in pieces)
 
 
 def test_variety_votes_alike_at_every_length(spark):

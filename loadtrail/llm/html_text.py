@@ -1,9 +1,11 @@
 """Main text of web pages by block rules in two passes.
 
 A page is cut into blocks. Elements that never hold an article (menus, forms, scripts and the like, and boxes whose
-class or id says advert, cookie notice, comments, ...) give bad blocks. The first pass judges the others by
+class or id says advert, cookie notice, comments, ...) give bad blocks. A name that tells of a state of the page
+(``comments-open``, ``no-sidebar``) says nothing. The first pass judges the others by
 themselves: blocks that are mostly links are bad, blocks with enough stop words for their length are good, and the
-rest, short or without stop words, is open. In the second pass an open block takes the label of the nearest decided
+rest, short or without stop words, is open. In a box named for controls (share, search, ...) a block is bad unless it is
+twice as long, with half as many links, as a good block elsewhere. In the second pass an open block takes the label of the nearest decided
 block of the same region (the article it lies in, or else the page): the same label on both sides, or the nearer one,
 good if they are equally near. A box inside an article says nothing about its neighbours. With no decided block in
 the region, an article is good and anything else is bad.
@@ -55,6 +57,10 @@ BAD_NAMES = frozenset(
     "nav navbar navigation breadcrumb breadcrumbs footer comment comments reply replies respond disqus related recommended "
     "widget search pagination pager toolbar skip masthead topbar copyright legal disclaimer".split()
 )
+#: Of these, names of boxes with controls, in which prose is the article.
+CONTROL_NAMES = frozenset("share sharing social search toolbar skip pager pagination".split())
+#: Beside one of the names, these make it a state of the page.
+STATE_WORDS = frozenset("open closed enabled disabled allowed has no not with without".split())
 #: Rules of the first pass: most link characters, characters of a long block, least share of stop words.
 MOST_LINKS = 0.5
 LONG = 70
@@ -71,10 +77,18 @@ class Block:
     label: str
 
 
-def names_bad(attributes: str) -> bool:
-    return any(
-        word in BAD_NAMES for value in NAMED.findall(attributes) for word in re.split(r"[^a-z0-9]+", value.lower())
-    )
+def named(attributes: str) -> str | None:
+    """What the names of a box say: ``bad``, ``controls`` or nothing."""
+    said = None
+    for name in " ".join(value.strip("\"'") for value in NAMED.findall(attributes)).lower().split():
+        words = set(re.split(r"[^a-z0-9]+", name))
+        if words & STATE_WORDS:
+            continue
+        if words & (BAD_NAMES - CONTROL_NAMES):
+            return "bad"
+        if words & CONTROL_NAMES:
+            said = "controls"
+    return said
 
 
 def blocks(page: str) -> list[Block]:
@@ -84,12 +98,13 @@ def blocks(page: str) -> list[Block]:
     linked: list[str] = []
     regions, made = [0], 0
     bad, depth, links = None, 0, 0
+    controls, inner = None, 0
 
     def close() -> None:
         text = " ".join(html.unescape("".join(texts)).split())
         if text:
             chars = len(" ".join(html.unescape("".join(linked)).split()))
-            found.append(Block(text, chars, regions[-1], len(regions) > 1, "bad" if bad else "open"))
+            found.append(Block(text, chars, regions[-1], len(regions) > 1, "bad" if bad else "controls" if controls else "open"))
         texts.clear()
         linked.clear()
 
@@ -120,14 +135,16 @@ def blocks(page: str) -> list[Block]:
             close()
         if name in VOID_TAGS or attributes.endswith("/"):
             continue
-        if name in REGION_TAGS and not closing and not (made and bad) and not names_bad(attributes):
+        if name in REGION_TAGS and not closing and not (made and bad) and named(attributes) != "bad":
             bad, depth = None, 0  # the first article ends a box that was never closed
+            controls = controls if made else None
             made += 1
             regions.append(made)
             links = 0
         elif name in REGION_TAGS and closing and not bad and len(regions) > 1:
             regions.pop()
             links = 0
+        outside = not bad
         if bad:
             if name == bad:
                 depth += -1 if closing else 1
@@ -135,9 +152,18 @@ def blocks(page: str) -> list[Block]:
                     close()
                     bad = None
         elif not closing and name not in ("html", "body") and not (name == "header" and len(regions) > 1):
-            if name in BAD_TAGS or (attributes and names_bad(attributes)):
+            said = named(attributes) if attributes else None
+            if name in BAD_TAGS or said == "bad":
                 close()
                 bad, depth = name, 1
+            elif said and not controls and name not in REGION_TAGS:
+                close()
+                controls, inner = name, 0
+        if controls and outside and not bad and name == controls:
+            inner += -1 if closing else 1
+            if inner <= 0:
+                close()
+                controls = None
     add(page[at:])
     close()
     return found
@@ -145,13 +171,16 @@ def blocks(page: str) -> list[Block]:
 
 def judged(block: Block) -> str:
     """First pass: a block by itself."""
-    if block.label != "open":
-        return block.label
-    if block.linked > MOST_LINKS * len(block.text):
+    if block.label == "bad":
+        return "bad"
+    strict = 2 if block.label == "controls" else 1
+    if block.linked * strict > MOST_LINKS * len(block.text):
         return "bad"
     words = LETTERS.findall(block.text.lower())
     stops = sum(w in ALL_STOP_WORDS for w in words)
-    return "good" if len(block.text) >= LONG and stops >= LEAST_STOP * len(words) > 0 else "open"
+    if len(block.text) >= LONG * strict and stops >= LEAST_STOP * len(words) > 0:
+        return "good"
+    return "bad" if block.label == "controls" else "open"
 
 
 def settled(page_blocks: list[Block]) -> list[str]:
@@ -162,7 +191,7 @@ def settled(page_blocks: list[Block]) -> list[str]:
         by_region.setdefault(block.region, []).append(k)
     out = list(labels)
     for members in by_region.values():
-        decided = [labels[k] != "open" and not (page_blocks[k].in_article and page_blocks[k].label == "bad") for k in members]
+        decided = [labels[k] != "open" and not (page_blocks[k].in_article and page_blocks[k].label in ("bad", "controls") and labels[k] == "bad") for k in members]
         before, last = [], None
         for place, k in enumerate(members):
             before.append(last)

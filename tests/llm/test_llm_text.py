@@ -298,6 +298,31 @@ def test_page_text():
         assert html_text.main_text(page) == text, page
 
 
+def test_names_of_boxes_weigh_and_density_decides():
+    prose = "It was the first of the days in the year and it is to be the last of them for us. " * 3
+    prose = prose.strip()
+    links = "<a href=x>the one of it and the other</a> " * 6
+    wanted = {
+        f"<article class='post comments-open'><p>{prose}</p></article>": prose,
+        f"<div id=page class='no-sidebar has-banner'><div class=x><p>{prose}</p></div></div>": prose,
+        f"<div class='share-page'><p>{prose}</p><p>the of</p></div>": prose,
+        f"<article><p>A</p><div class='social'><div>the of</div><div class=ad>{prose}</div>{links}</div><p>B</p></article>": "A B",
+        f"<article><p>A</p><div class=search><div class=ad><div>{prose}</div></div><p>find it</p></div><p>B</p></article>": "A B",
+        f"<div class='comments open'><p>{prose}</p></div><article><p>A</p></article>": "A",
+        f"<article class='comment'><p>{prose}</p></article><article><p>A</p></article>": "A",
+        f"<div class='cookie-notice no-js'><p>{prose}</p></div><main><p>A</p></main>": "A",
+        f"<article><div class=toolbar><p>x</p><p>A {prose}": f"A {prose}",
+    }
+    for page, text in wanted.items():
+        assert html_text.main_text(page) == text, page
+
+
+def test_a_very_long_page():
+    body = "".join(f"<p>It was day {k} of the year and all of it was as it is to be for us in the town.</p>" for k in range(20_000))
+    text = html_text.main_text(f"<nav>{'<a>x</a>' * 20_000}</nav><article>{body}</article>{'<div class=ad>the of</div>' * 20_000}")
+    assert text.startswith("It was day 0 of") and text.count("It was day") == 20_000 and "the of" not in text
+
+
 def test_pages_table(spark):
     rows = [(k, f"http://x/{k}", page, "clash") for k, page in enumerate(PAGES)] + [(None, None, None, "clash")]
     docs = spark.createDataFrame(rows, "page_id long, url string, html string, text string")

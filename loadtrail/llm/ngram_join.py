@@ -308,7 +308,8 @@ def similar_components(
     rows = docs.select(
         docs[id_column].cast("long").alias("doc_id"), F.coalesce(docs[text_column], F.lit("")).cast("binary").alias("text")
     )
-    described = landed(rows.mapInArrow(describe(words), SETS), "shingle-sets")
+    with small_batches(spark):
+        described = landed(rows.mapInArrow(describe(words), SETS), "shingle-sets")
     sets = described.where("block IS NULL").drop("block", "counts")
     classes = landed(
         sets.where("high IS NOT NULL AND doc_id IS NOT NULL")
@@ -323,7 +324,8 @@ def similar_components(
     before = lists.select("node", "n", F.lag("node").over(in_list).alias("before"), F.lag("n").over(in_list).alias("n_before"))
     near = (F.col("before") != F.col("node")) & (F.col("n_before") * 100 >= F.col("n") * percent)
     neighbours = before.where(near).select(F.col("before").alias("a"), F.col("node").alias("b"))
-    groups = components(neighbours)
+    with small_batches(spark):
+        groups = components(neighbours)
     groups = groups.unionAll(groups.select("root", "root").distinct())
 
     members = classes.join(groups, classes["low"] == groups["node"]).select("first_id", "high", "low", "n", "root")

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadtrail.llm.sharding import with_slots
-from loadtrail.llm.staging import landed, on_workers, row_batch
+from loadtrail.llm.staging import landed, on_workers, row_batch, small_batches
 from loadtrail.llm.subwords import subwords
 
 WINDOW = 1024
@@ -173,7 +173,9 @@ def packed(
     rows = docs.select(docs[id_column].cast("long"), F.coalesce(docs[text_column], F.lit("")))
     if special is None:
         special = () if ranks else SPECIAL
-    pieces = landed(rows.mapInArrow(piece_rows((*(ranks or vocabulary()), special), window, end_id), PIECES), "pieces")
+    encoded = rows.mapInArrow(piece_rows((*(ranks or vocabulary()), special), window, end_id), PIECES)
+    with small_batches(spark):
+        pieces = landed(encoded, "pieces")
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     patterns, line, first = plan(histogram, window, cut_rest)
     slim = pieces.drop("ids")

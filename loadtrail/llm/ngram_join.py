@@ -5,14 +5,15 @@ order of all shingles the first ``n - T + 1`` of each meet. The order puts shing
 word counts, of fixed size and over all documents, ranks them. These rare ends are the only lists that are built and
 sorted across the cluster; neighbours in a list are candidates if their sizes allow it. Candidates fall into groups, and
 a group is searched with DivideSkip: the lists of a document are divided into short ones, which are merged and
-counted, and long ones, which are only probed by binary search for the candidates that can still reach T. Documents
-known to be linked through others are not compared again. Groups too large for a task are dealt as pairs of blocks.
+counted, and long ones, which are only probed by binary search for the candidates that can still reach T. Where links
+are not counted, documents known to be linked through others are not compared again. Groups too large for a task are
+dealt as pairs of blocks.
 
 Equal sets are one class from the start, so exact copies cost one row each, and within a task one list entry.
 
 Defined cases: a document without words has an empty set and is linked with nothing; one with fewer words than a
 shingle has all its words as its only shingle. A null identifier is linked with nothing and its component is null;
-rows that share an identifier are one node. An empty table gives an empty result. Only the identifier and the
+rows that share an identifier are one node, and each of them is a link of the others in ``n_links``. An empty table gives an empty result. Only the identifier and the
 text are read, whatever else there is.
 """
 
@@ -41,8 +42,9 @@ LONG_FACTOR = 0.0085
 SETS = "doc_id long, n_shingles long, high long, low long, block int, counts binary"
 BLOCKS = "block int, counts binary"
 LISTS = "shingle long, n int, node long"
-MEMBERS = "group_key long, first_block int, last_block int, doc_id long, shingles binary"
-LINKS = "a long, b long"
+MEMBERS = "group_key long, first_block int, last_block int, doc_id long, own_block int, n_rows long, node long, shingles binary"
+#: A link of the spanning forest (documents a, b), or how many rows a class's partners in a task stand for (class a, links).
+LINKS = "a long, b long, links long"
 #: Documents that a worker looks at together.
 TOGETHER = 256
 
@@ -191,10 +193,10 @@ def group_members(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             rows = []
-            for group, first, last, doc_id, high, low, text in zip(*(c.to_pylist() for c in batch.columns)):
+            for *dealt, high, low, text in zip(*(c.to_pylist() for c in batch.columns)):
                 shingles = shingle_set(text, words)
                 if set_key(shingles) == (high, low):
-                    rows.append((group, first, last, doc_id, shingles.tobytes()))
+                    rows.append((*dealt, low, shingles.tobytes()))
             yield row_batch(rows, MEMBERS)
 
     return run
@@ -218,15 +220,20 @@ class Roots:
             self.up[max(a, b)] = min(a, b)
 
 
-def divide_skip(sets: list[np.ndarray], percent: int) -> Roots:
-    """Components of the sets whose similarity reaches ``percent``; the sets come by size.
+def divide_skip(
+    sets: list[np.ndarray], percent: int, blocks: np.ndarray | None = None, weights: np.ndarray | None = None
+) -> tuple[Roots, np.ndarray]:
+    """Components of the sets whose similarity reaches ``percent``, and the weight of every set's partners; the sets
+    come by size.
 
-    For a set, partners are later in the list. Its inverted lists are cut into the longest, as many as the rule of
-    the method allows, and the rest. The rest are merged and counted; a partner needs T less the number of long lists
-    there. The long lists are then probed one by one, and a partner is dropped when those left cannot make up for
-    what it lacks. Exact sizes decide at the end.
+    For a set, partners are later in the list and, where ``blocks`` are given, in the other block. Its inverted lists
+    are cut into the longest, as many as the rule of the method allows, and the rest. The rest are merged and counted;
+    a partner needs T less the number of long lists there. The long lists are then probed one by one, and a partner is
+    dropped when those left cannot make up for what it lacks. Exact sizes decide at the end. Without ``weights`` no
+    partners are counted, and those in the set's own component already are not compared again.
     """
     roots = Roots(len(sets))
+    partner_weight = np.zeros(len(sets), np.int64)
     sizes = np.array([len(x) for x in sets])
     shingles = np.concatenate(sets)
     order = np.argsort(shingles, kind="stable")
@@ -251,12 +258,15 @@ def divide_skip(sets: list[np.ndarray], percent: int) -> Roots:
         n_long = min(need - 1, int(need / (LONG_FACTOR * np.log2(longest) + 1)), len(at) - 1)
         short, long_ones = at[: len(at) - n_long], at[len(at) - n_long :]
         merged = np.concatenate([owners[borders[k] : borders[k + 1]] for k in short])
-        merged = np.sort(merged[(merged > q) & (merged < until)], kind="stable")
+        merged = merged[(merged > q) & (merged < until)]
+        if blocks is not None:
+            merged = merged[blocks[merged] != blocks[q]]
         partners, counts = np.unique(merged, return_counts=True)
         partners, counts = partners[counts >= need - n_long], counts[counts >= need - n_long]
-        mine = roots.of(q)
-        apart = np.fromiter((roots.of(int(p)) != mine for p in partners), bool, len(partners))
-        partners, counts = partners[apart], counts[apart]
+        if weights is None:
+            mine = roots.of(q)
+            apart = np.fromiter((roots.of(int(p)) != mine for p in partners), bool, len(partners))
+            partners, counts = partners[apart], counts[apart]
         for k, one in enumerate(long_ones):
             if not len(partners):
                 break
@@ -265,44 +275,69 @@ def divide_skip(sets: list[np.ndarray], percent: int) -> Roots:
             counts = counts + (entries[place] == partners)
             alive = counts + (n_long - k - 1) >= need
             partners, counts = partners[alive], counts[alive]
-        similar = 100 * counts >= percent * (len(own) + sizes[partners] - counts)
-        for p in partners[similar]:
-            roots.join(q, int(p))
-    return roots
+        partners = partners[100 * counts >= percent * (len(own) + sizes[partners] - counts)]
+        for p in partners.tolist():
+            roots.join(q, p)
+        if weights is not None:
+            partner_weight[q] += weights[partners].sum()
+            partner_weight[partners] += weights[q]
+    return roots, partner_weight
 
 
-def search(percent: int):
-    """Search each group as its rows come by; a group is bounded by the deal of its blocks."""
+def search(percent: int, count_links: bool):
+    """Search each group as its rows come by; a group is bounded by the deal of its blocks.
 
-    def links(members: dict[int, bytes]) -> Iterator[tuple[int, int]]:
-        ids = sorted(members, key=lambda d: (len(members[d]), d))
-        roots = divide_skip([np.frombuffer(members[d], np.uint64) for d in ids], percent)
-        for k, doc_id in enumerate(ids):
+    A pair of different blocks compares documents across them only, so every pair of documents meets in one task.
+    """
+
+    def links(members: dict[tuple[int, int], tuple[int, int, bytes]]) -> Iterator[tuple[int, int | None, int | None]]:
+        keys = sorted(members, key=lambda k: (len(members[k][2]), k))
+        own, rows, sets = zip(*map(members.__getitem__, keys))
+        weights = np.array(rows, np.int64) if count_links else None
+        blocks = np.array(own) if min(own) < max(own) else None
+        roots, found = divide_skip([np.frombuffer(x, np.uint64) for x in sets], percent, blocks, weights)
+        for k, (doc_id, node) in enumerate(keys):
             if roots.of(k) != k:
-                yield doc_id, ids[roots.of(k)]
+                yield doc_id, keys[roots.of(k)][0], None
+            if found[k]:
+                yield node, None, int(found[k])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, members, rows = None, {}, []
         for batch in batches:
-            for *key, doc_id, shingles in zip(*(c.to_pylist() for c in batch.columns)):
+            for *key, doc_id, block, n_rows, node, shingles in zip(*(c.to_pylist() for c in batch.columns)):
                 if key != current:
-                    if len(members) > 1:
+                    if two_sides(current, members):
                         rows.extend(links(members))
                     current, members = key, {}
-                members[doc_id] = shingles
+                members[doc_id, node] = block, n_rows, shingles
             if rows:
                 yield row_batch(rows, LINKS)
                 rows = []
-        if len(members) > 1:
+        if two_sides(current, members):
             yield row_batch(list(links(members)), LINKS)
 
     return run
 
 
+def two_sides(key: list[int] | None, members: dict[tuple[int, int], tuple[int, int, bytes]]) -> bool:
+    """Whether there is anything to compare: two sets, of both blocks where the pair has two."""
+    return len(members) > 1 and (key[1] == key[2] or len({m[0] for m in members.values()}) > 1)
+
+
 def similar_components(
-    docs: DataFrame, words: int = 3, percent: int = 90, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame,
+    words: int = 3,
+    percent: int = 90,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    count_links: bool = False,
 ) -> DataFrame:
-    """Per row: identifier, size of the shingle set and the smallest identifier that links reach."""
+    """Per row: identifier, size of the shingle set and the smallest identifier that links reach.
+
+    With ``count_links`` also ``n_links``, the number of other rows that the row is linked with: those of its class,
+    which have the same set, and those of every linked class.
+    """
     spark = docs.sparkSession
     on_workers(spark)
     rows = docs.select(
@@ -313,7 +348,7 @@ def similar_components(
     classes = landed(
         sets.where("high IS NOT NULL AND doc_id IS NOT NULL")
         .groupBy("high", "low")
-        .agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n")),
+        .agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n"), F.count(F.lit(1)).alias("n_rows")),
         "set-classes",
     )
 
@@ -326,7 +361,9 @@ def similar_components(
     groups = components(neighbours)
     groups = groups.unionAll(groups.select("root", "root").distinct())
 
-    members = classes.join(groups, classes["low"] == groups["node"]).select("first_id", "high", "low", "n", "root")
+    members = classes.join(groups, classes["low"] == groups["node"]).select(
+        "first_id", "high", "low", "n", "n_rows", "root"
+    )
     members = landed(members, "candidates")
     weights = members.groupBy("root").agg(F.ceil(F.sum("n") / GROUP_SHINGLES).alias("blocks"))
     own = F.expr("pmod(xxhash64(first_id), blocks)")
@@ -335,6 +372,7 @@ def similar_components(
         own.alias("own_block"),
         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other_block"),
         F.col("first_id").alias("doc_id"),
+        "n_rows",
         "high",
         "low",
     )
@@ -343,31 +381,46 @@ def similar_components(
         F.least("own_block", "other_block").cast("int").alias("first_block"),
         F.greatest("own_block", "other_block").cast("int").alias("last_block"),
         "doc_id",
+        F.col("own_block").cast("int").alias("own_block"),
+        "n_rows",
         "high",
         "low",
     )
     dealt = landed(dealt, "dealt-candidates")
     dealt = joined_by_size(dealt, dealt.count())
-    texts = rows.join(dealt, "doc_id").select("group_key", "first_block", "last_block", "doc_id", "high", "low", "text")
+    texts = rows.join(dealt, "doc_id").select(
+        "group_key", "first_block", "last_block", "doc_id", "own_block", "n_rows", "high", "low", "text"
+    )
     grouping = ["group_key", "first_block", "last_block"]
     found = (
         texts.mapInArrow(group_members(words), MEMBERS)
         .repartition(*grouping)
         .sortWithinPartitions(*grouping)
-        .mapInArrow(search(percent), LINKS)
+        .mapInArrow(search(percent, count_links), LINKS)
     )
     with small_batches(spark):  # the search runs here
-        reached = components(found)
+        found = landed(found, "links")
+    reached = components(found.where("b IS NOT NULL").select("a", "b"))
 
     final = classes.join(reached, classes["first_id"] == reached["node"], "left").select(
-        "high", "low", F.coalesce("root", "first_id").alias("class_root")
+        "high", "low", "first_id", "n_rows", F.coalesce("root", "first_id").alias("class_root")
     )
-    final = landed(final, "class-roots")
+    if count_links:
+        partners = found.where("links IS NOT NULL").groupBy("a").agg(F.sum("links").alias("links"))
+        final = final.join(partners, final["low"] == partners["a"], "left")
+        final = final.withColumn("class_links", F.col("n_rows") - 1 + F.coalesce("links", F.lit(0)))
+    else:
+        final = final.withColumn("class_links", F.lit(None).cast("long"))
+    final = landed(final.select("high", "low", "class_root", "class_links"), "class-roots")
     alone = F.when(F.col("doc_id").isNotNull(), F.coalesce("class_root", "doc_id"))
     # documents without words have no class and stay out of the join, where they would be one large key
-    worded = sets.where("high IS NOT NULL").join(final, ["high", "low"], "left").select("doc_id", "n_shingles", "class_root")
-    empty = sets.where("high IS NULL").select("doc_id", "n_shingles", F.lit(None).cast("long").alias("class_root"))
-    return worded.unionAll(empty).select(F.col("doc_id").alias(id_column), "n_shingles", alone.alias("component_id"))
+    columns = ["doc_id", "n_shingles", "class_root", "class_links"]
+    worded = sets.where("high IS NOT NULL").join(final, ["high", "low"], "left").select(columns)
+    nothing = F.lit(None).cast("long")
+    empty = sets.where("high IS NULL").select("doc_id", "n_shingles", nothing.alias("class_root"), nothing.alias("class_links"))
+    linked = F.when(F.col("doc_id").isNotNull(), F.coalesce("class_links", F.lit(0))).otherwise(F.lit(0))
+    counted = [linked.alias("n_links")] if count_links else []
+    return worded.unionAll(empty).select(F.col("doc_id").alias(id_column), "n_shingles", alone.alias("component_id"), *counted)
 
 
 def drop_similar(

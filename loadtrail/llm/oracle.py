@@ -21,7 +21,10 @@ WITH RECURSIVE worded AS (
         WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
         ELSE list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)]) END AS s
     FROM worded
-), keyed AS (SELECT doc_id, len(s) AS n, list_sort(s) AS s, min(doc_id) OVER (PARTITION BY list_sort(s)) AS class_id FROM sets),
+), keyed AS (
+    SELECT doc_id, len(s) AS n, list_sort(s) AS s, min(doc_id) OVER same AS class_id, count(*) OVER same AS class_rows
+    FROM sets WINDOW same AS (PARTITION BY list_sort(s))
+),
 shingles AS (SELECT doc_id, n, unnest(s) AS x FROM keyed WHERE doc_id = class_id),
 linked AS (
     SELECT a.doc_id AS a, b.doc_id AS b
@@ -32,9 +35,13 @@ reached AS (
     SELECT DISTINCT class_id AS d, class_id AS r FROM keyed
     UNION
     SELECT reached.d, links.b FROM reached JOIN links ON reached.r = links.a
-), roots AS (SELECT d, min(r) AS root FROM reached GROUP BY d)
-SELECT keyed.doc_id, CAST(n AS BIGINT) AS n_shingles, CASE WHEN n = 0 THEN keyed.doc_id ELSE root END AS component_id
-FROM keyed JOIN roots ON roots.d = keyed.class_id
+), roots AS (SELECT d, min(r) AS root FROM reached GROUP BY d),
+others AS (
+    SELECT links.a, CAST(sum(keyed.class_rows) AS BIGINT) AS n FROM links JOIN keyed ON keyed.doc_id = links.b GROUP BY links.a
+)
+SELECT keyed.doc_id, CAST(keyed.n AS BIGINT) AS n_shingles, CASE WHEN keyed.n = 0 THEN keyed.doc_id ELSE root END AS component_id,
+       CASE WHEN keyed.n = 0 THEN 0 ELSE class_rows - 1 + coalesce(others.n, 0) END AS n_links
+FROM keyed JOIN roots ON roots.d = keyed.class_id LEFT JOIN others ON others.a = keyed.class_id
 """
 
 #: The checksum by its table, and every prefix of every conversation: fit for small tables only.

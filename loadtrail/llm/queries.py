@@ -27,7 +27,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def ngram_join(spark: SparkSession, folder: str) -> DataFrame:
-    return similar_components(table(spark, folder, "documents"), words=3, percent=90)
+    return similar_components(table(spark, folder, "documents"), words=3, percent=90, count_links=True)
 
 
 def exact_dedup(spark: SparkSession, folder: str) -> DataFrame:

@@ -42,6 +42,17 @@ def components(texts, size, percent):
     return {d: (len(sets[d]), of(d)) for d in ids}
 
 
+def link_counts(rows, size, percent):
+    """(doc_id, links) of every row; rows: (doc_id, text). Rows without identifier or words have none."""
+    sets = [(d, shingles(t, size)) for d, t in rows]
+    linked = lambda a, b: 100 * len(a & b) >= percent * len(a | b)
+    found = []
+    for i, (d, own) in enumerate(sets):
+        others = [s for k, (e, s) in enumerate(sets) if k != i and e is not None and s]
+        found.append((d, sum(linked(own, s) for s in others) if own and d is not None else 0))
+    return found
+
+
 def quality_counts(text):
     own = words(text)
     lines = [x for x in (text or "").split("\n") if words(x)]

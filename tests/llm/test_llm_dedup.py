@@ -138,6 +138,22 @@ def test_large_groups_are_searched_in_blocks(spark, monkeypatch):
     assert found == loops.components(dict(rows), 3, 90)
 
 
+def counted(spark, rows, words, percent):
+    found = ngram_join.similar_components(edge.frame(spark, rows), words, percent, count_links=True)
+    return sorted(((r["doc_id"], r["n_links"]) for r in found.collect()), key=str)
+
+
+@pytest.mark.parametrize("group", [200, 2_000_000])
+def test_links_are_counted_once_in_one_group_and_in_blocks(spark, monkeypatch, group):
+    monkeypatch.setattr(ngram_join, "GROUP_SHINGLES", group)
+    rows = edge.texts() + [(100 + k, edge.near(edge.PROSE * 4, 5 * k)) for k in range(30)]
+    rows += [(200 + k, edge.near(edge.PROSE * 4, 5 * (k % 3))) for k in range(12)]
+    rows += [(300, edge.near(edge.PROSE * 4, 0)), (300, edge.near(edge.PROSE * 4, 15))]  # one identifier, two texts
+    wanted = loops.link_counts(rows, 3, 90)
+    assert max(n for _, n in wanted) > 12
+    assert counted(spark, rows, 3, 90) == sorted(wanted, key=str)
+
+
 def test_drop_similar_keeps_one_of_each_component(spark):
     rows = [r for r in edge.texts() if r[0] is not None]
     kept = ngram_join.drop_similar(edge.frame(spark, rows))

@@ -159,7 +159,8 @@ def without_repeated_spans(
     """Per row: identifier, the text without repeated passages, its sentences and how many lost something."""
     on_workers(docs.sparkSession)
     rows = docs.select(docs[id_column].cast("long").alias("doc_id"), F.coalesce(docs[text_column], F.lit("")).alias("text"))
-    found = rows.mapInArrow(span_rows(least_sentences, least_words, alone_words, run_words), SPANS)
+    # landed, since it is read twice and cutting and hashing cost more than some forty bytes a span
+    found = landed(rows.mapInArrow(span_rows(least_sentences, least_words, alone_words, run_words), SPANS), "spans")
     where = F.struct("doc_id", "text_hash", "place")
     # the smallest and largest place differ only where a span occurs twice
     repeated = found.groupBy("high", "low").agg(F.min(where).alias("first"), F.max(where).alias("last"))

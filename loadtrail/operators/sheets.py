@@ -10,13 +10,14 @@ from loadtrail.functions.sql import name, names, text
 from loadtrail.functions.text import decode_base64url, load_number, shipper_key
 from loadtrail.functions.timestamps import millis_to_timestamp, received_date
 from loadtrail.params import ReportParams
+from loadtrail.sinks.landing import landed
 
 
 def sheet_anchors(cells: DataFrame) -> DataFrame:
     """Per file with a label: first header row, and the cell to the right of the first plant label (row, then column).
 
-    Two reads: the few label cells, and the cells that could stand beside one. `beside` is null without a plant
-    label or without a cell to its right.
+    `beside` is null without a plant label or without a cell to its right. Only cells in a place where some file has
+    the cell beside its label go into the join. These places are few, and landed, so that the planner sees it.
     """
     labels = cells.where(f"cell_value IN ('{c.PLANT_LABEL}', '{c.HEADER_LABEL}')").selectExpr(
         "file_name AS label_file", "row_idx AS label_row", "col_idx AS label_column", "cell_value AS label"
@@ -24,10 +25,13 @@ def sheet_anchors(cells: DataFrame) -> DataFrame:
     beside = F.expr(
         f"label = '{c.PLANT_LABEL}' AND label_file = file_name AND label_row = row_idx AND label_column + 1 = col_idx"
     )
+    places = labels.where(f"label = '{c.PLANT_LABEL}'").selectExpr("label_row AS place_row", "label_column + 1 AS place_column")
+    in_place = F.expr("row_idx = place_row AND col_idx = place_column")
+    near = cells.join(landed(places.distinct(), "label-places"), in_place, "left_semi")
     plant, header = f"label = '{c.PLANT_LABEL}'", f"label = '{c.HEADER_LABEL}'"
     first = f"min(CASE WHEN {plant} THEN struct(label_row, label_column, file_name IS NOT NULL AS met, cell_value) END)"
     return (
-        labels.join(cells, beside, "left")
+        labels.join(near, beside, "left")
         .groupBy(F.expr("label_file AS file_name"))
         .agg(F.expr(f"{first} AS beside"), F.expr(f"min(CASE WHEN {header} THEN label_row END) AS header_row"))
         .selectExpr("file_name", "header_row", "CASE WHEN beside.met THEN beside END AS beside")

@@ -3,11 +3,15 @@
 Two sets of sizes n <= m with Jaccard similarity of p percent share at least ``p * m / 100`` shingles, so of any
 order of all shingles the first ``n - T + 1`` of each meet. The order puts shingles with a rare word first: a table of
 word counts, of fixed size and over all documents, ranks them. These rare ends are the only lists that are built and
-sorted across the cluster; neighbours in a list are candidates if their sizes allow it. Candidates fall into groups, and
-a group is searched with DivideSkip: the lists of a document are divided into short ones, which are merged and
+sorted across the cluster; neighbours in a list are candidates if their sizes allow it, and candidates fall into groups.
+
+Sharing one rare shingle chains documents that have little in common, the more the larger the table. So a group is first
+cut by the parities of its sets, one or two bits a shingle: parities differ in no more places than the sets do, so a pair
+whose parities differ too much has no link. What still hangs together is a group that is searched with its shingles, by
+DivideSkip: the lists of a document are divided into short ones, which are merged and
 counted, and long ones, which are only probed by binary search for the candidates that can still reach T. Where links
 are not counted, documents known to be linked through others are not compared again. Groups too large for a task are
-dealt as pairs of blocks.
+dealt as pairs of blocks; before the parities are compared, large ones fall into cells of neighbouring sizes.
 
 Equal sets are one class from the start, so exact copies cost one row each, and within a task one list entry.
 
@@ -28,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadtrail.llm.components import components
-from loadtrail.llm.staging import joined_by_size, landed, on_workers, row_batch, signed, small_batches
+from loadtrail.llm.staging import arrow_schema, joined_by_size, landed, on_workers, row_batch, signed, small_batches
 
 #: Cells of the table of word counts as a power of two: a million cells, one byte each when broadcast.
 CELL_BITS = 20
@@ -36,12 +40,16 @@ CELL_BITS = 20
 BLOCK = 1 << 14
 #: Shingles of all documents in a group that one task searches at once.
 GROUP_SHINGLES = 2_000_000
+#: Documents, and shingles behind their parities, that one task compares at once.
+CELL_DOCS = 16_384
+CELL_SHINGLES = 32_000_000
 #: Share of the lists set aside as long ones: T / (LONG_FACTOR * log2(longest list) + 1).
 LONG_FACTOR = 0.0085
 
-SETS = "doc_id long, n_shingles long, high long, low long, block int, counts binary"
+SETS = "doc_id long, n_shingles long, high long, low long, parities binary, block int, counts binary"
 BLOCKS = "block int, counts binary"
 LISTS = "shingle long, n int, node long"
+EDGES = "a long, b long"
 MEMBERS = "group_key long, first_block int, last_block int, doc_id long, own_block int, n_rows long, node long, shingles binary"
 #: A link of the spanning forest (documents a, b), or how many rows a class's partners in a task stand for (class a, links).
 LINKS = "a long, b long, links long"
@@ -85,6 +93,18 @@ def set_key(shingles: np.ndarray) -> tuple[int, int]:
     return signed(code >> 64), signed(code & ((1 << 64) - 1))
 
 
+def parity_bits(shingles: np.ndarray) -> bytes:
+    """For each cell the parity of the set's shingles there; the cells are a power of two, 64 or no fewer than shingles."""
+    cells = 1 << max(6, (len(shingles) - 1).bit_length())
+    counts = np.bincount((shingles & np.uint64(cells - 1)).astype(np.int64), minlength=cells)
+    return np.packbits((counts & 1).astype(np.uint8)).tobytes()
+
+
+def folded(parities: bytes, length: int) -> np.ndarray:
+    """The parities over as many cells as ``length`` bytes have bits."""
+    return np.bitwise_xor.reduce(np.frombuffer(parities, np.uint64).reshape(-1, length // 8))
+
+
 def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for low in range(0, batch.num_rows, TOGETHER):
@@ -108,7 +128,8 @@ def describe(words: int):
                 codes = word_codes(text)
                 shingles = np.unique(runs(codes, words))
                 key = set_key(shingles) if len(shingles) else (None, None)
-                rows.append((doc_id, len(shingles), *key, None, None))
+                parities = parity_bits(shingles) if len(shingles) else None
+                rows.append((doc_id, len(shingles), *key, parities, None, None))
                 if key not in seen:
                     seen.add(key)
                     counted.append(cells_of(codes))
@@ -119,7 +140,7 @@ def describe(words: int):
             yield row_batch(rows, SETS)
         blocks = cells.reshape(-1, BLOCK)
         for low in range(0, len(blocks), 32):
-            yield row_batch([(None, None, None, None, k, blocks[k].tobytes()) for k in range(low, low + 32)], SETS)
+            yield row_batch([(None, None, None, None, None, k, blocks[k].tobytes()) for k in range(low, low + 32)], SETS)
 
     return run
 
@@ -187,6 +208,92 @@ def rare_ends(words: int, percent: int, levels):
     return run
 
 
+def may_link(
+    sizes: np.ndarray, parities: list[bytes], percent: int, opens: np.ndarray, blocks: np.ndarray | None = None
+) -> list[tuple[int, int]]:
+    """A forest over the pairs of sets whose parities allow a similarity of ``percent``; the sets come by size.
+
+    Sets of sizes summing to s with that similarity differ in (100 - percent) / (100 + percent) * s shingles at most.
+    Pairs begin with a set that ``opens`` and, where ``blocks`` are given, lie in different ones.
+    """
+    labels = np.arange(len(sizes))
+    lengths = np.array([len(x) for x in parities])
+    until = np.searchsorted(sizes, 100 * sizes // percent, "right")
+    found = []
+    for length in np.unique(lengths):
+        low, high = np.searchsorted(lengths, (length, length + 1))
+        table = np.stack([folded(x, int(length)) for x in parities[low : until[high - 1]]])
+        for q in range(low, high):
+            if not opens[q]:
+                continue
+            later = np.arange(q + 1, until[q])
+            apart = labels[later] != labels[q]
+            if blocks is not None:
+                apart &= blocks[later] != blocks[q]
+            later = later[apart]
+            differ = np.bitwise_count(table[later - low] ^ table[q - low]).sum(1, dtype=np.int64)
+            near = later[differ * (100 + percent) <= (sizes[later] + sizes[q]) * (100 - percent)]
+            if len(near):
+                joined, first = np.unique(labels[near], return_index=True)
+                found += [(q, int(p)) for p in near[first]]
+                labels[np.isin(labels, joined)] = labels[q]
+    return found
+
+
+def near_parities(percent: int):
+    """Search each cell, or pair of its blocks, for pairs of sets that may be linked."""
+
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("n", "ascending"), ("node", "ascending")])
+        sizes, nodes, blocks, opens = (rows.column(c).to_numpy() for c in ("n", "node", "own_block", "opens"))
+        apart = blocks if key[2].as_py() != key[3].as_py() else None
+        pairs = may_link(sizes, rows.column("parities").to_pylist(), percent, opens, apart)
+        pairs = nodes[np.array(pairs, np.int64).reshape(-1, 2)]
+        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]}, schema=arrow_schema(EDGES))
+
+    return run
+
+
+def cut_groups(chained: DataFrame, percent: int) -> DataFrame:
+    """``node``, ``root`` of the groups that are left of ``chained`` when pairs need parities that allow a link.
+
+    Sets of a similarity of ``percent`` lie in one class of sizes or in two that follow each other, so in a large group
+    a cell holds a class, which opens the pairs, and the next one.
+    """
+    totals = [F.count(F.lit(1)).alias("docs"), F.sum("n").alias("shingles")]
+    blocks = F.ceil(F.greatest(F.col("docs") / CELL_DOCS, F.col("shingles") / CELL_SHINGLES)).alias("blocks")
+    # what is broadcast has a row for every so many documents or shingles of a bound
+    large = chained.groupBy("root").agg(*totals).select("root", blocks).where("blocks > 1")
+    ratio = max(1.01, 100 / percent * (1 + 1e-9))
+    sized = chained.join(F.broadcast(large.select("root", F.lit(True).alias("large"))), "root", "left").withColumn(
+        "size_class", F.when(F.col("large"), F.floor(F.log("n") / F.log(F.lit(ratio)))).otherwise(0)
+    )
+    cells = F.when(F.col("large"), F.array(F.col("size_class") - 1, F.col("size_class"))).otherwise(F.array("size_class"))
+    sized = sized.withColumn("cell", F.explode(cells))
+    large_cells = sized.groupBy("root", "cell").agg(*totals).select("root", "cell", blocks).where("blocks > 1")
+    dealt = sized.join(F.broadcast(large_cells), ["root", "cell"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    own = F.expr("cast(pmod(xxhash64(low), blocks) as int)")
+    other = F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int")))
+    dealt = dealt.select("*", own.alias("own_block")).select("*", other.alias("other_block"))
+    dealt = dealt.select(
+        "root",
+        "cell",
+        F.least("own_block", "other_block").alias("first_block"),
+        F.greatest("own_block", "other_block").alias("last_block"),
+        "own_block",
+        (F.col("size_class") == F.col("cell")).alias("opens"),
+        "n",
+        F.col("low").alias("node"),
+        "parities",
+    )
+    found = dealt.groupBy("root", "cell", "first_block", "last_block").applyInArrow(near_parities(percent), EDGES)
+    return with_roots(components(found))
+
+
+def with_roots(groups: DataFrame) -> DataFrame:
+    return groups.unionAll(groups.select("root", "root").distinct())
+
+
 def group_members(words: int):
     """The shingles of each candidate, if the text is the one that was described."""
 
@@ -348,7 +455,12 @@ def similar_components(
     classes = landed(
         sets.where("high IS NOT NULL AND doc_id IS NOT NULL")
         .groupBy("high", "low")
-        .agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n"), F.count(F.lit(1)).alias("n_rows")),
+        .agg(
+            F.min("doc_id").alias("first_id"),
+            F.first("n_shingles").alias("n"),
+            F.count(F.lit(1)).alias("n_rows"),
+            F.first("parities").alias("parities"),
+        ),
         "set-classes",
     )
 
@@ -358,12 +470,11 @@ def similar_components(
     before = lists.select("node", "n", F.lag("node").over(in_list).alias("before"), F.lag("n").over(in_list).alias("n_before"))
     near = (F.col("before") != F.col("node")) & (F.col("n_before") * 100 >= F.col("n") * percent)
     neighbours = before.where(near).select(F.col("before").alias("a"), F.col("node").alias("b"))
-    groups = components(neighbours)
-    groups = groups.unionAll(groups.select("root", "root").distinct())
+    groups = with_roots(components(neighbours))
+    chained = landed(classes.join(groups, classes["low"] == groups["node"]).drop("node"), "chained")
 
-    members = classes.join(groups, classes["low"] == groups["node"]).select(
-        "first_id", "high", "low", "n", "n_rows", "root"
-    )
+    groups = cut_groups(chained, percent)
+    members = chained.drop("root", "parities").join(groups, chained["low"] == groups["node"]).drop("node")
     members = landed(members, "candidates")
     weights = members.groupBy("root").agg(F.ceil(F.sum("n") / GROUP_SHINGLES).alias("blocks"))
     own = F.expr("pmod(xxhash64(first_id), blocks)")

@@ -224,6 +224,83 @@ def test_a_round_learns_which_word_follows_inside_a_class(monkeypatch):
     assert scorer.scores(right).sum() > scorer.scores(wrong).sum() + 0.2 * len(words)
 
 
+class Held:
+    def __init__(self, value):
+        self.value = value
+
+
+def test_documents_are_encoded_once_and_learnt_from_as_texts_are():
+    rows = [(d, t) for d, t in enumerate(["red cat sat", "the  Red cat", "", "a red hat\u3000 \u3000sat", "Held out maybe"] * 8)]
+    encoded = list(lm_scoring.encode_documents(lm_scoring.vocabulary())(iter([document_batch(rows)])))
+    documents = encoded[0].to_pydict()
+    assert documents["text"] == [t for _, t in rows]
+    known = lm_scoring.WordIds(lm_scoring.vocabulary())
+    assert [np.frombuffer(x, lm_scoring.ID).tolist() for x in documents["ids"]] == [
+        known.of(lm_scoring.words_of(t)).tolist() for _, t in rows
+    ]
+    assert documents["turn"] == [lm_scoring.share(d) if lm_scoring.remainder(d) else None for d, _ in rows]
+    words = Counter()
+    for d, t in rows:
+        if lm_scoring.remainder(d):
+            words.update([*lm_scoring.words_of(t), b""])
+    assert dict(zip(encoded[1].to_pydict()["word"], encoded[1].to_pydict()["n"])) == words
+
+    classes, in_class = lm_scoring.id_classes(np.zeros((lm_scoring.IDS, lm_scoring.CELLS)))
+    ids, flat = lm_scoring.Ids(classes, in_class), lm_scoring.Attention.start().flat()
+    for run in (lm_scoring.count_ids(lm_scoring.vocabulary()), lm_scoring.train(lm_scoring.vocabulary(), Held(ids), Held(flat), 1)):
+        from_ids, from_texts = (
+            [b.to_pydict() for b in run(iter([batch]))] for batch in (encoded[0].select(["doc_id", "ids"]), document_batch(rows))
+        )
+        assert from_ids and from_ids == from_texts
+
+
+def test_words_in_use_are_encoded_once(monkeypatch):
+    monkeypatch.setattr(lm_scoring, "CACHED_WORDS", 4)
+    known, plain = lm_scoring.WordIds(lm_scoring.vocabulary()), lm_scoring.WordIds(lm_scoring.vocabulary())
+    calls, encode = Counter(), known.encode
+    known.encode = lambda text: (calls.update([text]), encode(text))[1]
+    for k in range(40):
+        assert known.of([b"red", b"hat%d" % k, b""]).tolist() == [
+            *plain.encode(" red"), *plain.encode(" hat%d" % k), lm_scoring.END
+        ]
+        assert len(known) + len(known.before) <= 2 * lm_scoring.CACHED_WORDS
+    assert calls[" red"] == 1
+
+
+def test_places_that_no_target_needs_are_only_attended_to(monkeypatch):
+    """The windows that go on with a document give the same gradients as if every place had a state, with fewer states."""
+    rng = np.random.default_rng(6)
+    inputs, targets, fresh, _ = laid_out([rng.integers(0, 900, n).astype(np.uint16) for n in (0, 3, 31, 40, 90, 3000)])
+    ids, _ = started_ids()
+    asked = []
+    attend = lm_scoring.Attention.attend
+
+    def counting(self, x, skip=0):
+        found = attend(self, x, skip)
+        asked.append(found[0].size // lm_scoring.WIDTH)
+        return found
+
+    monkeypatch.setattr(lm_scoring.Attention, "attend", counting)
+
+    def learnt():
+        net, own = lm_scoring.Attention.start(), lm_scoring.copy.deepcopy(ids)
+        adam, steps = lm_scoring.Adam(net.weights()), lm_scoring.RowSteps(own)
+        for _ in range(3):
+            lm_scoring.learn_batch(net, adam, own, steps, inputs, targets, fresh)
+        return [net.flat(), *own.tables, *steps.met]
+
+    def whole(mask):
+        return [(np.arange(len(mask)), 0, np.flatnonzero(mask))]
+
+    found = learnt()
+    fewer = sum(asked)
+    monkeypatch.setattr(lm_scoring, "window_groups", whole)
+    asked.clear()
+    for a, b in zip(found, learnt()):
+        assert np.allclose(a, b, atol=2e-4)
+    assert fewer < sum(asked) * 0.85
+
+
 def unigram_model(pieces: sentencepiece_viterbi.Vocabulary) -> bytes:
     """The same pieces and scores as a model file of the library's own unigram type."""
 
